@@ -1,5 +1,4 @@
 from tripmill.functions.clock import (
-    epoch_month,
     in_own_month,
     local_to_instant,
     month_text,
@@ -21,7 +20,6 @@ from tripmill.functions.numbers import (
 
 __all__ = [
     "IDENTITY_COLUMNS",
-    "epoch_month",
     "half_away",
     "in_own_month",
     "instant_text",

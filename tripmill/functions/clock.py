@@ -33,17 +33,9 @@ def month_text(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM")
 
 
-def epoch_month(moment: Column) -> Column:
-    """Month as the integer yyyymm, cheap enough for a per-row comparison."""
-    return F.year(moment) * 100 + F.month(moment)
-
-
 def in_own_month(moment: Column, dataset_month: Column) -> Column:
     """True when the UTC month of the instant is the month of the file it came in."""
-    file_month = F.substring(dataset_month, 1, 4).cast("int") * 100 + F.substring(
-        dataset_month, 6, 2
-    ).cast("int")
-    return epoch_month(moment) == file_month
+    return F.trunc(moment.cast("date"), "MM") == F.concat(dataset_month, F.lit("-01")).cast("date")
 
 
 def weekday_number(moment: Column) -> Column:

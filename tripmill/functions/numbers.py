@@ -18,13 +18,9 @@ from pyspark.sql import types as T
 def half_away(value: Column) -> Column:
     """Nearest whole double; exact ties go away from zero."""
     nearest = F.rint(value)
-    gap = value - nearest
-    correction = (
-        F.when((value > 0) & (gap == 0.5), 1.0)
-        .when((value < 0) & (gap == -0.5), -1.0)
-        .otherwise(0.0)
-    )
-    return nearest + correction
+    direction = F.signum(value)
+    # rint sends ties to the even neighbour, which may be the one nearer to zero.
+    return nearest + F.when(value - nearest == direction * 0.5, direction).otherwise(0.0)
 
 
 def round_half_away(value: Column, digits: int) -> Column:

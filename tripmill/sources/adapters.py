@@ -18,6 +18,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(table: DataFrame, *keys: str) -> DataFrame:
+    """Deal a table of few splits out to every core before the per-row work starts.
+
+    A small file is a single row group and would keep one task busy. A table
+    with at least a split per core is left where it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
+
+
 def _plus_seconds(moment: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, moment)
 
@@ -28,7 +38,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some trips land twice: once more in the same file with another distance, or
     once more in the file of the following month. One scan emits all copies.
     """
-    item = _table(spark, sf_dir, "lineitem")
+    item = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     offset = (F.col("l_orderkey") * 7919 + part * 31 + F.col("l_linenumber")) % 86400
     copies = F.array_compact(
