@@ -96,19 +96,20 @@ def merge_into_fact(spark: SparkSession, path: str, new: DataFrame, months: Sequ
     """Put a load into the fact table, rewriting only the months it touches.
 
     Those are the loaded months and the ones that held a trip the load now owns.
-    A month that lost its last trip is not part of the written data; its old
-    partition still shows up as contested afterwards and is removed.
+    A month left without a trip is not part of the written data, so its old
+    partition stays behind and is removed: either it still shows up as contested
+    afterwards, or it is a loaded month without new rows.
     """
-    if exists(spark, path):
-        contested = _values(facts.contested_months(read_table(spark, path), new, months))
-        touched = _of_months(read_table(spark, path), contested)
-        replace_partitions(facts.merge_loads(touched, new, months), path, MONTH)
-        emptied = _values(facts.contested_months(read_table(spark, path), new, months))
-    else:
+    if not exists(spark, path):
         replace_partitions(new, path, MONTH)
-        emptied = []
-    loaded = _values(new.select("dataset_month").distinct())
-    drop_partitions(spark, path, "dataset_month", [*emptied, *sorted(set(months) - set(loaded))])
+        return
+    contested = _values(facts.contested_months(read_table(spark, path), new, months))
+    touched = _of_months(read_table(spark, path), contested)
+    replace_partitions(facts.merge_loads(touched, new, months), path, MONTH)
+    emptied = set(months) - set(_values(new.select("dataset_month").distinct()))
+    if contested:
+        emptied.update(_values(facts.contested_months(read_table(spark, path), new, months)))
+    drop_partitions(spark, path, "dataset_month", sorted(emptied))
 
 
 def write_gold(
@@ -121,14 +122,11 @@ def write_gold(
         "mart_zone_performance": marts.mart_zone_performance(inside, zones),
         "mart_hourly_pattern": marts.mart_hourly_pattern(inside),
     }
-    seen = _values(inside.select("dataset_month").distinct())
+    seen = set(_values(inside.select("dataset_month").distinct()))
     for model, mart in built.items():
         publish.publish_gold(model, mart, root)
         drop_partitions(
-            spark,
-            publish.export_path(root, model),
-            "dataset_month",
-            sorted(set(months) - set(seen)),
+            spark, publish.export_path(root, model), "dataset_month", sorted(set(months) - seen)
         )
 
 
@@ -197,7 +195,9 @@ def load_months(
 
     if passed:
         accepted = silver.accepted(_of_months(events, passed))
-        merge_into_fact(spark, fact_path(root), facts.latest_load_wins(accepted), passed)
+        # Within one month every trip is unique already.
+        new = accepted if len(passed) == 1 else facts.latest_load_wins(accepted)
+        merge_into_fact(spark, fact_path(root), new, passed)
         write_gold(spark, root, accepted, zones, passed)
     finished = metrics.withColumn(
         "status",

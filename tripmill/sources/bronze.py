@@ -80,7 +80,8 @@ def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -
     """SHA-256 per landed file, spread over the cluster file by file.
 
     Spark hands a file's bytes over as one value, so a file of 2 GB or more
-    fails the job rather than getting a wrong digest.
+    fails the job rather than getting a wrong digest. Spark passes over files of
+    no bytes, which the contract refuses anyway.
     """
     files = (
         spark.read.format("binaryFile")
