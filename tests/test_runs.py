@@ -106,7 +106,7 @@ def test_audit_upsert(spark):
 def test_checks_report_failures(spark):
     parent = spark.createDataFrame([(1,), (2,), (2,)], "zone_id int")
     child = spark.createDataFrame([(1,), (3,), (3,), (None,)], "z int")
-    assert checks.relationships("c", child, "z", parent, "zone_id").first().failures == 2
+    assert checks.relationships("c", child, ["z"], parent, "zone_id").first().failures == 2
     assert checks.unique("p", parent, "zone_id").first().failures == 1
     assert checks.unique("c", child.where("z is null"), "z").first().failures == 0
     assert checks.not_null("c", child, ["z"]).first().failures == 1

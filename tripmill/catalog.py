@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.functions import (
+    IDENTITY_COLUMNS,
     instant_text,
     month_text,
     trip_id,
@@ -72,10 +73,31 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     )
 
 
-def written_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse with its scored events on storage, for queries that read them often."""
+# What facts and marts are made of, and the digest where trips are told apart by it.
+MEASURES = (
+    *IDENTITY_COLUMNS,
+    "dataset_month",
+    "passenger_count",
+    "trip_distance_miles",
+    "fare_amount",
+    "tip_amount",
+    "duration_minutes",
+    "average_speed_mph",
+    "quality_status",
+)
+IDENTIFIED = ("trip_id", *MEASURES)
+
+
+def written_warehouse(spark: SparkSession, sf_dir: str, *columns: str) -> Warehouse:
+    """The warehouse with its scored events on storage, for queries that read them often.
+
+    Only the named columns are computed and written, or all of them.
+    """
     built = warehouse(spark, sf_dir)
-    built.silver_trip_events = materialize(built.silver_trip_events, "silver_trip_events")
+    events = built.silver_trip_events
+    built.silver_trip_events = materialize(
+        events.select(*columns) if columns else events, "silver_trip_events"
+    )
     return built
 
 
@@ -282,7 +304,7 @@ def backfill_range(spark, sf_dir):
 @query
 def fact_incremental_merge(spark, sf_dir):
     """All months loaded in order, then one of them loaded again."""
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
     reloaded = built.facts_by_load.where(F.col("dataset_month") == RELOADED_MONTH)
     return _fact_columns(facts.merge_loads(built.fact_trips, reloaded, [RELOADED_MONTH]))
 
@@ -304,7 +326,7 @@ def schema_sync_merge(spark, sf_dir):
 @query
 def gold_month_replace(spark, sf_dir):
     """Daily mart published from the final facts, one month then replaced by its own build's."""
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *MEASURES)
     root = fresh_dir(spark, "serving")
     final = marts.mart_daily_demand(marts.guarded(built.fact_trips))
     publish.publish_gold("mart_daily_demand", final, root)
@@ -314,7 +336,7 @@ def gold_month_replace(spark, sf_dir):
 
 
 def _exported(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *MEASURES)
     models = dict(built.models(*(name for name in publish.EXPORTS if name != "fact_trips")))
     root = fresh_dir(spark, "export")
     publish.export_models({**models, "fact_trips": built.facts_by_load}, root)
@@ -370,13 +392,14 @@ def quality_gate(spark, sf_dir):
 
 @query
 def volume_anomaly(spark, sf_dir):
-    return runs.volume_history(adapters.runs_raw(spark, sf_dir))
+    history = materialize(adapters.runs_raw(spark, sf_dir), "pipeline_runs")
+    return runs.volume_history(history)
 
 
 @query
 def audit_upsert(spark, sf_dir):
     """Failed runs are repeated under their id; December gets a second run under a new id."""
-    history = audit_table(spark, sf_dir)
+    history = materialize(audit_table(spark, sf_dir), "pipeline_runs")
     month = F.col("dataset_month")
     later = {name: F.timestamp_add("DAY", F.lit(1), F.col(name)) for name in ("started_at", "completed_at")}
     again = history.where(month.endswith("-07")).withColumns({**later, "status": F.lit("success")})
@@ -391,13 +414,13 @@ def audit_upsert(spark, sf_dir):
 
 @query
 def test_not_null(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
     return checks.check_not_null(built.models(*checks.NOT_NULL))
 
 
 @query
 def test_unique(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
     return checks.check_unique(built.models(*checks.UNIQUE))
 
 
@@ -408,7 +431,7 @@ def test_accepted_values(spark, sf_dir):
 
 @query
 def test_relationships(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = warehouse(spark, sf_dir)
     return checks.check_relationships(built.fact_trips, built.dim_zone)
 
 
@@ -419,7 +442,7 @@ def test_quarantine_rate(spark, sf_dir):
 
 @query
 def test_gold_grains(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *MEASURES)
     return checks.check_gold_grains(built.models(*checks.GRAINS))
 
 
@@ -434,11 +457,10 @@ def month_coverage(spark, sf_dir):
 @query
 def boundary_cleanup(spark, sf_dir):
     """Marts built without the month guard, cleaned of months no successful run has loaded."""
-    built = written_warehouse(spark, sf_dir)
-    successful = adapters.runs_raw(spark, sf_dir).where("status = 'success'")
-    loaded = built.facts_by_load.join(
-        successful.select("dataset_month"), "dataset_month", "left_semi"
-    )
+    built = written_warehouse(spark, sf_dir, *MEASURES)
+    history = materialize(adapters.runs_raw(spark, sf_dir), "pipeline_runs")
+    successful = history.where("status = 'success'").select("dataset_month")
+    loaded = built.facts_by_load.join(successful, "dataset_month", "left_semi")
     gold = {
         "mart_daily_demand": marts.mart_daily_demand(loaded),
         "mart_zone_performance": marts.mart_zone_performance(loaded, built.dim_zone),
@@ -448,7 +470,7 @@ def boundary_cleanup(spark, sf_dir):
 
 @query
 def year_validation(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
     return maintenance.year_validation(built.fact_trips, built.mart_daily_demand, VALIDATED_YEAR)
 
 
@@ -459,7 +481,7 @@ def warehouse_inspect(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    built = written_warehouse(spark, sf_dir)
+    built = written_warehouse(spark, sf_dir, *MEASURES)
     return maintenance.table_counts(
         {
             "daily": built.mart_daily_demand,
@@ -526,10 +548,10 @@ def quality_panel(spark, sf_dir):
 # ---- streaming ----------------------------------------------------------------
 
 
-def _replayed(spark, events):
+def _replayed(spark, events, files_per_batch=None):
     path = fresh_dir(spark, "replay")
     replay.to_events(events).write.option("maxRecordsPerFile", EVENTS_PER_FILE).text(path)
-    return stream.file_messages(spark, path, FILES_PER_BATCH)
+    return stream.file_messages(spark, path, files_per_batch)
 
 
 def _streamed(spark, messages, watermark=None):
@@ -548,18 +570,18 @@ def replay_events(spark, sf_dir):
 
 @query
 def stream_minute_zone(spark, sf_dir):
-    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir)))
+    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir), FILES_PER_BATCH))
 
 
 @query
 def stream_minute_zone_watermarked(spark, sf_dir):
-    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir)), WATERMARK)
+    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir), FILES_PER_BATCH), WATERMARK)
 
 
 @query
 def stream_bounded_replay(spark, sf_dir):
     first = replay.first_events(adapters.trip_events(spark, sf_dir), "event_id", BOUNDED_EVENTS)
-    return _streamed(spark, _replayed(spark, first))
+    return _streamed(spark, _replayed(spark, first, FILES_PER_BATCH))
 
 
 @query

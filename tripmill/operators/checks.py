@@ -86,16 +86,31 @@ def accepted_values(model: str, df: DataFrame, column: str, values: Sequence[str
 
 
 def relationships(
-    model: str, child: DataFrame, column: str, parent: DataFrame, field: str
+    model: str, child: DataFrame, columns: Sequence[str], parent: DataFrame, field: str
 ) -> DataFrame:
-    """Child rows whose key has no parent; NULL keys are ignored.
+    """Child rows whose key has no parent, for all key columns in one pass; NULL keys are ignored.
 
-    Keys are counted before the join, so its left side holds one row per key.
+    Keys are counted before the join, so a hot key is one row when it meets its parent.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    orphans = keys.join(parent, keys[column] == parent[field], "left_anti")
-    counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-    return counted.select(*_result(model, column, "relationships", F.col("failures")))
+    pairs = F.explode(
+        F.array(
+            *(F.struct(F.lit(name).alias("key_column"), F.col(name).alias("key")) for name in columns)
+        )
+    )
+    keys = (
+        child.select(pairs.alias("pair"))
+        .select("pair.*")
+        .groupBy("key_column", "key")
+        .agg(F.count("*").alias("n"))
+    )
+    known = parent.select(F.col(field).alias("key")).distinct().withColumn("known", F.lit(True))
+    orphan = F.col("key").isNotNull() & F.col("known").isNull()
+    counted = (
+        keys.join(known, "key", "left")
+        .groupBy("key_column")
+        .agg(F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("failures"))
+    )
+    return counted.select(*_result(model, F.col("key_column"), "relationships", F.col("failures")))
 
 
 def check_not_null(models: Mapping[str, DataFrame]) -> DataFrame:
@@ -122,11 +137,8 @@ def check_accepted_values(events: DataFrame) -> DataFrame:
 
 
 def check_relationships(fact: DataFrame, zones: DataFrame) -> DataFrame:
-    return _union(
-        [
-            relationships("fact_trips", fact, column, zones, "zone_id")
-            for column in ("pickup_zone_id", "dropoff_zone_id")
-        ]
+    return relationships(
+        "fact_trips", fact, ("pickup_zone_id", "dropoff_zone_id"), zones, "zone_id"
     )
 
 

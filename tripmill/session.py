@@ -13,6 +13,8 @@ REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Only the partitions present in the written data are replaced.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Typed timestamps carry min/max statistics, so pickup ranges prune row groups.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The per-minute state has no upper bound; keep it off the executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -32,13 +32,17 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/tripmill/{name}-{uuid.uuid4().hex}"
 
 
+# Digests never repeat enough for a dictionary to pay.
+PLAIN_DIGEST = {"parquet.enable.dictionary#trip_id": "false"}
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write once, read many: several consumers share a result without recomputing it.
 
     The written table also cuts the lineage, so a lost executor costs a re-read.
     """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**PLAIN_DIGEST).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -53,6 +57,7 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
+        .options(**PLAIN_DIGEST)
         .partitionBy(*by)
         .parquet(path)
     )
