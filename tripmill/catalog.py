@@ -69,7 +69,9 @@ def query(build: Query) -> Query:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(
-        adapters.trips_raw(spark, sf_dir), adapters.zones_raw(spark, sf_dir), F.col("file_month")
+        adapters.trips_raw(spark, sf_dir),
+        lambda: adapters.zones_raw(spark, sf_dir),
+        F.col("file_month"),
     )
 
 
@@ -183,8 +185,8 @@ def trip_id_text(spark, sf_dir):
     """Digest and its instants for every staged row, copies included."""
     return warehouse(spark, sf_dir).stg_trips.select(
         trip_id().alias("trip_id"),
-        instant_text(F.col("pickup_at")).alias("pickup_text"),
-        instant_text(F.col("dropoff_at")).alias("dropoff_text"),
+        instant_text("pickup_at").alias("pickup_text"),
+        instant_text("dropoff_at").alias("dropoff_text"),
     )
 
 
@@ -240,11 +242,11 @@ def dim_zone(spark, sf_dir):
 
 @query
 def scalar_calendar(spark, sf_dir):
-    at = F.col("pickup_at")
+    at = "pickup_at"
     return warehouse(spark, sf_dir).stg_trips.select(
         at,
         month_text(at).alias("month"),
-        weekday_name(weekday_number(at)).alias("weekday_name"),
+        weekday_name("dayofweek(pickup_at) - 1").alias("weekday_name"),
         weekday_number(at).alias("weekday_number"),
         F.hour(at).alias("hour"),
     )

@@ -1,4 +1,4 @@
-"""Time expressions. All of them assume the session zone is UTC."""
+"""Time expressions over SQL text. All of them assume the session zone is UTC."""
 
 from __future__ import annotations
 
@@ -10,39 +10,42 @@ SOURCE_ZONE = "America/New_York"
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
-def local_to_instant(wall: Column) -> Column:
+def local_to_instant(wall: str) -> Column:
     """Instant of a naive New York wall-clock time.
 
     The hour that happens twice when summer time ends means the later, standard
     time instant. That hour always starts at 01:00 in this zone, so the second
     conversion is only tried there.
     """
-    wall = wall.cast("timestamp")
-    first = F.to_utc_timestamp(wall, SOURCE_ZONE)
-    second = first + F.expr("INTERVAL 1 HOUR")
-    repeated = (F.hour(wall) == 1) & (F.from_utc_timestamp(second, SOURCE_ZONE) == wall)
-    return F.when(repeated, second).otherwise(first)
+    wall = f"CAST({wall} AS TIMESTAMP)"
+    first = f"to_utc_timestamp({wall}, '{SOURCE_ZONE}')"
+    second = f"({first} + INTERVAL 1 HOUR)"
+    return F.expr(
+        f"CASE WHEN hour({wall}) = 1 AND from_utc_timestamp({second}, '{SOURCE_ZONE}') = {wall} "
+        f"THEN {second} ELSE {first} END"
+    )
 
 
-def seconds_between(start: Column, end: Column) -> Column:
+def seconds_between(start: str, end: str) -> Column:
     """Second boundaries crossed from start to end (0.9 s to 1.1 s counts as one)."""
-    return F.unix_seconds(end) - F.unix_seconds(start)
+    return F.expr(f"unix_seconds({end}) - unix_seconds({start})")
 
 
-def month_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM")
+def month_text(moment: str) -> Column:
+    return F.expr(f"date_format({moment}, 'yyyy-MM')")
 
 
-def in_own_month(moment: Column, dataset_month: Column) -> Column:
+def in_own_month(moment: str, dataset_month: str) -> Column:
     """True when the UTC month of the instant is the month of the file it came in."""
-    return F.trunc(moment.cast("date"), "MM") == F.concat(dataset_month, F.lit("-01")).cast("date")
+    return F.expr(f"trunc(CAST({moment} AS DATE), 'MM') = CAST(concat({dataset_month}, '-01') AS DATE)")
 
 
-def weekday_number(moment: Column) -> Column:
+def weekday_number(moment: str) -> Column:
     """Sunday is 0."""
-    return F.dayofweek(moment) - 1
+    return F.expr(f"dayofweek({moment}) - 1")
 
 
-def weekday_name(number: Column) -> Column:
+def weekday_name(number: str) -> Column:
     """English name of a week day number, independent of the session locale."""
-    return F.element_at(F.array(*(F.lit(day) for day in WEEKDAYS)), number + 1)
+    names = ", ".join(f"'{day}'" for day in WEEKDAYS)
+    return F.expr(f"element_at(array({names}), {number} + 1)")

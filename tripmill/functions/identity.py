@@ -17,17 +17,19 @@ IDENTITY_COLUMNS = (
 INSTANTS = ("pickup_at", "dropoff_at")
 
 
-def instant_text(moment: Column) -> Column:
+def _instant_text(moment: str) -> str:
+    return f"concat(CAST({moment} AS STRING), '+00')"
+
+
+def instant_text(moment: str) -> Column:
     """``2024-02-01 01:00:00.12+00``: no trailing zeros, explicit offset."""
-    return F.concat(moment.cast("string"), F.lit("+00"))
+    return F.expr(_instant_text(moment))
 
 
 def trip_id() -> Column:
     """SHA-256 over the identity columns; NULL enters as the empty string."""
-    parts = [
-        F.coalesce(
-            instant_text(F.col(name)) if name in INSTANTS else F.col(name).cast("string"), F.lit("")
-        )
+    parts = ", ".join(
+        f"coalesce({_instant_text(name) if name in INSTANTS else f'CAST({name} AS STRING)'}, '')"
         for name in IDENTITY_COLUMNS
-    ]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    )
+    return F.expr(f"sha2(concat_ws('|', {parts}), 256)")

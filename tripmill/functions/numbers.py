@@ -3,59 +3,70 @@
 Spark's own ``round`` and double-to-decimal cast go through the decimal text of
 the double (1.005 becomes 1.01). The results to match scale first and round
 half away from zero (1.005 * 100 = 100.49999999999999, hence 1.00). The
-expressions below do that without leaving generated code.
+expressions below do that without leaving generated code. They take SQL text,
+which is one call into the JVM however long the expression is.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def half_away(value: Column) -> Column:
-    """Nearest whole double; exact ties go away from zero."""
-    nearest = F.rint(value)
-    direction = F.signum(value)
+def _half_away(value: str) -> str:
     # rint sends ties to the even neighbour, which may be the one nearer to zero.
-    return nearest + F.when(value - nearest == direction * 0.5, direction).otherwise(0.0)
+    return (
+        f"(rint({value}) + CASE WHEN {value} - rint({value}) = signum({value}) * 0.5D "
+        f"THEN signum({value}) ELSE 0D END)"
+    )
+
 
+def _rounded(value: str, digits: int) -> str:
+    return f"({_half_away(f'(({value}) * 1e{digits}D)')} / 1e{digits}D)"
 
-def round_half_away(value: Column, digits: int) -> Column:
-    scale = float(10**digits)
-    return half_away(value * scale) / scale
+
+def half_away(value: str) -> Column:
+    """Nearest whole double; exact ties go away from zero."""
+    return F.expr(_half_away(f"({value})"))
 
 
-def settled(value: Column, digits: int) -> Column:
+def round_half_away(value: str, digits: int) -> Column:
+    return F.expr(_rounded(value, digits))
+
+
+def settled(value: str, digits: int) -> Column:
     """Round a floating sum or mean to ``digits`` places, whatever the row order.
 
     The last bits of such a value depend on the order the rows came in, which
     decides exact ties. Rounding six places finer first takes that noise away.
     """
-    return round_half_away(round_half_away(value, digits + 6), digits)
+    fine = f"1e{digits + 6}D"
+    return F.expr(_rounded(f"rint(({value}) * {fine}) / {fine}", digits))
+
+
+def _is_floating(source: T.DataType) -> bool:
+    return isinstance(source, (T.DoubleType, T.FloatType))
 
 
-def to_integer(value: Column, source: T.DataType) -> Column:
+def to_integer(value: str, source: T.DataType) -> Column:
     """Integer cast; fractions go to the nearest even, as in the staging contract."""
-    if isinstance(source, (T.DoubleType, T.FloatType)):
-        value = F.rint(value)
-    return value.cast("int")
+    return F.expr(f"CAST(rint({value}) AS INT)" if _is_floating(source) else f"CAST({value} AS INT)")
 
 
-def to_money(value: Column, source: T.DataType) -> Column:
+def to_money(value: str, source: T.DataType) -> Column:
     """decimal(18,2) cast of any numeric column."""
-    if not isinstance(source, (T.DoubleType, T.FloatType)):
-        return value.cast("decimal(18,2)")
-    cents = half_away(value.cast("double") * 100.0).cast("bigint").cast("decimal(18,0)")
-    return (cents * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+    if not _is_floating(source):
+        return F.expr(f"CAST({value} AS DECIMAL(18, 2))")
+    cents = _half_away(f"(CAST({value} AS DOUBLE) * 100D)")
+    return F.expr(f"CAST(CAST(CAST({cents} AS BIGINT) AS DECIMAL(18, 0)) * 0.01BD AS DECIMAL(18, 2))")
 
 
 def mean_decimal(column: str, digits: int = 2) -> Column:
     """Rounded mean of a decimal(18,2) column, taken from the exact sum in cents."""
-    cents = (F.sum(column) * 100).cast("double")
-    return round_half_away(cents / (F.count(column) * 100.0), digits)
+    return F.expr(
+        _rounded(f"CAST(sum({column}) * 100 AS DOUBLE) / (count({column}) * 100D)", digits)
+    )
 
 
 def mean_minutes(column: str, digits: int = 2) -> Column:
@@ -64,10 +75,10 @@ def mean_minutes(column: str, digits: int = 2) -> Column:
     Summing the seconds as integers keeps the mean independent of row order, so
     a rerun gives the same mart to the last digit.
     """
-    seconds = F.sum(F.rint(F.col(column) * 60.0).cast("bigint"))
-    return round_half_away(seconds / (F.count(column) * 60.0), digits)
+    seconds = f"sum(CAST(rint({column} * 60D) AS BIGINT))"
+    return F.expr(_rounded(f"{seconds} / (count({column}) * 60D)", digits))
 
 
-def share_pct(condition: Column, digits: int = 2) -> Column:
+def share_pct(condition: str, digits: int = 2) -> Column:
     """Percentage of rows that meet the condition; NULL counts as not met."""
-    return round_half_away(100.0 * F.avg(F.when(condition, 1).otherwise(0)), digits)
+    return F.expr(_rounded(f"100D * avg(CASE WHEN {condition} THEN 1 ELSE 0 END)", digits))

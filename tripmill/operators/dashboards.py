@@ -97,9 +97,9 @@ def quality_panel(audit: DataFrame) -> DataFrame:
             "bronze_rows",
             "silver_rows",
             "rejected_rows",
-            round_half_away(
-                100.0 * F.col("rejected_rows") / F.nullif(F.col("bronze_rows"), F.lit(0)), 4
-            ).alias("rejected_rate_pct"),
+            round_half_away("100D * rejected_rows / nullif(bronze_rows, 0)", 4).alias(
+                "rejected_rate_pct"
+            ),
             "completed_at",
         )
         .orderBy(F.col("completed_at").desc())

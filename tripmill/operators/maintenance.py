@@ -22,7 +22,7 @@ def month_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
         spark.range(1)
         .select(months.alias("first_day"))
         .select(
-            month_text(F.col("first_day")).alias("dataset_month"),
+            month_text("first_day").alias("dataset_month"),
             F.year("first_day").alias("year"),
             F.month("first_day").alias("month"),
         )
@@ -40,7 +40,7 @@ def month_coverage(landed: DataFrame, start: str, end: str) -> DataFrame:
 
 def boundary_split(gold: DataFrame, fact_months: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Gold rows by date whose month has facts, and those whose month has none."""
-    dated = gold.withColumn("dataset_month", month_text(F.col("trip_date")))
+    dated = gold.withColumn("dataset_month", month_text("trip_date"))
     kept = dated.join(fact_months, "dataset_month", "left_semi").drop("dataset_month")
     stray = dated.join(fact_months, "dataset_month", "left_anti").drop("dataset_month")
     return kept, stray
@@ -59,7 +59,7 @@ def boundary_cleanup(gold: Mapping[str, DataFrame], months: DataFrame) -> DataFr
     """Rows before, after and removed, per mart, in one pass over each mart."""
     marked = months.withColumn("has_facts", F.lit(True))
     reports = [
-        mart.select(month_text(F.col("trip_date")).alias("dataset_month"))
+        mart.select(month_text("trip_date").alias("dataset_month"))
         .groupBy("dataset_month")
         .agg(F.count("*").alias("n"))
         .join(marked, "dataset_month", "left")

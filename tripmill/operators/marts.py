@@ -36,7 +36,7 @@ def guarded(fact: DataFrame, dataset_month: str | None = None) -> DataFrame:
     the next UTC month and are in neither month's marts.
     """
     if dataset_month is None:
-        return fact.where(in_own_month(F.col("pickup_at"), F.col("dataset_month")))
+        return fact.where(in_own_month("pickup_at", "dataset_month"))
     start, end = month_bounds(dataset_month)
     return fact.where(
         (F.col("dataset_month") == dataset_month)
@@ -48,12 +48,12 @@ def guarded(fact: DataFrame, dataset_month: str | None = None) -> DataFrame:
 def mart_daily_demand(facts: DataFrame) -> DataFrame:
     return facts.groupBy(F.to_date("pickup_at").alias("trip_date")).agg(
         F.count("*").alias("trip_count"),
-        F.sum(F.coalesce("passenger_count", F.lit(0))).alias("passenger_count"),
-        settled(F.sum("trip_distance_miles"), 2).alias("distance_miles"),
+        F.expr("sum(coalesce(passenger_count, 0))").alias("passenger_count"),
+        settled("sum(trip_distance_miles)", 2).alias("distance_miles"),
         F.sum("total_amount").alias("revenue_amount"),
         mean_decimal("fare_amount").alias("average_fare_amount"),
         mean_minutes("duration_minutes").alias("average_duration_minutes"),
-        share_pct(F.col("tip_amount") > 0).alias("tip_rate_pct"),
+        share_pct("tip_amount > 0").alias("tip_rate_pct"),
     )
 
 
@@ -70,7 +70,7 @@ def mart_zone_performance(facts: DataFrame, zones: DataFrame) -> DataFrame:
         F.sum("total_amount").alias("revenue_amount"),
         mean_decimal("fare_amount").alias("average_fare_amount"),
         mean_minutes("duration_minutes").alias("average_duration_minutes"),
-        settled(F.avg("average_speed_mph"), 2).alias("average_speed_mph"),
+        settled("avg(average_speed_mph)", 2).alias("average_speed_mph"),
     )
     names = zones.groupBy("zone_id", "borough", "zone_name").agg(F.count("*").alias("listings"))
     listings = F.coalesce("listings", F.lit(1))
@@ -92,18 +92,18 @@ def mart_hourly_pattern(guarded_facts: DataFrame) -> DataFrame:
     return (
         guarded_facts.groupBy(
             "dataset_month",
-            weekday_number(F.col("pickup_at")).alias("weekday_number"),
+            weekday_number("pickup_at").alias("weekday_number"),
             F.hour("pickup_at").alias("pickup_hour"),
         )
         .agg(
             F.count("*").alias("trip_count"),
             mean_decimal("fare_amount").alias("average_fare_amount"),
             mean_minutes("duration_minutes").alias("average_duration_minutes"),
-            share_pct(F.col("tip_amount") > 0).alias("tip_rate_pct"),
+            share_pct("tip_amount > 0").alias("tip_rate_pct"),
         )
         .select(
             "dataset_month",
-            weekday_name(F.col("weekday_number")).alias("weekday_name"),
+            weekday_name("weekday_number").alias("weekday_name"),
             "weekday_number",
             "pickup_hour",
             "trip_count",
@@ -120,8 +120,8 @@ def daily_summary_local(raw: DataFrame) -> DataFrame:
         raw.groupBy(F.to_date("tpep_pickup_datetime").alias("trip_date"))
         .agg(
             F.count("*").alias("trip_count"),
-            settled(F.sum("total_amount"), 2).alias("revenue_amount"),
-            settled(F.avg("trip_distance"), 2).alias("average_distance_miles"),
+            settled("sum(total_amount)", 2).alias("revenue_amount"),
+            settled("avg(trip_distance)", 2).alias("average_distance_miles"),
         )
         .orderBy("trip_date")
     )
@@ -129,7 +129,7 @@ def daily_summary_local(raw: DataFrame) -> DataFrame:
 
 def month_guard_report(facts: DataFrame) -> DataFrame:
     """Per file month: facts, facts the marts see, facts lost at the month boundary."""
-    inside = in_own_month(F.col("pickup_at"), F.col("dataset_month"))
+    inside = in_own_month("pickup_at", "dataset_month")
     return facts.groupBy("dataset_month").agg(
         F.count("*").alias("fact_rows"),
         F.count_if(inside).alias("guarded_rows"),

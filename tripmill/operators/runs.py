@@ -54,20 +54,18 @@ def run_metrics(bronze: DataFrame, events: DataFrame) -> DataFrame:
     )
     return counted.withColumn(
         "rejected_rate_pct",
-        round_half_away(
-            100.0 * F.col("rejected_rows") / F.greatest(F.col("bronze_rows"), F.lit(1)), 4
-        ),
+        round_half_away("100D * rejected_rows / greatest(bronze_rows, 1)", 4),
     )
 
 
 def with_freshness(runs: DataFrame) -> DataFrame:
     """Run duration and whether it stayed within the freshness limit."""
-    seconds = (F.unix_micros("completed_at") - F.unix_micros("started_at")) / F.lit(1e6)
+    seconds = "(unix_micros(completed_at) - unix_micros(started_at)) / 1e6D"
     return runs.withColumns(
         {
             "duration_seconds": round_half_away(seconds, 3),
             "freshness_sla_hours": F.lit(FRESHNESS_HOURS),
-            "freshness_sla_met": seconds <= FRESHNESS_HOURS * 3600,
+            "freshness_sla_met": F.expr(f"{seconds} <= {FRESHNESS_HOURS * 3600}"),
         }
     )
 
@@ -96,14 +94,18 @@ def expectations(metrics: DataFrame) -> DataFrame:
     return metrics.select("dataset_month", F.explode(rows).alias("r")).select("dataset_month", "r.*")
 
 
-def _deviation(rows: Column, baseline: Column) -> dict[str, Column]:
-    """Baseline, deviation and warning columns; without a baseline there is no warning."""
-    deviation = F.try_divide(100.0 * (rows - baseline), baseline)
-    return {
-        "volume_baseline_rows": round_half_away(baseline, 2),
-        "volume_deviation_pct": round_half_away(deviation, 4),
-        "volume_anomaly_warning": F.coalesce(F.abs(deviation) > MAX_DEVIATION_PCT, F.lit(False)),
-    }
+def _deviation(df: DataFrame) -> DataFrame:
+    """Deviation columns from ``bronze_rows`` and ``baseline``; no baseline, no warning."""
+    deviation = "try_divide(100D * (bronze_rows - baseline), baseline)"
+    return df.withColumns(
+        {
+            "volume_baseline_rows": round_half_away("baseline", 2),
+            "volume_deviation_pct": round_half_away(deviation, 4),
+            "volume_anomaly_warning": F.expr(
+                f"coalesce(abs({deviation}) > {MAX_DEVIATION_PCT}D, false)"
+            ),
+        }
+    ).drop("baseline")
 
 
 def _counts_as_history() -> Column:
@@ -118,9 +120,7 @@ def with_volume_check(metrics: DataFrame, audit: DataFrame) -> DataFrame:
         .limit(HISTORY_RUNS)
     )
     baseline = recent.agg(F.avg("bronze_rows")).first()[0]
-    return metrics.withColumns(
-        _deviation(F.col("bronze_rows"), F.lit(baseline).cast("double"))
-    )
+    return _deviation(metrics.withColumn("baseline", F.lit(baseline).cast("double")))
 
 
 def volume_history(audit: DataFrame) -> DataFrame:
@@ -158,17 +158,13 @@ def volume_history(audit: DataFrame) -> DataFrame:
         .groupBy("position")
         .agg(F.avg("bronze_rows").alias("baseline"))
     )
-    return (
-        placed.join(baselines, "position", "left")
-        .withColumns(_deviation(F.col("bronze_rows"), F.col("baseline")))
-        .select(
-            "run_id",
-            "dataset_month",
-            "bronze_rows",
-            "volume_baseline_rows",
-            "volume_deviation_pct",
-            "volume_anomaly_warning",
-        )
+    return _deviation(placed.join(baselines, "position", "left")).select(
+        "run_id",
+        "dataset_month",
+        "bronze_rows",
+        "volume_baseline_rows",
+        "volume_deviation_pct",
+        "volume_anomaly_warning",
     )
 
 

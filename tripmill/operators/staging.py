@@ -31,7 +31,7 @@ TRIP_CONTRACT = (
 )
 
 
-def _staged(kind: str, value: Column, source: T.DataType) -> Column:
+def _staged(kind: str, value: str, source: T.DataType) -> Column:
     match kind:
         case "integer":
             return to_integer(value, source)
@@ -40,7 +40,7 @@ def _staged(kind: str, value: Column, source: T.DataType) -> Column:
         case "instant":
             return local_to_instant(value)
         case _:
-            return value.cast(kind)
+            return F.expr(f"CAST({value} AS {kind})")
 
 
 def stg_trips(raw: DataFrame, dataset_month: str | Column) -> DataFrame:
@@ -55,7 +55,7 @@ def stg_trips(raw: DataFrame, dataset_month: str | Column) -> DataFrame:
     columns = [month.alias("dataset_month")]
     for source, target, kind in TRIP_CONTRACT:
         source_type = types.get(source.lower())
-        value = F.lit(None).cast("double") if source_type is None else F.col(source)
+        value = "CAST(NULL AS DOUBLE)" if source_type is None else source
         columns.append(_staged(kind, value, source_type or T.DoubleType()).alias(target))
     return raw.select(*columns, F.current_timestamp().alias("transformed_at"))
 

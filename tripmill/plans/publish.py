@@ -31,7 +31,7 @@ def with_month(model: str, df: DataFrame) -> DataFrame:
         return df.withColumn("dataset_month", F.lit(ALL_MONTHS))
     if column == "dataset_month":
         return df
-    return df.withColumn("dataset_month", month_text(F.col(column)))
+    return df.withColumn("dataset_month", month_text(column))
 
 
 def export_path(root: str, model: str) -> str:

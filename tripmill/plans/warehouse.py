@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ class Warehouse:
     months were loaded in order, so a trip is there once, under its last month.
     """
 
-    def __init__(self, trips: DataFrame, zones: DataFrame, dataset_month: str | Column):
+    def __init__(self, trips: DataFrame, zones: Callable[[], DataFrame], dataset_month: str | Column):
         self.trips, self.zones, self.dataset_month = trips, zones, dataset_month
 
     @cached_property
@@ -27,7 +27,7 @@ class Warehouse:
 
     @cached_property
     def stg_zones(self) -> DataFrame:
-        return staging.stg_zones(self.zones)
+        return staging.stg_zones(self.zones())
 
     @cached_property
     def dim_zone(self) -> DataFrame:

@@ -26,7 +26,12 @@ def build_session(app_name: str = "tripmill", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED, "spark.ui.enabled": "false", **conf}.items():
+    defaults = {
+        "spark.ui.enabled": "false",
+        # Call sites of single expressions are not worth a JVM call each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
+    for key, value in {**REQUIRED, **defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

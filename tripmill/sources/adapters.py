@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions import round_half_away
@@ -28,8 +28,31 @@ def _spread(table: DataFrame, *keys: str) -> DataFrame:
     return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
 
 
-def _plus_seconds(moment: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, moment)
+TRIP_EXPRESSIONS = (
+    "CAST(l_linenumber % 2 + 1 AS INT) AS VendorID",
+    "pickup AS tpep_pickup_datetime",
+    """CASE WHEN l_partkey % 499 = 7 THEN NULL WHEN l_partkey % 211 = 3 THEN pickup
+       ELSE timestampadd(SECOND, CAST(l_quantity AS BIGINT) * 290 + l_suppkey % 60, pickup)
+       END AS tpep_dropoff_datetime""",
+    "CASE WHEN l_partkey % 13 != 5 THEN CAST(l_linenumber AS DOUBLE) END AS passenger_count",
+    """CASE WHEN l_partkey % 307 = 11 THEN -1D ELSE l_quantity * 0.4D END
+       + CASE WHEN copy = 1 THEN 1D ELSE 0D END AS trip_distance""",
+    "1D AS RatecodeID",
+    "CASE WHEN l_returnflag = 'R' THEN 'Y' ELSE 'N' END AS store_and_fwd_flag",
+    f"CASE WHEN l_partkey % 401 != 13 THEN CAST(l_partkey % {ZONE_COUNT} AS INT) END AS PULocationID",
+    f"CAST(l_suppkey % {ZONE_COUNT} AS INT) AS DOLocationID",
+    "CAST(l_linenumber % 4 + 1 AS INT) AS payment_type",
+    "fare_amount",
+    "0.5D AS extra",
+    "0.5D AS mta_tax",
+    "tip_amount",
+    "0D AS tolls_amount",
+    "1D AS improvement_surcharge",
+    "fare_amount + tip_amount + 2D AS total_amount",
+    "0D AS congestion_surcharge",
+    """date_format(add_months(CAST(pickup AS DATE), CASE WHEN copy = 2 THEN 1 ELSE 0 END), 'yyyy-MM')
+       AS file_month""",
+)
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,55 +62,20 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     once more in the file of the following month. One scan emits all copies.
     """
     item = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
-    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-    offset = (F.col("l_orderkey") * 7919 + part * 31 + F.col("l_linenumber")) % 86400
-    copies = F.array_compact(
-        F.array(
-            F.lit(0),
-            F.when(F.col("l_orderkey") % 53 == 0, 1),
-            F.when(F.col("l_orderkey") % 101 == 0, 2),
-        )
-    )
-    ride_seconds = F.col("l_quantity").cast("bigint") * 290 + supplier % 60
-    fare = round_half_away(F.col("l_extendedprice") / 110.0, 2)
-    tip = round_half_away(F.col("l_extendedprice") * F.col("l_discount") / 110.0, 2)
-    pickup, copy = F.col("pickup"), F.col("copy")
     return (
-        item.withColumn("pickup", _plus_seconds(F.col("l_shipdate"), offset))
-        .withColumn("copy", F.explode(copies))
-        .select(
-            (F.col("l_linenumber") % 2 + 1).cast("int").alias("VendorID"),
-            pickup.alias("tpep_pickup_datetime"),
-            F.when(part % 499 == 7, None)
-            .when(part % 211 == 3, pickup)
-            .otherwise(_plus_seconds(pickup, ride_seconds))
-            .alias("tpep_dropoff_datetime"),
-            F.when(part % 13 == 5, None)
-            .otherwise(F.col("l_linenumber").cast("double"))
-            .alias("passenger_count"),
-            (
-                F.when(part % 307 == 11, F.lit(-1.0)).otherwise(F.col("l_quantity") * 0.4)
-                + F.when(copy == 1, 1.0).otherwise(0.0)
-            ).alias("trip_distance"),
-            F.lit(1.0).alias("RatecodeID"),
-            F.when(F.col("l_returnflag") == "R", "Y").otherwise("N").alias("store_and_fwd_flag"),
-            F.when(part % 401 == 13, None)
-            .otherwise((part % ZONE_COUNT).cast("int"))
-            .alias("PULocationID"),
-            (supplier % ZONE_COUNT).cast("int").alias("DOLocationID"),
-            (F.col("l_linenumber") % 4 + 1).cast("int").alias("payment_type"),
-            fare.alias("fare_amount"),
-            F.lit(0.5).alias("extra"),
-            F.lit(0.5).alias("mta_tax"),
-            tip.alias("tip_amount"),
-            F.lit(0.0).alias("tolls_amount"),
-            F.lit(1.0).alias("improvement_surcharge"),
-            (fare + tip + 2.0).alias("total_amount"),
-            F.lit(0.0).alias("congestion_surcharge"),
-            F.date_format(
-                F.add_months(F.to_date(pickup), F.when(copy == 2, 1).otherwise(0)), "yyyy-MM"
-            ).alias("file_month"),
+        item.withColumns(
+            {
+                "pickup": F.expr(
+                    "timestampadd(SECOND, (l_orderkey * 7919 + l_partkey * 31 + l_linenumber) % 86400, l_shipdate)"
+                ),
+                "copy": F.expr(
+                    "explode(array_compact(array(0, if(l_orderkey % 53 = 0, 1, NULL), if(l_orderkey % 101 = 0, 2, NULL))))"
+                ),
+                "fare_amount": round_half_away("l_extendedprice / 110D", 2),
+                "tip_amount": round_half_away("l_extendedprice * l_discount / 110D", 2),
+            }
         )
+        .selectExpr(*TRIP_EXPRESSIONS)
     )
 
 
