@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataValueLength": "10000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
