@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.functions import round_half_away
+from tripmill.functions import round_half_away, settled
 
 TOP_ZONES, ZONE_TABLE_ROWS = 20, 25
 
@@ -66,10 +66,9 @@ def demand_heatmap_chart(hourly: DataFrame) -> DataFrame:
     return hourly.groupBy("pickup_hour", "weekday_name").agg(F.sum("trip_count").alias("trips"))
 
 
-def _mean_exact(column: str) -> Column:
-    """Plain mean of a two-digit measure, summed exactly."""
-    cents = (F.sum(F.col(column).cast("decimal(18,2)")) * 100).cast("double")
-    return cents / (F.count(column) * 100.0)
+def _mean_of_days(column: str) -> Column:
+    """Plain mean of a two-digit measure, summed exactly, to four places."""
+    return settled(f"CAST(sum(CAST({column} AS DECIMAL(18, 2))) AS DOUBLE) / count({column})", 4)
 
 
 def kpi_totals(daily: DataFrame) -> DataFrame:
@@ -77,8 +76,8 @@ def kpi_totals(daily: DataFrame) -> DataFrame:
     return daily.agg(
         F.sum("trip_count").alias("trips"),
         F.sum("revenue_amount").alias("revenue"),
-        _mean_exact("average_fare_amount").alias("average_fare"),
-        _mean_exact("tip_rate_pct").alias("tip_rate_pct"),
+        _mean_of_days("average_fare_amount").alias("average_fare"),
+        _mean_of_days("tip_rate_pct").alias("tip_rate_pct"),
     )
 
 

@@ -465,8 +465,8 @@ BODIES = {
     "kpi_totals": """
         SELECT CAST(sum(trip_count) AS BIGINT) AS trips,
                CAST(sum(CAST(revenue_amount AS DECIMAL(18, 2))) AS DOUBLE) AS revenue,
-               avg(CAST(average_fare_amount AS DECIMAL(18, 2))) AS average_fare,
-               avg(CAST(tip_rate_pct AS DECIMAL(18, 2))) AS tip_rate_pct
+               round(round(avg(CAST(average_fare_amount AS DECIMAL(18, 2))), 10), 4) AS average_fare,
+               round(round(avg(CAST(tip_rate_pct AS DECIMAL(18, 2))), 10), 4) AS tip_rate_pct
         FROM mart_daily_demand""",
     "kpi_rejection_rate": """
         SELECT 100.0::DOUBLE * sum(rejected_rows) / nullif(sum(bronze_rows), 0) AS rejected_pct FROM audit""",
