@@ -76,13 +76,19 @@ def _values(months: DataFrame) -> list[str]:
     return [row[0] for row in months.collect()]
 
 
+def _landed(spark: SparkSession, root: str, months: Sequence[str]) -> DataFrame:
+    if len(months) == 1:
+        return bronze.read_bronze(spark, trips_path(root), months[0])
+    return _of_months(bronze.read_bronze(spark, trips_path(root)), months)
+
+
 def write_events(spark: SparkSession, root: str, months: Sequence[str]) -> DataFrame:
     """Stage, deduplicate, score and store the events of the given months."""
-    landed = _of_months(bronze.read_bronze(spark, trips_path(root)), months)
+    landed = _landed(spark, root, months)
     bronze.require_contract(landed)
     events = silver.silver_trip_events(staging.stg_trips(landed, F.col("dataset_month")))
     replace_partitions(events, events_path(root), MONTH)
-    return _of_months(read_table(spark, events_path(root)), months)
+    return _of_months(read_table(spark, events_path(root), events.schema), months)
 
 
 def write_zones(spark: SparkSession, root: str) -> DataFrame:
@@ -103,12 +109,14 @@ def merge_into_fact(spark: SparkSession, path: str, new: DataFrame, months: Sequ
     if not exists(spark, path):
         replace_partitions(new, path, MONTH)
         return
-    contested = _values(facts.contested_months(read_table(spark, path), new, months))
-    touched = _of_months(read_table(spark, path), contested)
+    fact = read_table(spark, path, new.schema)
+    contested = _values(facts.contested_months(fact, new, months))
+    touched = _of_months(fact, contested)
     replace_partitions(facts.merge_loads(touched, new, months), path, MONTH)
     emptied = set(months) - set(_values(new.select("dataset_month").distinct()))
     if contested:
-        emptied.update(_values(facts.contested_months(read_table(spark, path), new, months)))
+        fact = read_table(spark, path, new.schema)
+        emptied.update(_values(facts.contested_months(fact, new, months)))
     drop_partitions(spark, path, "dataset_month", sorted(emptied))
 
 
@@ -150,7 +158,7 @@ def _metrics(
     run_id: str,
     started_at: datetime,
 ) -> DataFrame:
-    landed = _of_months(bronze.read_bronze(spark, trips_path(root)), months)
+    landed = _landed(spark, root, months)
     measured = runs.run_metrics(landed, events).withColumns(
         {
             "run_id": F.concat_ws("-", F.lit(run_id), "dataset_month"),
@@ -233,8 +241,8 @@ def backfill(
 
 def models(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Stored models by name, ready for the checks, dashboards and exports."""
-    events = read_table(spark, events_path(root))
-    fact = read_table(spark, fact_path(root))
+    events = read_table(spark, events_path(root), merge_schema=True)
+    fact = read_table(spark, fact_path(root), merge_schema=True)
     if months:
         events, fact = _of_months(events, months), _of_months(fact, months)
     return {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.sources.lake import read_table, replace_partitions
+from tripmill.sources.lake import exists, read_table, replace_partitions
 
 # The columns a trip file must have.
 REQUIRED_TRIP_COLUMNS = (
@@ -63,11 +63,19 @@ def write_bronze(raw: DataFrame, path: str) -> None:
 
 
 def read_bronze(spark: SparkSession, path: str, dataset_month: str | None = None) -> DataFrame:
-    """Bronze trips with their ``dataset_month``; one month reads one partition."""
-    trips = read_table(spark, path)
+    """Bronze trips with their ``dataset_month``.
+
+    One month is read on its own, with the schema of its own files; all months
+    together have every column any of them has.
+    """
     if dataset_month:
         year, month = dataset_month.split("-")
+        partition = f"year={year}/month={month}"
+        landed = exists(spark, f"{path}/{partition}")
+        trips = read_table(spark, path, partition=partition if landed else None)
         trips = trips.where((F.col("year") == year) & (F.col("month") == month))
+    else:
+        trips = read_table(spark, path, merge_schema=True)
     return trips.withColumn("dataset_month", F.concat_ws("-", "year", "month"))
 
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_roots: dict[str, str] = {}
 
@@ -76,13 +77,26 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
     spark.catalog.refreshByPath(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Partition values stay text (``2024-01``, ``01``) as they were written."""
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    merge_schema: bool = False,
+    partition: str | None = None,
+) -> DataFrame:
+    """A partitioned table; partition values stay text (``2024-01``, ``01``) as written.
+
+    With a schema no file is opened to find one. Merging looks at every footer,
+    so it is for readers who need columns that only some months have.
+    """
     spark.catalog.refreshByPath(path)
     inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(inference)
     spark.conf.set(inference, "false")
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        reader = spark.read.option("mergeSchema", str(merge_schema).lower()).option("basePath", path)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(f"{path}/{partition}" if partition else path)
     finally:
         spark.conf.set(inference, before)
