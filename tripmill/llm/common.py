@@ -89,3 +89,57 @@ def bounded_sample(df: DataFrame, key: Column, by: str, per_group: int) -> DataF
         share = F.when(F.col(by) == F.lit(value), F.lit(min(1.0, per_group / n))).otherwise(share)
     place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return df.filter(place < share)
+
+
+#: Bytes hashed at a time; a longer text is taken in pieces that end between words.
+PIECE_BYTES = 1 << 20
+_MULTIPLIER = 0x9E3779B97F4A7C55
+_INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
+_BYTE_CODES = mix(np.arange(256, dtype=_U), 77)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+_powers: list[np.ndarray] = []
+
+
+def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, PIECE_BYTES * 2)
+        steps = np.repeat(np.array([[_MULTIPLIER], [_INVERSE]], dtype=_U), size, axis=1)
+        steps[:, 0] = 1
+        with np.errstate(over="ignore"):
+            _powers[:] = np.cumprod(steps, axis=1, dtype=_U)
+    return _powers[0], _powers[1]
+
+
+def pieces(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of about PIECE_BYTES that end at white space."""
+    first = 0
+    while first < len(data):
+        last = min(first + PIECE_BYTES, len(data))
+        while last < len(data) and not _SPACE[data[last]]:
+            ahead = np.flatnonzero(_SPACE[data[last : last + PIECE_BYTES]])
+            last = last + int(ahead[0]) if len(ahead) else min(last + PIECE_BYTES, len(data))
+        yield first, last
+        first = last
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words (runs without ASCII white space) of a byte array, and where each begins."""
+    hashes, begins = [], []
+    with np.errstate(over="ignore"):
+        for first, last in pieces(data):
+            part = data[first:last]
+            solid = ~_SPACE[part]
+            edge = np.flatnonzero(np.diff(np.concatenate(([False], solid, [False])).view(np.int8)))
+            start, end = edge[::2], edge[1::2]
+            if not len(start):
+                continue
+            power, inverse = _powers_up_to(len(part))
+            total = np.concatenate((np.zeros(1, dtype=_U), np.cumsum(_BYTE_CODES[part] * power[: len(part)], dtype=_U)))
+            hashes.append(mix((total[end] - total[start]) * inverse[start], 5))
+            begins.append(start + first)
+    if not hashes:
+        return np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64)
+    return np.concatenate(hashes), np.concatenate(begins)
