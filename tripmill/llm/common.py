@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,14 @@ def spool(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def crc_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % F.lit(modulus)
@@ -143,3 +152,52 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not hashes:
         return np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64)
     return np.concatenate(hashes), np.concatenate(begins)
+
+
+#: Bits of one row of a filter under construction.
+CHUNK_BITS = 1 << 18
+
+
+class HashFilter:
+    """A bit per hash value of fixed total size: it may let a value through, it never holds one back."""
+
+    def __init__(self, bits: int, chunks: dict[int, bytes]):
+        self.shift = np.uint64(64 - bits.bit_length() + 1)
+        self.words = np.zeros(max(bits, CHUNK_BITS) // 8, dtype=np.uint8)
+        for chunk, data in chunks.items():
+            self.words[chunk * CHUNK_BITS // 8 :][: len(data)] = np.frombuffer(data, dtype=np.uint8)
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        place = (mix(hashes, 99) >> self.shift).astype(np.int64)
+        return (self.words[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
+def hash_filter(hashes: DataFrame, column: str, expected: int, most_bits: int = 1 << 27) -> HashFilter:
+    """A filter over a long column, built in parts in Spark; at most ``most_bits`` bits (16 MB) reach the driver."""
+    bits = CHUNK_BITS
+    while bits < min(most_bits, 16 * expected):
+        bits *= 2
+    shift = np.uint64(64 - bits.bit_length() + 1)
+
+    def mark(batches):
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place = (mix(batch["h"].to_numpy().astype(np.int64).view(_U), 99) >> shift).astype(np.int64)
+            for chunk in np.unique(place // CHUNK_BITS).tolist():
+                own = seen.setdefault(chunk, np.zeros(CHUNK_BITS, dtype=bool))
+                own[place[place // CHUNK_BITS == chunk] % CHUNK_BITS] = True
+        for chunk, own in seen.items():
+            yield pd.DataFrame({"chunk": [chunk], "data": [np.packbits(own, bitorder="little").tobytes()]})
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        data = np.bitwise_or.reduce([np.frombuffer(d, dtype=np.uint8) for d in group["data"]])
+        return pd.DataFrame({"chunk": group["chunk"].iloc[:1], "data": [data.tobytes()]})
+
+    parts = (
+        hashes.filter(F.col(column).isNotNull())
+        .select(F.col(column).alias("h"))
+        .mapInPandas(mark, "chunk long, data binary")
+        .groupBy("chunk")
+        .applyInPandas(join, "chunk long, data binary")
+    )
+    return HashFilter(bits, {r["chunk"]: bytes(r["data"]) for r in parts.collect()})
