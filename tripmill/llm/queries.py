@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripmill.llm import op1_token_counts, op2_context_trees, op3_surrogates, op4_discriminant, op5_training_order, op6_classifier_chain, op7_term_at_a_time, op8_templates, op9_merge_replay
+from tripmill.llm import op10_signature_trees, op1_token_counts, op2_context_trees, op3_surrogates, op4_discriminant, op5_training_order, op6_classifier_chain, op7_term_at_a_time, op8_templates, op9_merge_replay
 
 QUERIES = {
     "op1_length_histogram": op1_token_counts.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_term_at_a_time": op7_term_at_a_time.query,
     "op8_templates": op8_templates.query,
     "op9_merge_replay": op9_merge_replay.query,
+    "op10_signature_trees": op10_signature_trees.query,
 }
 
 ORACLES = {"op7_term_at_a_time": op7_term_at_a_time.SQL}
