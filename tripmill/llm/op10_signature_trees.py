@@ -262,12 +262,12 @@ _FACTS = pa.schema(
     [
         ("doc_id", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()),
         ("part", pa.int64()), ("keys", pa.binary()), ("places", pa.binary()), ("ids", pa.binary()),
-        ("a", pa.int64()), ("b", pa.int64()),
+        ("a", pa.int64()), ("b", pa.int64()), ("text_key", pa.int64()),
     ]
 )
 _FACTS_SQL = (
     "doc_id long, n long, id long, digest binary, sig binary, part long, keys binary, places binary, ids binary, "
-    "a long, b long"
+    "a long, b long, text_key long"
 )
 
 
@@ -379,7 +379,7 @@ def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) ->
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row."""
+    """(doc_id, n_shingles, component_id) per row, and the row's ``text_key`` (xxhash64 of its text)."""
     spark = docs.sparkSession
     prepare_workers(spark)
     p, q = numerator, denominator
@@ -396,15 +396,16 @@ def near_duplicates(
                 )
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            doc_ids, texts, text_keys = (c.to_pylist() for c in batch.columns)
             for first, run in blocks(texts, PIECE_BYTES):
-                rows = {"doc_id": [], "n": [], "id": [], "digest": [], "sig": []}
+                rows = {"doc_id": [], "n": [], "id": [], "digest": [], "sig": [], "text_key": []}
                 for i, shingles in enumerate(shingle_sets(run, words)):
                     doc_id, n = doc_ids[first + i], len(shingles)
                     digest = _digest(shingles) if n else None
                     own = int.from_bytes(digest[:8], "little", signed=True) if n else None
                     rows["doc_id"].append(doc_id)
                     rows["n"].append(n)
+                    rows["text_key"].append(text_keys[first + i])
                     rows["id"].append(own)
                     rows["digest"].append(digest)
                     rows["sig"].append(signature(shingles).tobytes() if n else None)
@@ -422,8 +423,9 @@ def near_duplicates(
         yield from post()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = spool(source.mapInArrow(gather, _FACTS_SQL), "shingle-facts")
-    rows = facts.filter(F.col("n").isNotNull()).select("doc_id", "n", "id", "digest", "sig")
+    keyed = source.withColumn("text_key", F.xxhash64("text"))
+    facts = spool(keyed.mapInArrow(gather, _FACTS_SQL), "shingle-facts")
+    rows = facts.filter(F.col("n").isNotNull()).select("doc_id", "n", "id", "digest", "sig", "text_key")
     near = facts.filter(F.col("a").isNotNull()).select("a", "b")
     posted = facts.filter(F.col("part").isNotNull()).select("part", "keys", "places", "ids")
     met = posted.groupBy("part").applyInPandas(_meet, "a long, b long")
@@ -484,9 +486,10 @@ def near_duplicates(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("component_id"),
+        "text_key",
     )
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op10: groups of all documents at nine tenths of three-word shingles."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
