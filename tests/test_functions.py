@@ -114,3 +114,16 @@ def test_in_own_month(spark):
     )
     rows = df.select(fn.in_own_month("t", "m")).collect()
     assert [r[0] for r in rows] == [False, True]
+
+
+def test_exact_sums_do_not_depend_on_partitions(spark):
+    rows = spark.range(200_000).selectExpr("CAST(id * 7919 % 1000003 AS DOUBLE) / 7 AS x")
+    results = {
+        tuple(rows.repartition(n).agg(fn.exact_sum("x", 2).alias("s"), fn.exact_mean("x", 2).alias("m")).first()) for n in (1, 3, 7)
+    }
+    assert len(results) == 1 and next(iter(results))[0] > 1e9
+
+
+def test_decimals_round_to_integers(spark):
+    df = spark.sql("SELECT CAST(x AS DECIMAL(6, 2)) AS x FROM VALUES (1.5), (2.49), (-1.5), (3.0) AS v(x)")
+    assert [r[0] for r in df.select(fn.to_integer("x", T.DecimalType(6, 2))).collect()] == [2, 2, -2, 3]

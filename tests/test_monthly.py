@@ -103,6 +103,36 @@ def test_failed_gate_records_and_raises(spark, lake):
     assert audit == {"one-2024-01": "success", "bad-2024-01": "failed"}
 
 
+def test_failed_gate_keeps_the_old_quarantine_and_leaves_no_work_folder(spark, lake):
+    monthly.load_months(spark, lake, ["2024-01"], "one")
+    bad = [{"VendorID": n, "trip_distance": -1.0} for n in range(5)]
+    bronze.write_bronze(trips(spark, *JANUARY, *bad), monthly.trips_path(lake))
+    with pytest.raises(monthly.GateError):
+        monthly.load_months(spark, lake, ["2024-01"], "bad")
+    assert monthly.models(spark, lake)["silver_quarantine"].count() == 0
+    assert not list((Path(lake) / "_work").glob("*"))
+
+
+def test_only_the_month_with_a_broken_contract_is_refused(spark, lake):
+    broken = trips(spark, *FEBRUARY).drop("tip_amount", "payment_type")
+    bronze.write_bronze(broken, monthly.trips_path(lake))
+    for load in (
+        lambda: monthly.backfill(spark, lake, "2024-01", "2024-02", "fill"),
+        lambda: monthly.load_months(spark, lake, ["2024-02"], "alone"),
+        lambda: monthly.load_months(spark, lake, ["2024-01", "2024-02"], "both"),
+    ):
+        with pytest.raises(bronze.ContractError, match="2024-02.*payment_type,tip_amount"):
+            load()
+    assert {r.dataset_month for r in monthly.models(spark, lake)["fact_trips"].collect()} == {"2024-01"}
+
+
+def test_a_column_only_one_month_has_is_null_elsewhere(spark, lake):
+    extra = trips(spark, *FEBRUARY).withColumnRenamed("congestion_surcharge", "unknown_fee")
+    bronze.write_bronze(extra, monthly.trips_path(lake))
+    monthly.backfill(spark, lake, "2024-01", "2024-02", "fill")
+    assert {r.dataset_month for r in monthly.models(spark, lake)["fact_trips"].collect()} == {"2024-01", "2024-02"}
+
+
 def test_stale_run_fails_the_gate(spark, lake):
     with pytest.raises(monthly.GateError):
         monthly.load_months(spark, lake, ["2024-01"], "old", datetime.now(UTC) - timedelta(hours=25))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tripmill import __main__ as cli
 from tripmill.catalog import QUERIES, warehouse
-from tripmill.operators import facts, marts, silver, staging
+from tripmill.operators import facts, maintenance, marts, silver, staging
 from tripmill.plans import monthly
 from tripmill.sources.lake import read_table, replace_partitions
 
@@ -52,6 +52,13 @@ def test_contested_months_prune_by_pickup_range(spark, stored):
     assert "GreaterThanOrEqual(pickup_at" in text and "LeftSemi" in text
 
 
+def test_year_validation_reads_the_facts_once(spark):
+    fact = warehouse(spark, SF_DIR).fact_trips
+    daily = warehouse(spark, SF_DIR).mart_daily_demand
+    alone, both = plan(maintenance.year_validation(fact, daily.limit(0), 1998)), plan(fact)
+    assert alone.count("RunningWindowFunction") + alone.count("+- Window ") <= both.count("RunningWindowFunction") + both.count("+- Window ")
+
+
 def test_dedup_drops_columns_the_mart_does_not_need(spark):
     text = plan(warehouse(spark, SF_DIR).mart_daily_demand)
     assert "sha2" not in text and text.count("WindowGroupLimit") == 2
@@ -81,6 +88,6 @@ def test_command_line(spark, tmp_path):
     cli.replay_trips(spark, cli.parse(["replay", "--source", source, "--output", events, "--limit", "1"]))
     cli.minutes(
         spark,
-        cli.parse(["minutes", "--source", events, "--output", str(tmp_path / "m"), "--checkpoint", checkpoint]),
+        cli.parse(["minutes", "--source", events, "--output", str(tmp_path / "m"), "--checkpoint", checkpoint, "--state-partitions", "1"]),
     )
     assert cli.stream.read_minute_zone(spark, str(tmp_path / "m" / "minutes")).first().trip_count == 1

@@ -64,7 +64,7 @@ def test_watermark_drops_only_what_is_later_than_its_delay(spark, tmp_path):
         name = delay.replace(" ", "")
         output, checkpoint = str(tmp_path / f"out{name}"), str(tmp_path / f"cp{name}")
         messages = stream.file_messages(spark, str(source), 1)
-        stream.start_minute_zone(messages, output, checkpoint, delay, state_partitions=2).awaitTermination()
+        stream.start_minute_zone(messages, output, checkpoint, 2, delay).awaitTermination()
         return sum(row[2] for row in current(spark, output))
 
     assert run("1 day") == 4
@@ -87,6 +87,45 @@ def test_bad_events_are_set_aside_with_a_reason(spark, tmp_path):
     assert current(spark, str(tmp_path / "out")) == [("10:00", 1, 1, 2.5)]
 
 
+def test_no_value_stops_a_stream(spark, tmp_path):
+    source = tmp_path / "in"
+    wild = [event(zone=z) for z in (1e12, float("nan"), "x", 1.5, "2")]
+    wild += [event(amount=a) for a in (1e25, float("nan"), "12.5", "much")] + ["garbage", "{}", '{"PULocationID": [1]}']
+    land(source, "1.json", *wild, event())
+    messages = stream.file_messages(spark, str(source))
+    stream.start_rejects(messages, str(tmp_path / "rejects"), str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "rejects")).groupBy("reject_reason").count().collect()
+    assert {r.reject_reason: r["count"] for r in rows} == {
+        "unreadable_zone": 3,
+        "unreadable_amount": 3,
+        "unreadable_timestamp": 3,
+    }
+    stream.start_minute_zone(messages, str(tmp_path / "out"), str(tmp_path / "cp2"), state_partitions=2).awaitTermination()
+    assert current(spark, str(tmp_path / "out")) == [("10:00", 1, 3, 17.5), ("10:00", 2, 1, 2.5)]
+
+
+def test_many_batches_leave_one_version_of_a_key(spark, tmp_path):
+    source, output = tmp_path / "in", str(tmp_path / "out")
+    for n in range(20):
+        land(source, f"{n:02d}.json", event(amount=1.0), event(f"2024-01-{n + 1:02d} 11:00"))
+    messages = stream.file_messages(spark, str(source), 1)
+    stream.start_minute_zone(messages, output, str(tmp_path / "cp"), state_partitions=1).awaitTermination()
+    rows = spark.read.parquet(output)
+    assert rows.count() == rows.select(*stream.KEYS).distinct().count() == 21
+    assert ("10:00", 1, 20, 20.0) in current(spark, output)
+
+
+def test_a_bounded_stream_takes_the_first_events(spark, tmp_path):
+    source = tmp_path / "in"
+    land(source, "1.json", event(zone=1), event(zone=2), event(zone=3))
+    land(source, "2.json", event(zone=4))
+    messages = stream.file_messages(spark, str(source), 1)
+    stream.start_minute_zone(
+        messages, str(tmp_path / "out"), str(tmp_path / "cp"), state_partitions=1, max_events=2
+    ).awaitTermination()
+    assert [row[1] for row in current(spark, str(tmp_path / "out"))] == [1, 2]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = spark.range(500).select(
         F.timestamp_add("SECOND", (F.col("id") * 37) % 600, F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")).alias("tpep_pickup_datetime"),

@@ -61,7 +61,9 @@ def summary(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def replay_trips(spark: SparkSession, args: argparse.Namespace) -> None:
-    trips = spark.read.parquet(args.source).limit(args.limit)
+    trips = spark.read.parquet(args.source)
+    if args.limit is not None:
+        trips = replay.first_events(trips, "tpep_pickup_datetime", args.limit)
     replay.to_events(trips).write.mode("append").text(args.output)
 
 
@@ -74,7 +76,12 @@ def minutes(spark: SparkSession, args: argparse.Namespace) -> None:
         messages, f"{args.output}/rejects", f"{args.checkpoint}/rejects"
     )
     counted = stream.start_minute_zone(
-        messages, f"{args.output}/minutes", f"{args.checkpoint}/minutes", args.watermark
+        messages,
+        f"{args.output}/minutes",
+        f"{args.checkpoint}/minutes",
+        args.state_partitions,
+        args.watermark,
+        args.max_events,
     )
     counted.awaitTermination()
     rejected.awaitTermination()
@@ -93,7 +100,7 @@ COMMANDS = {
         {
             "--source": {},
             "--output": {},
-            "--limit": {"type": int, "default": replay.DEFAULT_EVENTS, "required": False},
+            "--limit": {"type": int, "required": False},
         },
     ),
     "minutes": (
@@ -103,7 +110,9 @@ COMMANDS = {
             "--output": {},
             "--checkpoint": {},
             "--servers": {"required": False},
+            "--state-partitions": {"type": int},
             "--watermark": {"required": False},
+            "--max-events": {"type": int, "required": False},
         },
     ),
 }

@@ -36,8 +36,8 @@ VALIDATED_YEAR = 1998
 COVERAGE_RANGE = ("1994-11", "2002-03")
 BOUNDED_EVENTS = 2_500
 WATERMARK = "40 days"
-FILES_PER_BATCH = 1
 EVENTS_PER_FILE = 25_000
+STATE_PARTITIONS = 8
 
 QUERIES: dict[str, Query] = {}
 
@@ -137,7 +137,8 @@ def stg_zones(spark, sf_dir):
 
 @query
 def bronze_contract(spark, sf_dir):
-    return bronze.contract_report(adapters.trips_raw(spark, sf_dir))
+    """Per landed month, from the month's own files."""
+    return bronze.contract_report(spark, _landed_bronze(spark, sf_dir))
 
 
 def _landed_bronze(spark, sf_dir):
@@ -159,25 +160,50 @@ def bronze_partitioned_scan(spark, sf_dir):
     )
 
 
+def _zone_files(spark, sf_dir):
+    """The zone lookup as one sorted text file per borough, so that SQL can rebuild every byte."""
+    path = fresh_dir(spark, "zone files")
+    line = F.concat_ws(",", "LocationID", "Borough", "Zone", "service_zone")
+    lines = F.sort_array(F.collect_list(F.struct(F.col("LocationID").cast("int").alias("id"), line.alias("line"))))
+    (
+        adapters.zones_raw(spark, sf_dir)
+        .groupBy(F.col("Borough").alias("borough"))
+        .agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("value"))
+        .write.partitionBy("borough")
+        .text(path)
+    )
+    return path
+
+
+def _by_borough(files):
+    borough = F.regexp_extract("file_key", "borough=([^/]+)/", 1)
+    return files.select(borough.alias("borough"), "bytes", "sha256")
+
+
 @query
 def file_checksums(spark, sf_dir):
-    return bronze.file_checksums(spark, sf_dir).select("file_name", "bytes", "sha256")
+    return _by_borough(bronze.file_facts(spark, _zone_files(spark, sf_dir), "*.txt"))
 
 
 @query
 def changed_files(spark, sf_dir):
     """Against a record that knows an older version of one file and has never seen another."""
-    current = bronze.file_checksums(spark, sf_dir)
-    name = F.col("file_name")
-    known = current.where(name != "labels.parquet").withColumn(
-        "sha256", F.when(name == "orders.parquet", F.sha2("sha256", 256)).otherwise(F.col("sha256"))
+    current = bronze.file_facts(spark, _zone_files(spark, sf_dir), "*.txt")
+    borough = F.regexp_extract("file_key", "borough=([^/]+)/", 1)
+    known = current.where(borough != "EUROPE").withColumn(
+        "sha256", F.when(borough == "ASIA", F.sha2("sha256", 256)).otherwise(F.col("sha256"))
     )
-    return bronze.changed_files(current, known).select("file_name", "bytes", "sha256")
+    return _by_borough(bronze.changed_files(current, known))
 
 
 @query
 def bronze_manifest(spark, sf_dir):
-    return bronze.bronze_manifest(spark, _landed_bronze(spark, sf_dir)).drop("path")
+    """The records of each month's files, put together; names and digests differ from run to run."""
+    files = bronze.bronze_manifest(spark, _landed_bronze(spark, sf_dir))
+    return files.groupBy("dataset", "dataset_month", "status", "columns").agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and((F.length("sha256") == 64) & (F.col("bytes") > 0) & F.col("changed")).alias("complete"),
+    )
 
 
 @query
@@ -362,12 +388,28 @@ def export_counts(spark, sf_dir):
 
 @query
 def publish_manifest(spark, sf_dir):
-    """Run metrics with the export records nested, as JSON documents."""
+    """Run documents written as JSON and read again: run fields and one row per export record."""
     records = publish.export_records(spark, _exported(spark, sf_dir))
-    documents = publish.publish_manifest(audit_table(spark, sf_dir), records)
+    run = runs.with_freshness(audit_table(spark, sf_dir))
+    documents = publish.publish_manifest(run, records)
     path = fresh_dir(spark, "manifests")
     publish.write_manifest(documents, path)
-    return spark.read.text(path).select(F.col("value").alias("document"))
+    read = spark.read.schema(documents.schema).json(path)
+    file_ok = F.forall(
+        "export.file_list", lambda f: (F.length(f["sha256"]) == 64) & (f["bytes"] > 0) & f["uploaded"]
+    )
+    return read.withColumn("export", F.explode_outer("exports")).select(
+        "run_id",
+        "dataset_month",
+        "status",
+        "bronze_rows",
+        "silver_rows",
+        "rejected_rows",
+        "freshness_sla_met",
+        F.col("export.model").alias("model"),
+        F.col("export.rows").alias("rows"),
+        (file_ok & (F.col("export.bytes") > 0) & (F.size("export.file_list") == F.col("export.files"))).alias("verifiable"),
+    )
 
 
 # ---- runs and checks ----------------------------------------------------------
@@ -556,34 +598,36 @@ def _replayed(spark, events, files_per_batch=None):
     return stream.file_messages(spark, path, files_per_batch)
 
 
-def _streamed(spark, messages, watermark=None):
+def _streamed(spark, messages, watermark=None, max_events=None):
     output, checkpoint = fresh_dir(spark, "minutes"), fresh_dir(spark, "progress")
-    stream.start_minute_zone(messages, output, checkpoint, watermark).awaitTermination()
+    stream.start_minute_zone(
+        messages, output, checkpoint, STATE_PARTITIONS, watermark, max_events
+    ).awaitTermination()
     return stream.read_minute_zone(spark, output).drop("updated_at")
 
 
 @query
 def replay_events(spark, sf_dir):
     """Events after a round trip through their JSON form."""
-    sent = replay.first_events(adapters.trip_events(spark, sf_dir), "event_id")
-    received = replay.parse_events(replay.to_events(sent))
+    received = replay.parse_events(replay.to_events(adapters.trip_events(spark, sf_dir)))
     return received.select(*replay.EVENT_COLUMNS)
 
 
 @query
 def stream_minute_zone(spark, sf_dir):
-    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir), FILES_PER_BATCH))
+    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir)))
 
 
 @query
 def stream_minute_zone_watermarked(spark, sf_dir):
-    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir), FILES_PER_BATCH), WATERMARK)
+    return _streamed(spark, _replayed(spark, adapters.trip_events(spark, sf_dir)), WATERMARK)
 
 
 @query
 def stream_bounded_replay(spark, sf_dir):
-    first = replay.first_events(adapters.trip_events(spark, sf_dir), "event_id", BOUNDED_EVENTS)
-    return _streamed(spark, _replayed(spark, first, FILES_PER_BATCH))
+    """All events are sent in replay order; the stream stops after the first ones."""
+    sent = adapters.trip_events(spark, sf_dir).orderBy("event_id")
+    return _streamed(spark, _replayed(spark, sent, files_per_batch=1), max_events=BOUNDED_EVENTS)
 
 
 @query

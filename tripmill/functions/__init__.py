@@ -12,6 +12,8 @@ from tripmill.functions.numbers import (
     mean_decimal,
     mean_minutes,
     round_half_away,
+    exact_mean,
+    exact_sum,
     settled,
     share_pct,
     to_integer,
@@ -29,6 +31,8 @@ __all__ = [
     "month_text",
     "round_half_away",
     "seconds_between",
+    "exact_mean",
+    "exact_sum",
     "settled",
     "share_pct",
     "to_integer",

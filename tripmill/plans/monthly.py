@@ -17,6 +17,7 @@ Tables below the lake root:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import UTC, datetime
 
@@ -28,9 +29,11 @@ from tripmill.plans import publish
 from tripmill.session import prepare
 from tripmill.sources import bronze
 from tripmill.sources.lake import (
+    delete,
     drop_partitions,
     exists,
     materialize,
+    partition_names,
     read_table,
     replace_partitions,
 )
@@ -76,19 +79,24 @@ def _values(months: DataFrame) -> list[str]:
     return [row[0] for row in months.collect()]
 
 
-def _landed(spark: SparkSession, root: str, months: Sequence[str]) -> DataFrame:
-    if len(months) == 1:
-        return bronze.read_bronze(spark, trips_path(root), months[0])
-    return _of_months(bronze.read_bronze(spark, trips_path(root)), months)
+def checked_months(spark: SparkSession, root: str, months: Sequence[str]) -> tuple[list[str], dict[str, str]]:
+    """Months whose own files meet the contract, and why each of the others does not."""
+    landed = set(bronze.landed_months(spark, trips_path(root)))
+    refused = {m: "has not landed" for m in months if m not in landed}
+    report = bronze.contract_report(spark, trips_path(root), [m for m in months if m in landed])
+    for row in report.collect():  # one row per month
+        if row.missing_columns:
+            refused[row.dataset_month] = f"missing required columns: {row.missing_columns}"
+        elif not row.accepted:
+            refused[row.dataset_month] = "the file holds no rows"
+    return [m for m in months if m not in refused], refused
 
 
-def write_events(spark: SparkSession, root: str, months: Sequence[str]) -> DataFrame:
-    """Stage, deduplicate, score and store the events of the given months."""
-    landed = _landed(spark, root, months)
-    bronze.require_contract(landed)
+def build_events(spark: SparkSession, landed: DataFrame, work: str) -> DataFrame:
+    """Stage, deduplicate and score landed months; stored in the load's work folder."""
     events = silver.silver_trip_events(staging.stg_trips(landed, F.col("dataset_month")))
-    replace_partitions(events, events_path(root), MONTH)
-    return _of_months(read_table(spark, events_path(root), events.schema), months)
+    replace_partitions(events, f"{work}/events", MONTH)
+    return read_table(spark, f"{work}/events", events.schema)
 
 
 def write_zones(spark: SparkSession, root: str) -> DataFrame:
@@ -98,33 +106,38 @@ def write_zones(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(zone_dim_path(root))
 
 
-def merge_into_fact(spark: SparkSession, path: str, new: DataFrame, months: Sequence[str]) -> None:
+def _stored_months(spark: SparkSession, path: str) -> set[str]:
+    """Months with a partition, from the folder listing."""
+    return {name.removeprefix("dataset_month=") for name in partition_names(spark, path, 1)}
+
+
+def merge_into_fact(
+    spark: SparkSession, path: str, new: DataFrame, months: Sequence[str], work: str
+) -> None:
     """Put a load into the fact table, rewriting only the months it touches.
 
     Those are the loaded months and the ones that held a trip the load now owns.
-    A month left without a trip is not part of the written data, so its old
-    partition stays behind and is removed: either it still shows up as contested
-    afterwards, or it is a loaded month without new rows.
+    The merged months are complete in the work folder before the table changes.
+    A touched month without a merged row has lost its last trip and is removed.
     """
     if not exists(spark, path):
         replace_partitions(new, path, MONTH)
         return
-    fact = read_table(spark, path, new.schema)
+    fact = read_table(spark, path, merge_schema=True)
     contested = _values(facts.contested_months(fact, new, months))
-    touched = _of_months(fact, contested)
-    replace_partitions(facts.merge_loads(touched, new, months), path, MONTH)
-    emptied = set(months) - set(_values(new.select("dataset_month").distinct()))
-    if contested:
-        fact = read_table(spark, path, new.schema)
-        emptied.update(_values(facts.contested_months(fact, new, months)))
-    drop_partitions(spark, path, "dataset_month", sorted(emptied))
+    merged = facts.merge_loads(_of_months(fact, contested), new, months)
+    replace_partitions(merged, f"{work}/fact", MONTH)
+    written = _stored_months(spark, f"{work}/fact")
+    if written:
+        replace_partitions(read_table(spark, f"{work}/fact", merged.schema), path, MONTH)
+    drop_partitions(spark, path, "dataset_month", sorted({*months, *contested} - written))
 
 
 def write_gold(
     spark: SparkSession, root: str, accepted: DataFrame, zones: DataFrame, months: Sequence[str]
 ) -> None:
     """Rebuild the marts of the given months from their own accepted events."""
-    inside = marts.guarded(accepted, months[0]) if len(months) == 1 else marts.guarded(accepted)
+    inside = marts.guarded(accepted, *months)
     built = {
         "mart_daily_demand": marts.mart_daily_demand(inside),
         "mart_zone_performance": marts.mart_zone_performance(inside, zones),
@@ -153,12 +166,12 @@ def record_runs(spark: SparkSession, root: str, incoming: DataFrame) -> None:
 def _metrics(
     spark: SparkSession,
     root: str,
+    landed: DataFrame,
     events: DataFrame,
-    months: Sequence[str],
     run_id: str,
     started_at: datetime,
+    work: str,
 ) -> DataFrame:
-    landed = _landed(spark, root, months)
     measured = runs.run_metrics(landed, events).withColumns(
         {
             "run_id": F.concat_ws("-", F.lit(run_id), "dataset_month"),
@@ -171,7 +184,9 @@ def _metrics(
     if audit is None:
         audit = measured.limit(0).withColumn("status", F.lit("none"))
     # A few rows, one per month; stored so that later steps do not count again.
-    return materialize(runs.with_volume_check(measured, audit), "metrics")
+    checked = runs.with_volume_check(measured, audit)
+    checked.write.parquet(f"{work}/metrics")
+    return spark.read.schema(checked.schema).parquet(f"{work}/metrics")
 
 
 def load_months(
@@ -183,15 +198,30 @@ def load_months(
 ) -> DataFrame:
     """Load landed months; returns their metrics.
 
-    The gate comes before facts and marts: a month that fails it is recorded as
-    failed, keeps what was loaded for it before, and makes the call raise once
-    the other months are in.
+    A month whose own files break the contract is refused, and one that fails
+    the gate is recorded as failed. Either keeps everything that was loaded for it
+    before, quarantine included, and makes the call raise once the other months
+    are in. Intermediate tables live in a work folder below the lake root that
+    is removed at the end, whatever happens.
     """
     prepare(spark)
-    months = sorted(months)
-    events = write_events(spark, root, months)
+    work = f"{root}/_work/{run_id}-{uuid.uuid4().hex}"
+    try:
+        return _load(spark, root, sorted(set(months)), run_id, started_at or datetime.now(UTC), work)
+    finally:
+        delete(spark, work)
+
+
+def _load(
+    spark: SparkSession, root: str, months: Sequence[str], run_id: str, started_at: datetime, work: str
+) -> DataFrame:
+    months, refused = checked_months(spark, root, months)
+    if not months:
+        raise bronze.ContractError(f"refused months: {refused}")
+    landed = bronze.read_bronze(spark, trips_path(root), months)
+    events = build_events(spark, landed, work)
     zones = write_zones(spark, root)
-    metrics = _metrics(spark, root, events, months, run_id, started_at or datetime.now(UTC))
+    metrics = _metrics(spark, root, landed, events, run_id, started_at, work)
 
     results = runs.expectations(metrics)
     results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
@@ -202,19 +232,26 @@ def load_months(
     failed = sorted(set(months) - set(passed))
 
     if passed:
+        replace_partitions(_of_months(events, passed), events_path(root), MONTH)
         accepted = silver.accepted(_of_months(events, passed))
-        # Within one month every trip is unique already.
-        new = accepted if len(passed) == 1 else facts.latest_load_wins(accepted)
-        merge_into_fact(spark, fact_path(root), new, passed)
+        new = accepted
+        if len(passed) > 1:  # within one month every trip is unique already
+            replace_partitions(facts.latest_load_wins(accepted), f"{work}/new", MONTH)
+            new = read_table(spark, f"{work}/new", accepted.schema)
+        merge_into_fact(spark, fact_path(root), new, passed, work)
         write_gold(spark, root, accepted, zones, passed)
     finished = metrics.withColumn(
         "status",
         F.when(F.col("dataset_month").isin(*passed), "success").otherwise("failed"),
     ).withColumn("details", F.to_json(F.struct(*metrics.columns)))
     record_runs(spark, root, finished)
+    # The stored metrics go with the work folder; what is returned is a row per month.
+    kept = spark.createDataFrame(metrics.collect(), metrics.schema)
+    if refused:
+        raise bronze.ContractError(f"refused months: {refused}")
     if failed:
         raise GateError(f"months that failed the quality gate: {failed}")
-    return metrics
+    return kept
 
 
 def backfill(
@@ -231,7 +268,8 @@ def backfill(
     loaded months the last one owns a trip. Months that have not landed are
     reported and skipped.
     """
-    landed = bronze.read_bronze(prepare(spark), trips_path(root))
+    names = bronze.landed_months(prepare(spark), trips_path(root))
+    landed = spark.createDataFrame([(name,) for name in names], "dataset_month string")
     coverage = maintenance.month_coverage(landed, start, end)
     months = _values(coverage.where("available").select("dataset_month"))
     if months:
@@ -258,9 +296,7 @@ def models(spark: SparkSession, root: str, months: Sequence[str] | None = None)
 def export_month(spark: SparkSession, root: str, destination: str, dataset_month: str) -> DataFrame:
     """Export a month's slices and write its manifest; returns the export records."""
     publish.export_models(models(spark, root), destination, dataset_month)
-    records = publish.export_records(spark, destination).where(
-        F.col("dataset_month") == dataset_month
-    )
+    records = publish.export_records(spark, destination, dataset_month)
     run = read_table(spark, audit_path(root)).where(
         (F.col("dataset_month") == dataset_month) & (F.col("status") == "success")
     )

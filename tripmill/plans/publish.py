@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions import month_text
-from tripmill.sources.bronze import file_checksums
-from tripmill.sources.lake import read_table, replace_partitions
+from tripmill.sources.bronze import file_facts
+from tripmill.sources.lake import exists, qualified, read_table, replace_partitions
 
 # Exported models, their layer and the column that places a row in a month.
 EXPORTS = {
@@ -93,32 +93,49 @@ def export_counts(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def export_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every exported file with its model, month, size and digest."""
-    place = F.col("path")
-    files = reduce(
-        DataFrame.unionByName,
-        [
-            file_checksums(spark, export_path(root, model)).withColumn("model", F.lit(model))
-            for model in EXPORTS
-        ],
-    )
-    return files.select(
+def export_files(
+    spark: SparkSession, root: str, dataset_month: str | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """Every exported file with its model, month, rows, size and digest, and whether it is new.
+
+    With a month only that month's folders are listed.
+    """
+    found = []
+    for model in EXPORTS:
+        place = export_path(root, model)
+        if dataset_month:
+            year, month = dataset_month.split("-")
+            place = f"{place}/year={year}/month={month}"
+            if not exists(spark, place):
+                continue
+        found.append(file_facts(spark, place).withColumn("model", F.lit(model)))
+    whole, base = F.col("path"), qualified(spark, root).rstrip("/") + "/"
+    files = reduce(DataFrame.unionByName, found).select(
         "model",
-        F.regexp_extract(place, "year=([^/]+)", 1).alias("year"),
-        F.regexp_extract(place, "month=([^/]+)", 1).alias("month"),
-        "path",
+        F.regexp_extract(whole, "/year=([^/]+)/", 1).alias("year"),
+        F.regexp_extract(whole, "/month=([^/]+)/", 1).alias("month"),
+        F.substring(whole, len(base) + 1, 1 << 30).alias("file_key"),
+        "rows",
         "bytes",
         "sha256",
     ).withColumn("dataset_month", _export_month())
-
-
-def export_records(spark: SparkSession, root: str) -> DataFrame:
-    """Per model and month: rows, files, bytes."""
-    files = export_files(spark, root).groupBy("model", "dataset_month").agg(
-        F.count("*").alias("files"), F.sum("bytes").alias("bytes")
+    if known is None:
+        return files.withColumn("uploaded", F.lit(True))
+    seen = known.select("file_key", "sha256").distinct().withColumn("seen", F.lit(True))
+    return files.join(seen, ["file_key", "sha256"], "left").withColumn("uploaded", F.col("seen").isNull()).drop("seen")
+
+
+def export_records(
+    spark: SparkSession, root: str, dataset_month: str | None = None, known: DataFrame | None = None
+) -> DataFrame:
+    """Per model and month: rows, bytes, and the list of files to verify them by."""
+    files = export_files(spark, root, dataset_month, known)
+    return files.groupBy("model", "dataset_month").agg(
+        F.sum("rows").alias("rows"),
+        F.count("*").alias("files"),
+        F.sum("bytes").alias("bytes"),
+        F.array_sort(F.collect_list(F.struct("file_key", "bytes", "sha256", "uploaded"))).alias("file_list"),
     )
-    return export_counts(spark, root).join(files, ["model", "dataset_month"])
 
 
 def publish_manifest(runs: DataFrame, records: DataFrame) -> DataFrame:
@@ -127,7 +144,7 @@ def publish_manifest(runs: DataFrame, records: DataFrame) -> DataFrame:
     A month has as many records as there are models, so the list stays short.
     """
     nested = records.groupBy("dataset_month").agg(
-        F.array_sort(F.collect_list(F.struct("model", "rows", "files", "bytes"))).alias("exports")
+        F.array_sort(F.collect_list(F.struct("model", "rows", "files", "bytes", "file_list"))).alias("exports")
     )
     return runs.join(nested, "dataset_month", "left")
 

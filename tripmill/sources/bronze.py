@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tripmill.sources.lake import exists, read_table, replace_partitions
+from tripmill.sources.lake import partition_names, qualified, read_table, replace_partitions
 
 # The columns a trip file must have.
 REQUIRED_TRIP_COLUMNS = (
@@ -22,30 +27,21 @@ REQUIRED_TRIP_COLUMNS = (
     "total_amount",
 )
 DATASET = "yellow_trips"
+#: Bytes of a file that are in memory at a time while it is hashed.
+BLOCK_BYTES = 1 << 20
 
 
 class ContractError(ValueError):
     """A landed file does not meet the trip contract."""
 
 
-def missing_columns(raw: DataFrame) -> list[str]:
-    return sorted(set(REQUIRED_TRIP_COLUMNS) - set(raw.columns))
-
-
-def contract_report(raw: DataFrame) -> DataFrame:
-    """One row: rows, columns, missing columns, verdict. Parquet answers it from footers."""
-    missing = missing_columns(raw)
-    return raw.agg(F.count("*").alias("row_count")).select(
-        "row_count",
-        F.lit(len(raw.columns)).cast("bigint").alias("column_count"),
-        F.lit(",".join(missing)).alias("missing_columns"),
-        ((F.col("row_count") > 0) & F.lit(not missing)).alias("accepted"),
-    )
+def missing_columns(columns: Sequence[str]) -> list[str]:
+    return sorted(set(REQUIRED_TRIP_COLUMNS) - set(columns))
 
 
 def require_contract(raw: DataFrame) -> tuple[int, list[str]]:
     """Row count and columns of a valid file; raises on missing columns or no rows."""
-    missing = missing_columns(raw)
+    missing = missing_columns(raw.columns)
     if missing:
         raise ContractError(f"missing required columns: {missing}")
     rows = raw.count()
@@ -62,20 +58,65 @@ def write_bronze(raw: DataFrame, path: str) -> None:
     replace_partitions(months, path, ["year", "month"])
 
 
-def read_bronze(spark: SparkSession, path: str, dataset_month: str | None = None) -> DataFrame:
-    """Bronze trips with their ``dataset_month``.
+def _partition(dataset_month: str) -> str:
+    year, month = dataset_month.split("-")
+    return f"year={year}/month={month}"
+
+
+def landed_months(spark: SparkSession, path: str) -> list[str]:
+    """Months with a bronze partition, from the folder listing."""
+    pairs = (name.split("/") for name in partition_names(spark, path, 2))
+    return [f"{year.removeprefix('year=')}-{month.removeprefix('month=')}" for year, month in pairs]
 
-    One month is read on its own, with the schema of its own files; all months
-    together have every column any of them has.
+
+def month_schemas(spark: SparkSession, path: str, months: Sequence[str]) -> dict[str, StructType]:
+    """The schema of each month's own files (one footer each)."""
+    return {m: spark.read.parquet(f"{path}/{_partition(m)}").schema for m in months}
+
+
+def contract_report(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Per landed month: rows, columns, missing columns, verdict. Rows come from footers."""
+    months = landed_months(spark, path) if months is None else months
+    facts = [
+        (m, len(schema), ",".join(missing_columns(schema.names)))
+        for m, schema in month_schemas(spark, path, months).items()
+    ]
+    declared = spark.createDataFrame(facts, "dataset_month string, column_count long, missing_columns string")
+    # No column but the partitions is asked for, so no month's schema is in the way.
+    rows = (
+        read_table(spark, path, StructType.fromDDL("year string, month string"))
+        .groupBy(F.concat_ws("-", "year", "month").alias("dataset_month"))
+        .agg(F.count("*").alias("row_count"))
+    )
+    row_count = F.coalesce("row_count", F.lit(0))
+    return declared.join(rows, "dataset_month", "left").select(
+        "dataset_month",
+        row_count.alias("row_count"),
+        "column_count",
+        "missing_columns",
+        ((row_count > 0) & (F.col("missing_columns") == "")).alias("accepted"),
+    )
+
+
+def read_bronze(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Bronze trips of the given or all landed months with their ``dataset_month``.
+
+    Months of one schema are one scan with that schema, so a column that a
+    month's files lack is not made up for it within its scan; scans of different
+    schemas are put together by name.
     """
-    if dataset_month:
-        year, month = dataset_month.split("-")
-        partition = f"year={year}/month={month}"
-        landed = exists(spark, f"{path}/{partition}")
-        trips = read_table(spark, path, partition=partition if landed else None)
-        trips = trips.where((F.col("year") == year) & (F.col("month") == month))
-    else:
-        trips = read_table(spark, path, merge_schema=True)
+    months = landed_months(spark, path) if months is None else list(months)
+    scans: dict[str, tuple[StructType, list[str]]] = {}
+    for month, schema in month_schemas(spark, path, months).items():
+        scans.setdefault(schema.json(), (schema, []))[1].append(month)
+    if not scans:
+        raise ContractError("no month has landed")
+    parts = []
+    for schema, own in scans.values():
+        with_place = StructType([*schema.fields, StructField("year", StringType()), StructField("month", StringType())])
+        trips = spark.read.schema(with_place).option("basePath", path)
+        parts.append(trips.parquet(*(f"{path}/{_partition(m)}" for m in own)))
+    trips = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return trips.withColumn("dataset_month", F.concat_ws("-", "year", "month"))
 
 
@@ -84,47 +125,107 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=False)
 
 
-def file_checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """SHA-256 per landed file, spread over the cluster file by file.
+def file_facts(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """Key, size and SHA-256 of every landed file; of Parquet files also rows and columns.
 
-    Spark hands a file's bytes over as one value, so a file of 2 GB or more
-    fails the job rather than getting a wrong digest. Spark passes over files of
-    no bytes, which the contract refuses anyway.
+    The key is the path below ``path``. Files are listed by Spark and hashed one
+    task each, in blocks, straight from the shared file system: no file is ever
+    one value, whatever its size. Spark passes over files of no bytes, which the
+    contract refuses anyway.
     """
-    files = (
+    root = qualified(spark, path).rstrip("/") + "/"
+
+    # Self-contained, so that it does not need this package where it runs.
+    def read(batches):
+        import hashlib
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        names = ["path", "file_key", "bytes", "sha256", "rows", "columns"]
+        types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if name.startswith("file:"):
+                    store, place = fs.LocalFileSystem(), "/" + name.removeprefix("file:").lstrip("/")
+                else:
+                    store, place = fs.FileSystem.from_uri(quote(name, safe=":/"))
+                digest, size = hashlib.sha256(), 0
+                with store.open_input_stream(place) as source:
+                    while block := source.read(block_bytes):
+                        digest.update(block)
+                        size += len(block)
+                rows = columns = None
+                if name.endswith(".parquet"):
+                    with store.open_input_file(place) as source:
+                        footer = pq.ParquetFile(source)
+                        rows, columns = footer.metadata.num_rows, ",".join(footer.schema_arrow.names)
+                row = (name, name.removeprefix(root), size, digest.hexdigest(), rows, columns)
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+
+    block_bytes = BLOCK_BYTES
+    listed = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(path)
+        .select("path")
     )
-    return files.select(
-        F.col("path"),
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+    return listed.mapInArrow(
+        read, "path string, file_key string, bytes long, sha256 string, rows long, columns string"
     )
 
 
 def changed_files(current: DataFrame, known: DataFrame) -> DataFrame:
     """Files to upload: those whose key and digest are not both known already."""
-    return current.join(known.select("file_name", "sha256"), ["file_name", "sha256"], "left_anti")
+    return current.join(known.select("file_key", "sha256"), ["file_key", "sha256"], "left_anti")
 
 
-def bronze_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landed file: month, rows, bytes, digest."""
-    rows = (
-        read_bronze(spark, path)
-        .withColumn("path", F.col("_metadata.file_path"))
-        .groupBy("path", "dataset_month")
-        .agg(F.count("*").alias("rows"))
+def bronze_manifest(
+    spark: SparkSession,
+    path: str,
+    zones: str | None = None,
+    known: DataFrame | None = None,
+    started_at: datetime | None = None,
+    completed_at: datetime | None = None,
+) -> DataFrame:
+    """One row per landed file: month, rows, columns, size, digest, and whether it is new.
+
+    The zone lookup's files follow with their own records and no month.
+    """
+    trips = file_facts(spark, path).withColumns(
+        {
+            "dataset": F.lit(DATASET),
+            "dataset_month": F.concat_ws(
+                "-",
+                F.regexp_extract("file_key", "year=([^/]+)/", 1),
+                F.regexp_extract("file_key", "month=([^/]+)/", 1),
+            ),
+        }
     )
-    checksums = file_checksums(spark, path)
-    return rows.join(checksums, "path").select(
-        F.lit(DATASET).alias("dataset"),
+    files = trips
+    if zones:
+        lookup = file_facts(spark, zones, "*.csv")
+        files = trips.unionByName(
+            lookup.withColumns({"dataset": F.lit("zones"), "dataset_month": F.lit(None).cast("string")})
+        )
+    if known is None:
+        changed = files.withColumn("changed", F.lit(True))
+    else:
+        seen = known.select("file_key", "sha256").distinct().withColumn("seen", F.lit(True))
+        changed = files.join(seen, ["file_key", "sha256"], "left").withColumn("changed", F.col("seen").isNull())
+    return changed.select(
+        "dataset",
         "dataset_month",
-        F.lit("ready").alias("status"),
-        "path",
+        F.when(F.col("rows") == 0, "empty").otherwise("ready").alias("status"),
+        "file_key",
         "rows",
+        "columns",
         "bytes",
         "sha256",
+        "changed",
+        F.lit(started_at).cast("timestamp").alias("started_at"),
+        F.lit(completed_at).cast("timestamp").alias("completed_at"),
     )

@@ -69,6 +69,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as file listings spell it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def partition_names(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Partition folders below a table, from the file system's listing alone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(target, "/".join(["*=*"] * levels))
+    found = [status.getPath().toString() for status in files.globStatus(pattern)]
+    return sorted("/".join(name.split("/")[-levels:]) for name in found)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
     """Remove partitions that lost their last row; an overwrite leaves them in place."""
     for value in values:

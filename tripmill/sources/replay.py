@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The columns of a replayed event, and how many are replayed by default.
-EVENT_SCHEMA = (
-    "tpep_pickup_datetime string, PULocationID double, passenger_count double, "
-    "trip_distance double, total_amount double"
-)
-EVENT_COLUMNS = tuple(field.split()[0] for field in EVENT_SCHEMA.split(", "))
-DEFAULT_EVENTS = 10_000
+# The columns of a replayed event.
+EVENT_TYPES = {
+    "tpep_pickup_datetime": "string",
+    "PULocationID": "double",
+    "passenger_count": "double",
+    "trip_distance": "double",
+    "total_amount": "double",
+}
+EVENT_COLUMNS = tuple(EVENT_TYPES)
+LEAST_ZONE, MOST_ZONE = -(1 << 31), (1 << 31) - 1
 
 
 def wall_text(moment: Column) -> Column:
@@ -21,7 +24,7 @@ def wall_text(moment: Column) -> Column:
     return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))
 
 
-def first_events(trips: DataFrame, order: str, limit: int = DEFAULT_EVENTS) -> DataFrame:
+def first_events(trips: DataFrame, order: str, limit: int) -> DataFrame:
     """The first ``limit`` trips in replay order (each task keeps its own first ones)."""
     return trips.orderBy(order).limit(limit)
 
@@ -39,23 +42,32 @@ def parse_events(messages: DataFrame) -> DataFrame:
     """Events of a frame (static or streaming) that carries JSON in ``value``.
 
     Adds the event time, the whole zone id and, for an event that cannot be
-    counted, why; the raw message stays for the reject output.
+    counted, why; the raw message stays for the reject output. Fields are taken
+    as text first, so quoted numbers count and no value can stop a stream.
     """
+    as_text = ", ".join(f"{name} string" for name in EVENT_COLUMNS)
+    message = F.col("value").cast("string")
     parsed = messages.select(
-        F.col("value").cast("string").alias("value"),
-        F.from_json(F.col("value").cast("string"), EVENT_SCHEMA).alias("event"),
+        message.alias("value"), F.from_json(message, as_text).alias("event")
     ).select("value", "event.*")
-    typed = parsed.withColumns(
+    zone = F.expr("try_cast(PULocationID AS DOUBLE)")
+    read = parsed.withColumns(
         {
             "event_time": F.try_to_timestamp("tpep_pickup_datetime"),
-            "pickup_zone_id": F.col("PULocationID").cast("int"),
-            # The decimal text of the double, so that sums do not depend on order.
-            "amount": F.col("total_amount").cast("decimal(28,8)"),
+            # Fractions are cut off; NaN is beyond every bound.
+            "pickup_zone_id": F.when(
+                (zone >= LEAST_ZONE) & (zone <= MOST_ZONE), zone.try_cast("int")
+            ),
+            # From decimal text, so that sums do not depend on order.
+            "amount": F.expr("try_cast(total_amount AS DECIMAL(28, 8))"),
         }
     )
     reason = (
         F.when(F.col("event_time").isNull(), "unreadable_timestamp")
-        .when(F.col("pickup_zone_id").isNull(), "missing_zone")
-        .when(F.col("amount").isNull(), "missing_amount")
+        .when(F.col("PULocationID").isNull(), "missing_zone")
+        .when(F.col("pickup_zone_id").isNull(), "unreadable_zone")
+        .when(F.col("total_amount").isNull(), "missing_amount")
+        .when(F.col("amount").isNull(), "unreadable_amount")
     )
-    return typed.withColumn("reject_reason", reason)
+    typed = {name: F.col(name).try_cast(kind) for name, kind in EVENT_TYPES.items()}
+    return read.withColumn("reject_reason", reason).withColumns(typed)

@@ -6,10 +6,11 @@ are interchangeable. The event time is the naive local wall clock of the event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripmill.sources.lake import exists, materialize, read_table, replace_partitions
 from tripmill.sources.replay import parse_events
 
 MINUTE = "1 minute"
@@ -72,39 +73,73 @@ def minute_zone(messages: DataFrame, watermark: str | None = None) -> DataFrame:
 
 
 def _start(writer, checkpoint: str, state_partitions: int | None, spark: SparkSession) -> StreamingQuery:
-    """Start with as many state partitions as asked for; the count is fixed for good then."""
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    """Start; a stateful stream keeps its number of state partitions for the life of its checkpoint."""
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if state_partitions is None:
+        return writer.start()
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
-        return (
-            writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
+        return writer.start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def _first(messages: DataFrame, checkpoint: str, max_events: int) -> DataFrame:
+    """A stream of the first messages only, copied beside the checkpoint."""
+    spark, bounded = messages.sparkSession, f"{checkpoint}/bounded"
+    copy = (
+        messages.select(F.col("value").cast("string"))
+        .limit(max_events)
+        .writeStream.outputMode("append")
+        .format("text")
+        .option("path", f"{bounded}/messages")
+    )
+    _start(copy, f"{bounded}/progress", None, spark).awaitTermination()
+    return file_messages(spark, f"{bounded}/messages")
+
+
 def start_minute_zone(
     messages: DataFrame,
     output: str,
     checkpoint: str,
+    state_partitions: int,
     watermark: str | None = None,
-    state_partitions: int | None = None,
+    max_events: int | None = None,
 ) -> StreamingQuery:
-    """Process everything available now and stop.
+    """Process everything available now, or the first ``max_events`` messages, and stop.
 
-    Each micro-batch writes the full new value of every key it touched under its
-    batch number. A batch repeated after a failure overwrites itself, so no
-    event is counted twice or lost.
+    Each micro-batch takes the new value of every key it touched into the event
+    days it belongs to, and rewrites those days only. A batch repeated after a
+    failure writes the same values again, so no event is counted twice or lost,
+    and the table holds each key once however many batches there were.
     """
+    spark = messages.sparkSession
+    if max_events is not None:
+        messages = _first(messages, checkpoint, max_events)
 
     def upsert(changed: DataFrame, batch_id: int) -> None:
-        changed.withColumn("updated_at", F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{output}/batch_id={batch_id}"
-        )
+        merge_minutes(changed.withColumns({"updated_at": F.current_timestamp(), "batch_id": F.lit(batch_id)}), output)
 
     writer = minute_zone(messages, watermark).writeStream.outputMode("update").foreachBatch(upsert)
-    return _start(writer, checkpoint, state_partitions, messages.sparkSession)
+    return _start(writer, f"{checkpoint}/counts", state_partitions, spark)
+
+
+def merge_minutes(changed: DataFrame, output: str) -> None:
+    """Replace the values of changed keys in the stored table, day by day.
+
+    The merged days are written beside the table first: a partition cannot be
+    read and overwritten at once, and a failure between leaves the old days.
+    """
+    spark = changed.sparkSession
+    fresh = materialize(changed.withColumn("event_day", F.date_format("event_minute", "yyyy-MM-dd")), "changed")
+    merged = fresh
+    if exists(spark, output):
+        stored = read_table(spark, output, fresh.schema)
+        days = fresh.select("event_day").distinct()
+        kept = stored.join(days, "event_day", "left_semi").join(fresh.select(*KEYS), [*KEYS], "left_anti")
+        merged = materialize(kept.select(fresh.columns).unionByName(fresh), "merged")
+    replace_partitions(merged, output, ["event_day"])
 
 
 def start_rejects(messages: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
@@ -120,11 +155,5 @@ def start_rejects(messages: DataFrame, output: str, checkpoint: str) -> Streamin
 
 
 def read_minute_zone(spark: SparkSession, output: str) -> DataFrame:
-    """Current value of every key: the one its latest batch wrote."""
-    latest = Window.partitionBy(*KEYS).orderBy(F.col("batch_id").desc())
-    return (
-        spark.read.parquet(output)
-        .withColumn("age", F.row_number().over(latest))
-        .where("age = 1")
-        .drop("age", "batch_id")
-    )
+    """Current value of every key."""
+    return read_table(spark, output).drop("batch_id", "event_day")
