@@ -82,6 +82,7 @@ def test_command_line(spark, tmp_path):
     assert monthly.models(spark, root)["fact_trips"].count() == 2
     with pytest.raises(SystemExit, match="not valid"):
         cli.validate(spark, cli.parse(["validate", "--root", root, "--year", "2024"]))
+    cli.inspect(spark, cli.parse(["inspect", "--root", root]))
     cli.summary(spark, cli.parse(["summary", "--source", source, "--output", str(tmp_path / "s")]))
     assert spark.read.parquet(str(tmp_path / "s")).first().trip_count == 2
     events, checkpoint = str(tmp_path / "events"), str(tmp_path / "cp")

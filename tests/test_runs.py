@@ -107,10 +107,10 @@ def test_checks_report_failures(spark):
     parent = spark.createDataFrame([(1,), (2,), (2,)], "zone_id int")
     child = spark.createDataFrame([(1,), (3,), (3,), (None,)], "z int")
     assert checks.relationships("c", child, ["z"], parent, "zone_id").first().failures == 2
-    assert checks.unique("p", parent, "zone_id").first().failures == 1
-    assert checks.unique("c", child.where("z is null"), "z").first().failures == 0
-    assert checks.not_null("c", child, ["z"]).first().failures == 1
-    assert checks.not_null("stg_trips", child, ["z"]).first().severity == "warn"
+    assert checks.unique({"p": "zone_id"}, parent).first().failures == 1
+    assert checks.unique({"c": "z"}, child.where("z is null")).first().failures == 0
+    assert checks.not_null({"c": ["z"]}, child).first().failures == 1
+    assert checks.not_null({"stg_trips": ["z"]}, child).first().severity == "warn"
     assert checks.accepted_values("c", child, "z", [1, 2]).first().failures == 1
 
 
@@ -141,7 +141,7 @@ def test_month_spine(spark):
 
 
 def test_cleanup_refuses_without_fact_months(spark):
-    with pytest.raises(RuntimeError, match="refusing"):
+    with pytest.raises(RuntimeError, match="holds no month"):
         maintenance.require_fact_months(spark.createDataFrame([], "dataset_month string"))
 
 
@@ -153,3 +153,17 @@ def test_boundary_split(spark):
     assert [str(r.trip_date) for r in stray.collect()] == ["2024-02-01"]
     report = maintenance.boundary_cleanup({"m": gold}, months).first()
     assert (report.rows_before, report.rows_after, report.deleted_rows) == (2, 1, 1)
+
+
+def test_checks_of_a_view_and_its_table_share_one_pass(spark):
+    fact = spark.createDataFrame([("a", "2024-01"), ("a", "2024-01"), (None, "2024-01")], "trip_id string, dataset_month string")
+    models = dict.fromkeys(("silver_trips", "fact_trips"), fact)
+    nulls = checks.not_null({m: checks.NOT_NULL[m] for m in models}, fact)
+    assert nulls._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+    assert sorted((r.model, r.column_name, r.failures) for r in nulls.collect()) == [
+        ("fact_trips", "dataset_month", 0),
+        ("fact_trips", "trip_id", 1),
+        ("silver_trips", "trip_id", 1),
+    ]
+    repeats = checks.unique({m: checks.UNIQUE[m] for m in models}, fact).collect()
+    assert sorted((r.model, r.failures) for r in repeats) == [("fact_trips", 1), ("silver_trips", 1)]

@@ -55,6 +55,13 @@ def validate(spark: SparkSession, args: argparse.Namespace) -> None:
         raise SystemExit("the year's facts are not valid")
 
 
+def inspect(spark: SparkSession, args: argparse.Namespace) -> None:
+    fact = read_table(spark, monthly.fact_path(args.root), merge_schema=True)
+    maintenance.warehouse_inspect(fact).orderBy("dataset_month").show(1000, truncate=False)
+    marts_of = {model: publish.read_gold(spark, args.root, model) for model in monthly.MARTS}
+    maintenance.table_counts({**marts_of, "audit": read_table(spark, monthly.audit_path(args.root))}).show()
+
+
 def summary(spark: SparkSession, args: argparse.Namespace) -> None:
     daily = marts.daily_summary_local(spark.read.parquet(args.source))
     daily.write.mode("overwrite").parquet(args.output)
@@ -94,6 +101,7 @@ COMMANDS = {
     "export": (export, {"--root": {}, "--month": {}, "--output": {}}),
     "clean": (clean, {"--root": {}}),
     "validate": (validate, {"--root": {}, "--year": {"type": int}}),
+    "inspect": (inspect, {"--root": {}}),
     "summary": (summary, {"--source": {}, "--output": {}}),
     "replay": (
         replay_trips,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,36 +42,66 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _severity(model: str) -> str:
+    return "warn" if model in WARN_ONLY else "error"
+
+
 def _result(model: str, column: str | Column, check: str, failures: Column) -> list[Column]:
     return [
         F.lit(model).alias("model"),
         (F.lit(column) if isinstance(column, str) else column).alias("column_name"),
         F.lit(check).alias("check_name"),
-        F.lit("warn" if model in WARN_ONLY else "error").alias("severity"),
+        F.lit(_severity(model)).alias("severity"),
         failures.alias("failures"),
     ]
 
 
-def not_null(model: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All columns of a model in a single pass."""
+def _results(counted: DataFrame, check: str, rows: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """One result per (model, column, failures) from a single counted row."""
+    found = [
+        F.struct(
+            F.lit(model).alias("model"),
+            F.lit(column).alias("column_name"),
+            F.lit(check).alias("check_name"),
+            F.lit(_severity(model)).alias("severity"),
+            failures.alias("failures"),
+        )
+        for model, column, failures in rows
+    ]
+    return counted.select(F.inline(F.array(*found)))
+
+
+def _by_relation(models: Mapping[str, DataFrame], names: Iterable[str]) -> list[tuple[DataFrame, list[str]]]:
+    """Models put together by what they read: a view and its table are one relation."""
+    shared: dict[int, tuple[DataFrame, list[str]]] = {}
+    for name in names:
+        shared.setdefault(id(models[name]), (models[name], []))[1].append(name)
+    return list(shared.values())
+
+
+def not_null(specs: Mapping[str, Sequence[str]], df: DataFrame) -> DataFrame:
+    """All columns of all models over one relation in a single pass."""
+    columns = sorted({column for own in specs.values() for column in own})
     counted = df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in columns))
-    return counted.unpivot([], list(columns), "column_name", "failures").select(
-        *_result(model, F.col("column_name"), "not_null", F.col("failures"))
-    )
+    return _results(counted, "not_null", [(m, c, F.col(c)) for m, own in specs.items() for c in own])
 
 
-def unique(model: str, df: DataFrame, column: str, scope: Sequence[str] = ()) -> DataFrame:
-    """Keys that occur more than once; NULL keys are not compared.
+def unique(specs: Mapping[str, str], df: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Keys that occur more than once; NULL keys are not compared. Models of one key share its grouping.
 
     ``scope`` names the build a key belongs to when several builds share a frame.
     """
-    repeated = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*scope, column)
-        .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("failures"))
-    )
-    return repeated.select(*_result(model, column, "unique", F.col("failures")))
+    reports = []
+    for column in sorted(set(specs.values())):
+        repeated = (
+            df.where(F.col(column).isNotNull())
+            .groupBy(*scope, column)
+            .agg(F.count("*").alias("n"))
+            .agg(F.count_if(F.col("n") > 1).alias("failures"))
+        )
+        own = [(model, column, F.col("failures")) for model, key in specs.items() if key == column]
+        reports.append(_results(repeated, "unique", own))
+    return _union(reports)
 
 
 def accepted_values(model: str, df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
@@ -114,7 +144,9 @@ def relationships(
 
 
 def check_not_null(models: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([not_null(model, models[model], NOT_NULL[model]) for model in NOT_NULL])
+    return _union(
+        [not_null({m: NOT_NULL[m] for m in names}, df) for df, names in _by_relation(models, NOT_NULL)]
+    )
 
 
 def check_unique(models: Mapping[str, DataFrame]) -> DataFrame:
@@ -122,12 +154,11 @@ def check_unique(models: Mapping[str, DataFrame]) -> DataFrame:
     return _union(
         [
             unique(
-                model,
-                models[model],
-                column,
-                scope=("dataset_month",) if model == "silver_trip_events" else (),
+                {m: UNIQUE[m] for m in names},
+                df,
+                scope=("dataset_month",) if "silver_trip_events" in names else (),
             )
-            for model, column in UNIQUE.items()
+            for df, names in _by_relation(models, UNIQUE)
         ]
     )
 
