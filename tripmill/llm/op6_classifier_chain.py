@@ -42,14 +42,18 @@ PER_LABEL = 6000
 VOCABULARY = 160
 LEAST_DOCS = 3
 FOLDS = 5
-PENALTY = 0.5
-STEPS = 12
+PENALTY = 0.02
+STEPS = 25
+#: Lengths of word beginnings that count as words of their own.
+STEMS = (4, 5)
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}']*")
 
 
 def words(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+    """Distinct words in lower case, and the beginnings of longer ones, which inflected forms share."""
+    own = set(_WORD.findall((text or "").lower()))
+    return own | {f"{w[:n]}*" for n in STEMS for w in own if len(w) > n}
 
 
 @dataclass(frozen=True)
