@@ -103,7 +103,8 @@ def test_linked_sets_share_a_key():
             a, b = np.unique(a), np.unique(b)
             both = len(np.intersect1d(a, b))
             if len(b) and both * q >= p * (len(a) + len(b) - both) and not np.array_equal(a, b):
-                assert np.intersect1d(made.keys(a), made.keys(b)).size
+                for common in (np.zeros(0, dtype=np.uint64), np.sort(a[:: int(rng.integers(1, 9))]), np.sort(np.concatenate((a, b[:3])))):
+                    assert np.intersect1d(made.keys(a, common), made.keys(b, common)).size
 
 
 def test_components_of_paths_and_stars(spark):

@@ -3,8 +3,8 @@
 1. Every text becomes its set of shingle hashes and an OR-combined bitmap of them (signature). Equal sets share one id.
 2. Candidates, without loss: two linked sets of sizes in one class differ in at most T shingles, so of T + 1 + E parts of
    the hash space E + 1 hold the same shingles on both sides. A set is posted under a key per part; parts with fewer than
-   a few shingles ("thin") need no posting unless a set has more than E of them. Keys are packed per task and
-   pre-aggregated there: sets of one task that share a key become a chain of edges, and one of them is posted on. So a
+   a few shingles ("thin") need no posting unless a set has more than E of them. Shingles that a bounded sample shows to be
+   common are left out first, which keeps the bound. Keys are packed per task and pre-aggregated there: sets of one task that share a key become a chain of edges, and one of them is posted on. So a
    key held by any share of the corpus costs one posting per task.
 3. Sets connected by keys form candidate groups. In each group a signature tree is built (nodes: OR of bitmaps, range of
    sizes, most shingles lost to bit collisions); a dual traversal drops node pairs whose largest possible overlap is
@@ -55,6 +55,8 @@ SIGNATURE_BITS = 1024
 #: Members of a group, or of one block of a larger group.
 GROUP = 4096
 LEAF, FAN = 32, 8
+#: Shingles that COMMON_LEAST of about SAMPLE sampled documents hold are left out of keys where that can be.
+SAMPLE, COMMON_LEAST = 16_384, 3
 #: A task posts its keys when it has so many of them or so many sets.
 POST_KEYS, POST_SETS = 1 << 20, 60_000
 CLASS_RATIO = 1.5
@@ -141,27 +143,47 @@ class Classes:
         """Classes in which the larger set of a linked pair with one of this size can be."""
         return tuple(range(self.of(size), self.of(size * self.q // self.p) + 1))
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
+    def keys(self, shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+        """Keys of a set. ``common`` are shingles that many documents share, sorted; any fixed list will do.
+
+        Linked sets differ in at most as many shingles without the common ones as with them, so parts of what is left
+        do as well, and do not bring together all documents that quote one passage. Only sets for which
+        too many parts become thin that way are posted under parts of the whole set too: of two such sets
+        both are, and otherwise the one with enough parts meets the other.
+        """
+        at = np.searchsorted(common, shingles)
+        own = shingles[common[np.minimum(at, len(common) - 1)] != shingles] if len(common) else shingles
         found = []
         for c in self.posted_in(len(shingles)):
             m, least, spare = self.parts(c)
             if m == 1:
                 continue  # linked sets of this class are equal
-            part = ((shingles >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)  # ascending, as the hashes are
-            first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            counts = np.diff(np.concatenate((first, [len(part)])))
-            with np.errstate(over="ignore"):
-                key = np.add.reduceat(mix(shingles, 11), first)
-            which = part[first]
+            key, which, counts = self._parts(own, m)
+            enough = counts >= least
+            found.append(mix(key[enough] ^ mix(which[enough].astype(_U), 13 + c), 17))
+            if m - enough.sum() <= spare:
+                continue
+            key, which, counts = self._parts(shingles, m)
             enough = counts >= least
-            if m - enough.sum() > spare:  # more thin parts than can be left out: post all, empty ones too
+            if m - enough.sum() > spare:  # thin parts as well then, and empty ones
                 empty = np.setdiff1d(np.arange(m), which)
                 key, which = np.concatenate((key, np.zeros(len(empty), dtype=_U))), np.concatenate((which, empty))
             else:
                 key, which = key[enough], which[enough]
-            found.append(mix(key ^ mix(which.astype(_U), 13 + c), 17))
+            found.append(mix(key ^ mix(which.astype(_U), 13 + c), 19))
         return np.concatenate(found) if found else np.zeros(0, dtype=_U)
 
+    @staticmethod
+    def _parts(shingles: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, part, size) of the parts that hold shingles."""
+        if not len(shingles):
+            return np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        part = ((shingles >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)  # ascending, as the hashes are
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        with np.errstate(over="ignore"):
+            key = np.add.reduceat(mix(shingles, 11), first)
+        return key, part[first], np.diff(np.concatenate((first, [len(part)])))
+
 
 class Tree:
     """Levels of nodes over members sorted by size; level 0 are the leaves."""
@@ -376,6 +398,37 @@ def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) ->
     return pd.DataFrame({"a": names[roots[member]], "b": names[member]})
 
 
+def common_shingles(docs: DataFrame, n: int, words: int) -> np.ndarray:
+    """Sorted shingles that several documents of a bounded sample share; equal texts of the sample count once a task.
+
+    Which ones are found changes the work, never the result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            for _, block in blocks(batch.column(0).to_pylist(), PIECE_BYTES):
+                seen.update((_digest(x), x) for x in shingle_sets(block, words))
+        if seen:
+            every = np.sort(np.concatenate(list(seen.values())))
+            cuts = np.searchsorted(every >> _U(58), np.arange(65, dtype=_U))
+            packed = [every[i:j].astype("<u8").tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(packed)], names=["part", "packed"])
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        every = np.concatenate([np.frombuffer(x, dtype="<u8") for x in group["packed"]])
+        own, n_docs = np.unique(every, return_counts=True)
+        return pd.DataFrame({"packed": [own[n_docs >= COMMON_LEAST].astype("<u8").tobytes()]})
+
+    share = min(1.0, SAMPLE / max(n, 1))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = docs.filter(F.col("doc_id").isNotNull() & (place < share)).select("text")
+    parts = sample.mapInArrow(run, "part int, packed binary").groupBy("part").applyInPandas(count, "packed binary")
+    # Bounded: shingles of the sample, three documents each at least.
+    found = [np.frombuffer(bytes(r["packed"]), dtype="<u8") for r in parts.collect()]
+    return np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=_U)
+
+
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, numerator: int = NUMERATOR, denominator: int = DENOMINATOR
 ) -> DataFrame:
@@ -383,7 +436,9 @@ def near_duplicates(
     spark = docs.sparkSession
     prepare_workers(spark)
     p, q = numerator, denominator
-    parts = max(32, docs.count() // 65536)
+    n_rows, tasks = docs.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(32, n_rows // 65536)
+    common = spark.sparkContext.broadcast(common_shingles(docs, n_rows, words))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(p, q)
@@ -410,7 +465,7 @@ def near_duplicates(
                     rows["digest"].append(digest)
                     rows["sig"].append(signature(shingles).tobytes() if n else None)
                     if n and doc_id is not None and own not in ids:
-                        found = classes.keys(shingles)
+                        found = classes.keys(shingles, common.value)
                         if len(found):
                             keys.append(found)
                             owners.append(np.full(len(found), len(ids), dtype=np.int64))
@@ -440,6 +495,7 @@ def near_duplicates(
     members = sets.join(wide.select(F.col("node").alias("id"), F.col("root").alias("grp")), "id")
     by_signature = (
         _blocked(members.select("grp", "id", "n", "sig"), "grp", "id")
+        .repartition(tasks, "grp", "lo", "hi")  # few bytes, much work: not to be put together again
         .groupBy("grp", "lo", "hi")
         .applyInPandas(lambda f: _forest(f, "id", p, q, False), "a long, b long")
     )
@@ -474,6 +530,7 @@ def near_duplicates(
         _blocked(chosen.select("grp", "rep", "digest"), "grp", "digest")
         .join(again, ["rep", "digest"])
         .select("grp", "lo", "hi", "own", "rep", F.col("digest").alias("key"), "shingles")
+        .repartition(tasks, "grp", "lo", "hi")
         .groupBy("grp", "lo", "hi")
         .applyInPandas(lambda f: _forest(f, "rep", p, q, True), "a long, b long")
     )
