@@ -6,6 +6,7 @@ Rows without a doc_id cannot be named by the decisions of stages two and three a
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tripmill.llm import (
     op9_merge_replay,
     op10_signature_trees,
 )
-from tripmill.llm.common import crc_mod, free_name, spool, table
+from tripmill.llm.common import crc_mod, free_name, hash_filter, spool, table
 
 #: Near duplicates of the corpus: five-word shingles, four fifths.
 WORDS, NUMERATOR, DENOMINATOR = 5, 4, 5
@@ -30,23 +31,33 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group of near duplicates; of repeated rows, one."""
+    """Keeps the document with the smallest id of every group of near duplicates; of repeated rows, one.
+
+    Rows to look at are told by a bit filter of fixed size over their text keys, and only those are joined with the
+    decisions: the texts that stay are not shuffled, however many go.
+    """
     found = spool(op10_signature_trees.near_duplicates(docs, WORDS, NUMERATOR, DENOMINATOR), "classes")
     key = free_name(docs, "text_key")
     pair = ["doc_id", key]
-    gone = found.filter("doc_id <> component_id").select("doc_id", F.col("text_key").alias(key)).distinct()
-    twice = (
-        found.filter(F.col("doc_id").isNotNull())
-        .groupBy("doc_id", F.col("text_key").alias(key))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select(pair)
+    named = found.filter(F.col("doc_id").isNotNull())
+    decided = spool(
+        named.groupBy("doc_id", F.col("text_key").alias(key))
+        .agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.col("doc_id") != F.col("component_id")).alias("goes"))
+        .filter("goes OR n > 1"),
+        "decided",
     )
-    gone, twice = spool(gone, "gone"), spool(twice, "twice")
-    kept = docs.withColumn(key, F.xxhash64("text")).join(gone, pair, "left_anti")
-    once = kept.join(twice, pair, "left_anti")
-    repeated = kept.join(twice, pair, "left_semi").dropDuplicates(pair)
-    return once.unionByName(repeated).select(docs.columns)
+    sent = spark.sparkContext.broadcast(hash_filter(decided, key, decided.count()))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.holds(keys.to_numpy(dtype="int64").view("uint64")))
+
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    doubtful = F.col("doc_id").isNotNull() & maybe(F.col(key))
+    kept = keyed.filter(~doubtful)
+    gone = decided.filter("goes").select(pair)
+    looked_at = keyed.filter(doubtful).join(gone, pair, "left_anti").dropDuplicates(pair)
+    return kept.unionByName(looked_at).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
