@@ -158,6 +158,16 @@ def test_inconsistent_slots_are_no_variant(spark):
     assert [r["doc_id"] for r in found] == [1]
 
 
+def test_changed_names_that_open_sentences(spark):
+    item = "Tom has 3 apples. Tom buys 4 more apples. How many apples does Tom have now?"
+    changed = item.replace("Tom", "Anna").replace("3", "5").replace("4", "6")
+    inside = "We know that " + changed
+    mixed = "Anna has 5 apples. Peter buys 6 more apples. How many pears does Clara have now?"
+    rows = [(1, item), (2, changed), (3, inside), (4, mixed)]
+    found = op8_templates.contaminated(documents(spark, rows), items(spark, [(1, item)])).collect()
+    assert {(r["doc_id"], r["matched"], r["verbatim"]) for r in found} == {(1, 9, True), (2, 9, False), (3, 9, False)}
+
+
 def test_items_shorter_than_a_window(spark):
     found = op8_templates.contaminated(
         documents(spark, [(1, "we ask for the capital city of France again"), (2, "nothing here")]),

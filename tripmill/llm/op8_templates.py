@@ -3,10 +3,13 @@
 A text becomes a sequence of codes: numbers, units after numbers and names (capitalised inside a sentence) turn into
 typed placeholders, other words are hashed in lower case. Windows of WINDOW codes are hashed on both sides and
 joined; the values behind the placeholders (slots) go along. A question that was re-parameterised has other
-numbers or names, but the same template.
+numbers or names, but the same template. A capitalised word that opens a sentence may be a name or not: windows that
+hold one are hashed in both forms, and either form may match.
 
 A match between a document and an item is read along alignments (one difference of positions each). An alignment is
-consistent if the same item value always meets the same document value. Consistent alignments that cover at least COVERAGE of an item's windows make the document contaminated by that item.
+consistent if the same item value always meets the same document value; windows with a name that opens a sentence only
+count where they are consistent with all others. Consistent alignments that cover at least COVERAGE of an item's windows
+make the document contaminated by that item.
 
 Documents send only windows that pass a bit filter over the benchmark's window hashes (fixed size, no window is lost),
 so texts are read once and never shuffled; the exact join follows. Item windows that are placeholders for the most
@@ -43,6 +46,8 @@ WINDOW = 8
 LEAST_WORDS = 3
 COVERAGE = 0.5
 BLOCK = 1 << 20
+#: Forms of a window: words that open a sentence are words, or names.
+PLAIN, OPENED = 0, 1
 
 #: Units, in lower case; only right after a number.
 UNITS = (
@@ -77,8 +82,11 @@ def _lowered(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, capital
 
 
-def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code, slot value, start) of every token; the slot value is 0 where the code is a word."""
+def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code, slot value, opening value, start) of every token.
+
+    The slot value is 0 where the code is a word; the opening value is 0 but for words that may be names and open a sentence.
+    """
     low, capital = _lowered(data)
     kind = _KIND[data]
     edge = np.flatnonzero(np.diff(kind)) + 1
@@ -87,7 +95,7 @@ def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     solid = kind[start] != _SEP
     start, end = start[solid], end[solid]
     if not len(start):
-        return np.zeros(0, dtype=_U), np.zeros(0, dtype=_U), start
+        return np.zeros(0, dtype=_U), np.zeros(0, dtype=_U), np.zeros(0, dtype=_U), start
     power, inverse = _powers_up_to(len(data))
     with np.errstate(over="ignore"):
         total = np.concatenate((np.zeros(1, dtype=_U), np.cumsum(_BYTE_CODES[low] * power[: len(data)], dtype=_U)))
@@ -106,12 +114,14 @@ def _tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     begins = np.ones(len(start), dtype=bool)
     begins[1:] = stops[start[1:]] > stops[end[:-1]]
     next_capital = capital[np.minimum(start + np.where(data[start] >= 128, 2, 1), len(data) - 1)]
-    name = ~digit & capital[start] & ~begins & ~next_capital & (end - start >= 2)
+    capitalised = ~digit & capital[start] & ~next_capital & (end - start >= 2)
+    name = capitalised & ~begins
     unit = np.zeros(len(start), dtype=bool)
     unit[1:] = ~digit[1:] & digit[:-1] & np.isin(value[1:], _unit_values())
     code = np.where(digit, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
     slot = np.where(digit | unit | name, value | _U(1), _U(0))
-    return code, slot, start
+    opening = np.where(capitalised & begins & ~unit, value | _U(1), _U(0))
+    return code, slot, opening, start
 
 
 _units: list[np.ndarray] = []
@@ -125,62 +135,83 @@ def _unit_values() -> np.ndarray:
     return _units[0]
 
 
-def sequences(run: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code, slot value, text) of the tokens of several texts."""
+def sequences(run: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code, slot value, opening value, text) of the tokens of several texts."""
     data = np.frombuffer(b"\n".join(run) + b"\n", dtype=np.uint8)
     ends = np.cumsum([len(d) + 1 for d in run])
-    codes, slots, starts = [], [], []
+    codes, slots, openings, starts = [], [], [], []
     for a, b in pieces(data):
-        code, slot, start = _tokens(data[a:b])
+        code, slot, opening, start = _tokens(data[a:b])
         codes.append(code)
         slots.append(slot)
+        openings.append(opening)
         starts.append(start + a)
     starts = np.concatenate(starts)
-    return np.concatenate(codes), np.concatenate(slots), np.searchsorted(ends, starts, side="right")
+    text = np.searchsorted(ends, starts, side="right")
+    return np.concatenate(codes), np.concatenate(slots), np.concatenate(openings), text
 
 
-def windows(code: np.ndarray, slot: np.ndarray, text: np.ndarray, size: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first token) of the windows of ``size`` tokens inside one text; ``whole``: only texts of just that size."""
-    n = len(code) - size + 1
+def spans(text: np.ndarray, size: int, whole: bool) -> np.ndarray:
+    """First tokens of the windows of ``size`` tokens inside one text; ``whole``: only texts of just that size."""
+    n = len(text) - size + 1
     if n <= 0:
-        return np.zeros(0, dtype=_U), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64)
     inside = text[:n] == text[size - 1 :]
     if whole:
         inside &= np.concatenate(([True], text[1:n] != text[: n - 1]))
         inside &= np.concatenate((text[size:] != text[: n - 1], [True]))
-    words = np.concatenate(([0], np.cumsum(slot == 0)))
-    inside &= words[size:] - words[:n] >= min(LEAST_WORDS, size)
-    at = np.flatnonzero(inside)
+    return np.flatnonzero(inside)
+
+
+def among(marks: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """How many of the tokens of each window are marked."""
+    total = np.concatenate(([0], np.cumsum(marks)))
+    return total[at + size] - total[at]
+
+
+def hashes(code: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarray:
     acc = np.full(len(at), size, dtype=_U)
     with np.errstate(over="ignore"):
         for k in range(size):
             acc = acc * _U(0x9E3779B97F4A7C55) + code[at + k]
-    return mix(acc, 8), at
+    return mix(acc, salt)
+
+
+def forms(run: list[bytes], sizes: dict[int, bool]) -> Iterator[tuple[int, int, *tuple[np.ndarray, ...]]]:
+    """(form, size, hash, first token, slots of the window's tokens, text of all tokens, first token of each text)."""
+    code, slot, opening, text = sequences(run)
+    origin = np.searchsorted(text, np.arange(len(run)))
+    opens = opening != 0
+    open_code, open_slot = np.where(opens, NAME, code), np.where(opens, opening, slot)
+    for size, whole in sizes.items():
+        at, least = spans(text, size, whole), min(LEAST_WORDS, size)
+        plain = at[among(slot == 0, at, size) >= least]
+        yield PLAIN, size, hashes(code, plain, size, 8), plain, slot, text, origin
+        opened = at[(among(opens, at, size) > 0) & (among(open_slot == 0, at, size) >= least)]
+        yield OPENED, size, hashes(open_code, opened, size, 8), opened, open_slot, text, origin
 
 
 def _match_rows(ids, texts, sizes: dict[int, bool], keep=None) -> Iterator[pa.RecordBatch]:
-    """(id, n_windows, pos, h, slots) of windows of the given sizes that ``keep`` lets through."""
+    """Rows of SCHEMA: windows of the given sizes, in every form, that ``keep`` lets through."""
     for first, run in blocks(texts, BLOCK):
-        code, slot, text = sequences(run)
-        origin = np.searchsorted(text, np.arange(len(run)))
-        columns = [[], [], [], []]
-        for size, whole in sizes.items():
-            h, at = windows(code, slot, text, size, whole)
+        columns = [[], [], [], [], []]
+        for form, size, h, at, slot, text, origin in forms(run, sizes):
             if keep is not None:
                 passed = keep.holds(h)
                 h, at = h[passed], at[passed]
             columns[0] += [ids[first + t] for t in text[at].tolist()]
             columns[1] += (at - origin[text[at]]).tolist()
             columns[2] += h.view(np.int64).tolist()
-            columns[3] += [s[s != 0].view(np.int64).tolist() for s in (slot[i : i + size] for i in at.tolist())]
+            columns[3] += [form] * len(at)
+            columns[4] += [s[s != 0].view(np.int64).tolist() for s in (slot[i : i + size] for i in at.tolist())]
         if columns[0]:
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "pos", "h", "slots"]
+                [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "pos", "h", "form", "slots"]
             )
 
 
-SCHEMA = "id long, pos long, h long, slots array<long>"
+SCHEMA = "id long, pos long, h long, form int, slots array<long>"
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -203,7 +234,7 @@ def short_sizes(benchmark: DataFrame, window: int = WINDOW) -> dict[int, bool]:
         found = set()
         for batch in batches:
             for _, block in blocks(batch.column(0).to_pylist(), BLOCK):
-                found |= set(np.bincount(sequences(block)[2], minlength=1).tolist())
+                found |= set(np.bincount(sequences(block)[3], minlength=1).tolist())
         yield pa.RecordBatch.from_pydict({"n": pa.array(sorted(x for x in found if 0 < x < window), pa.int64())})
 
     got = benchmark.select("text").mapInArrow(run, "n long").distinct().collect()  # fewer than ``window`` numbers
@@ -226,32 +257,54 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         docs.filter(F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("long").alias("id"), "text")
         .mapInArrow(run, SCHEMA)
-        .select(F.col("id").alias("doc_id"), F.col("pos").alias("doc_pos"), "h", F.col("slots").alias("doc_slots"))
+        .select(
+            F.col("id").alias("doc_id"),
+            F.col("pos").alias("doc_pos"),
+            "h",
+            F.col("form").alias("doc_form"),
+            F.col("slots").alias("doc_slots"),
+        )
     )
     sides = items.select(
-        F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")
+        F.col("id").alias("item_id"),
+        F.col("pos").alias("item_pos"),
+        "h",
+        F.col("form").alias("item_form"),
+        F.col("slots").alias("item_slots"),
     )
     per_item = sides.groupBy("item_id").agg(F.countDistinct("item_pos").alias("n_windows"))
-    pairs = F.arrays_zip("item_slots", "doc_slots")
+    # Windows that match as they are must agree among themselves; those with a name that opens a sentence, with all.
+    form = F.greatest("item_form", "doc_form").alias("form")
+    row = F.struct(form, F.col("item_pos").alias("place"), F.arrays_zip("item_slots", "doc_slots").alias("met"))
     aligned = (
         found.join(sides, "h")
         .groupBy("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
-        .agg(
-            F.collect_set("item_pos").alias("places"),
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("met"),
-        )
+        .agg(F.collect_set(row).alias("rows"))
     )
-    consistent = F.size("met") == F.size(F.array_distinct(F.transform("met", lambda m: m["item_slots"])))
+
+    def met(most: int):
+        return F.array_distinct(F.flatten(F.transform(F.filter("rows", lambda r: r["form"] <= most), lambda r: r["met"])))
+
+    def consistent(name: str):
+        return F.size(name) == F.size(F.array_distinct(F.transform(name, lambda m: m["item_slots"])))
+
     matched = (
-        aligned.filter(consistent)
+        aligned.withColumns({"met_plain": met(PLAIN), "met_any": met(OPENED)})
+        .withColumns({"plain": consistent("met_plain"), "any": consistent("met_any")})
+        .select("doc_id", "item_id", "plain", "any", F.explode("rows").alias("row"))
+        .filter(F.when(F.col("row.form") == PLAIN, F.col("plain")).otherwise(F.col("any")))
         .select(
             "doc_id",
             "item_id",
-            F.forall("met", lambda m: m["item_slots"] == m["doc_slots"]).alias("same"),
-            F.explode("places").alias("place"),
+            F.col("row.place").alias("place"),
+            F.forall("row.met", lambda m: m["item_slots"] == m["doc_slots"]).alias("same"),
         )
         .groupBy("doc_id", "item_id")
-        .agg(F.countDistinct("place").alias("matched"), F.min("same").alias("verbatim"))
+        .agg(
+            F.countDistinct("place").alias("matched"),
+            F.countDistinct(F.when(F.col("same"), F.col("place"))).alias("n_same"),
+        )
+        .withColumn("verbatim", F.col("n_same") == F.col("matched"))
     )
     share = F.col("matched") / F.col("n_windows")
     return (
