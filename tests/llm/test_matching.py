@@ -168,6 +168,14 @@ def test_changed_names_that_open_sentences(spark):
     assert {(r["doc_id"], r["matched"], r["verbatim"]) for r in found} == {(1, 9, True), (2, 9, False), (3, 9, False)}
 
 
+def test_items_made_of_numbers_match_verbatim_only(spark):
+    sums = [(1, "What is 25 * 4?"), (2, "12 + 45 = 57"), (3, "Add 3, 4, 5, 6, 7, 8, 9, 10, 11 and 12.")]
+    rows = [(i, f"Then came this: {text} And it went on.") for i, text in sums]
+    rows += [(11, "What is 26 * 4?"), (12, "12 + 45 = 58"), (13, "Add 3, 4, 5, 6, 7, 8, 90, 10, 11 and 13.")]
+    found = op8_templates.contaminated(documents(spark, rows), items(spark, sums)).collect()
+    assert {(r["doc_id"], r["item_id"], r["coverage"], r["verbatim"]) for r in found} == {(i, i, 1.0, True) for i, _ in sums}
+
+
 def test_items_shorter_than_a_window(spark):
     found = op8_templates.contaminated(
         documents(spark, [(1, "we ask for the capital city of France again"), (2, "nothing here")]),

@@ -12,8 +12,10 @@ count where they are consistent with all others. Consistent alignments that cove
 make the document contaminated by that item.
 
 Documents send only windows that pass a bit filter over the benchmark's window hashes (fixed size, no window is lost),
-so texts are read once and never shuffled; the exact join follows. Item windows that are placeholders for the most
-part (fewer than LEAST_WORDS words) say nothing and are left out on both sides.
+so texts are read once and never shuffled; the exact join follows. Every window is also hashed with its slot values, so
+that it matches verbatim. Windows that are placeholders for the most part (fewer than LEAST_WORDS words) say nothing as
+templates and match in that form only. An item's coverage is the larger of two shares: of all its windows, and of its
+windows that are templates.
 
 Defined cases: null or empty texts, and texts without words, match nothing; rows without an id match nothing; rows that
 share a doc_id count as one document, items that share an item_id as one item; an item shorter than a window is one window
@@ -46,8 +48,8 @@ WINDOW = 8
 LEAST_WORDS = 3
 COVERAGE = 0.5
 BLOCK = 1 << 20
-#: Forms of a window: words that open a sentence are words, or names.
-PLAIN, OPENED = 0, 1
+#: Forms of a window: with its values; words that open a sentence are words, or names.
+EXACT, PLAIN, OPENED = 0, 1, 2
 
 #: Units, in lower case; only right after a number.
 UNITS = (
@@ -178,40 +180,45 @@ def hashes(code: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarray
 
 
 def forms(run: list[bytes], sizes: dict[int, bool]) -> Iterator[tuple[int, int, *tuple[np.ndarray, ...]]]:
-    """(form, size, hash, first token, slots of the window's tokens, text of all tokens, first token of each text)."""
+    """(form, size, hash, first token, whether it is a template, slots of all tokens, their text, first token of each text)."""
     code, slot, opening, text = sequences(run)
     origin = np.searchsorted(text, np.arange(len(run)))
     opens = opening != 0
     open_code, open_slot = np.where(opens, NAME, code), np.where(opens, opening, slot)
+    exact, none = np.where(slot != 0, slot, code | _U(1)), np.zeros(len(code), dtype=_U)
     for size, whole in sizes.items():
         at, least = spans(text, size, whole), min(LEAST_WORDS, size)
-        plain = at[among(slot == 0, at, size) >= least]
-        yield PLAIN, size, hashes(code, plain, size, 8), plain, slot, text, origin
+        words = among(slot == 0, at, size)
+        yield EXACT, size, hashes(exact, at, size, 9), at, words >= least, none, text, origin
+        # Without slots the exact form says it all.
+        plain = at[(words >= least) & (words < size)]
+        yield PLAIN, size, hashes(code, plain, size, 8), plain, np.ones(len(plain), dtype=bool), slot, text, origin
         opened = at[(among(opens, at, size) > 0) & (among(open_slot == 0, at, size) >= least)]
-        yield OPENED, size, hashes(open_code, opened, size, 8), opened, open_slot, text, origin
+        yield OPENED, size, hashes(open_code, opened, size, 8), opened, np.ones(len(opened), dtype=bool), open_slot, text, origin
 
 
 def _match_rows(ids, texts, sizes: dict[int, bool], keep=None) -> Iterator[pa.RecordBatch]:
     """Rows of SCHEMA: windows of the given sizes, in every form, that ``keep`` lets through."""
     for first, run in blocks(texts, BLOCK):
-        columns = [[], [], [], [], []]
-        for form, size, h, at, slot, text, origin in forms(run, sizes):
+        columns = [[], [], [], [], [], []]
+        for form, size, h, at, template, slot, text, origin in forms(run, sizes):
             if keep is not None:
                 passed = keep.holds(h)
-                h, at = h[passed], at[passed]
+                h, at, template = h[passed], at[passed], template[passed]
             columns[0] += [ids[first + t] for t in text[at].tolist()]
             columns[1] += (at - origin[text[at]]).tolist()
             columns[2] += h.view(np.int64).tolist()
             columns[3] += [form] * len(at)
-            columns[4] += [s[s != 0].view(np.int64).tolist() for s in (slot[i : i + size] for i in at.tolist())]
+            columns[4] += template.tolist()
+            columns[5] += [s[s != 0].view(np.int64).tolist() for s in (slot[i : i + size] for i in at.tolist())]
         if columns[0]:
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "pos", "h", "form", "slots"]
+                [pa.array(c, t) for c, t in zip(columns, types)], names=["id", "pos", "h", "form", "template", "slots"]
             )
 
 
-SCHEMA = "id long, pos long, h long, form int, slots array<long>"
+SCHEMA = "id long, pos long, h long, form int, template boolean, slots array<long>"
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -270,12 +277,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         F.col("pos").alias("item_pos"),
         "h",
         F.col("form").alias("item_form"),
+        "template",
         F.col("slots").alias("item_slots"),
     )
-    per_item = sides.groupBy("item_id").agg(F.countDistinct("item_pos").alias("n_windows"))
+    per_item = sides.groupBy("item_id").agg(
+        F.countDistinct("item_pos").alias("n_windows"),
+        F.countDistinct(F.when(F.col("template"), F.col("item_pos"))).alias("n_templates"),
+    )
     # Windows that match as they are must agree among themselves; those with a name that opens a sentence, with all.
     form = F.greatest("item_form", "doc_form").alias("form")
-    row = F.struct(form, F.col("item_pos").alias("place"), F.arrays_zip("item_slots", "doc_slots").alias("met"))
+    pairs = F.arrays_zip("item_slots", "doc_slots").alias("met")
+    row = F.struct(form, F.col("item_pos").alias("place"), "template", pairs)
     aligned = (
         found.join(sides, "h")
         .groupBy("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift"))
@@ -292,21 +304,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         aligned.withColumns({"met_plain": met(PLAIN), "met_any": met(OPENED)})
         .withColumns({"plain": consistent("met_plain"), "any": consistent("met_any")})
         .select("doc_id", "item_id", "plain", "any", F.explode("rows").alias("row"))
-        .filter(F.when(F.col("row.form") == PLAIN, F.col("plain")).otherwise(F.col("any")))
+        .filter(F.when(F.col("row.form") <= PLAIN, F.col("plain")).otherwise(F.col("any")))
         .select(
             "doc_id",
             "item_id",
             F.col("row.place").alias("place"),
+            F.col("row.template").alias("template"),
             F.forall("row.met", lambda m: m["item_slots"] == m["doc_slots"]).alias("same"),
         )
         .groupBy("doc_id", "item_id")
         .agg(
             F.countDistinct("place").alias("matched"),
+            F.countDistinct(F.when(F.col("template"), F.col("place"))).alias("n_matched_templates"),
             F.countDistinct(F.when(F.col("same"), F.col("place"))).alias("n_same"),
         )
         .withColumn("verbatim", F.col("n_same") == F.col("matched"))
     )
-    share = F.col("matched") / F.col("n_windows")
+    of_all = F.col("matched") / F.col("n_windows")
+    of_templates = F.when(F.col("n_templates") > 0, F.col("n_matched_templates") / F.col("n_templates"))
+    share = F.greatest(of_all, of_templates)
     return (
         matched.join(per_item, "item_id")
         .filter(share >= coverage)
