@@ -176,6 +176,16 @@ def test_items_made_of_numbers_match_verbatim_only(spark):
     assert {(r["doc_id"], r["item_id"], r["coverage"], r["verbatim"]) for r in found} == {(i, i, 1.0, True) for i, _ in sums}
 
 
+def test_a_long_quote_is_enough_whatever_its_share(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = [f"{a}{b}q" for a in letters[:8] for b in letters[:10]]
+    item = " ".join(word)
+    texts = [" ".join(word[20 : 20 + n]) for n in (32, 13, 12)]
+    apart = " ".join(word[20:28] + ["other"] + word[30:42])
+    found = op8_templates.contaminated(documents(spark, [*enumerate(texts), (3, apart)]), items(spark, [(1, item)])).collect()
+    assert {(r["doc_id"], r["matched"], r["n_windows"]) for r in found} == {(0, 25, 73), (1, 6, 73)}
+
+
 def test_items_shorter_than_a_window(spark):
     found = op8_templates.contaminated(
         documents(spark, [(1, "we ask for the capital city of France again"), (2, "nothing here")]),

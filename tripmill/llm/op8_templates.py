@@ -9,7 +9,8 @@ hold one are hashed in both forms, and either form may match.
 A match between a document and an item is read along alignments (one difference of positions each). An alignment is
 consistent if the same item value always meets the same document value; windows with a name that opens a sentence only
 count where they are consistent with all others. Consistent alignments that cover at least COVERAGE of an item's windows
-make the document contaminated by that item.
+make the document contaminated by that item, and so do RUN consecutive words of the item held verbatim, whatever share
+of the item they are.
 
 Documents send only windows that pass a bit filter over the benchmark's window hashes (fixed size, no window is lost),
 so texts are read once and never shuffled; the exact join follows. Every window is also hashed with its slot values, so
@@ -47,6 +48,8 @@ from tripmill.llm.common import (
 WINDOW = 8
 LEAST_WORDS = 3
 COVERAGE = 0.5
+#: Consecutive words held verbatim that are enough, however long the item is.
+RUN = 13
 BLOCK = 1 << 20
 #: Forms of a window: with its values; words that open a sentence are words, or names.
 EXACT, PLAIN, OPENED = 0, 1, 2
@@ -300,20 +303,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     def consistent(name: str):
         return F.size(name) == F.size(F.array_distinct(F.transform(name, lambda m: m["item_slots"])))
 
+    # Windows in a row that make RUN words; an item below the window size has one window and is matched whole.
+    row_of = max(RUN - window + 1, 1)
+    exact = F.array_sort(F.array_distinct(F.transform(F.filter("rows", lambda r: r["form"] == EXACT), lambda r: r["place"])))
+    ends = F.slice("exact", row_of, F.greatest(F.size("exact") - row_of + 1, F.lit(0)))
+    run_long = F.exists(F.arrays_zip(ends.alias("last"), F.col("exact").alias("first")), lambda p: p["last"] - p["first"] == row_of - 1)
     matched = (
-        aligned.withColumns({"met_plain": met(PLAIN), "met_any": met(OPENED)})
+        aligned.withColumns({"met_plain": met(PLAIN), "met_any": met(OPENED), "exact": exact})
+        .withColumn("run", F.coalesce(run_long, F.lit(False)))
         .withColumns({"plain": consistent("met_plain"), "any": consistent("met_any")})
-        .select("doc_id", "item_id", "plain", "any", F.explode("rows").alias("row"))
-        .filter(F.when(F.col("row.form") <= PLAIN, F.col("plain")).otherwise(F.col("any")))
+        .select("doc_id", "item_id", "run", "plain", "any", F.explode("rows").alias("row"))
+        .filter(F.when(F.col("row.form") <= PLAIN, F.col("plain") | F.col("run")).otherwise(F.col("any")))
         .select(
             "doc_id",
             "item_id",
+            "run",
             F.col("row.place").alias("place"),
             F.col("row.template").alias("template"),
             F.forall("row.met", lambda m: m["item_slots"] == m["doc_slots"]).alias("same"),
         )
         .groupBy("doc_id", "item_id")
         .agg(
+            F.max("run").alias("run"),
             F.countDistinct("place").alias("matched"),
             F.countDistinct(F.when(F.col("template"), F.col("place"))).alias("n_matched_templates"),
             F.countDistinct(F.when(F.col("same"), F.col("place"))).alias("n_same"),
@@ -325,7 +336,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     share = F.greatest(of_all, of_templates)
     return (
         matched.join(per_item, "item_id")
-        .filter(share >= coverage)
+        .filter((share >= coverage) | F.col("run"))
         .select("doc_id", "item_id", "matched", "n_windows", share.alias("coverage"), "verbatim")
     )
 
