@@ -186,6 +186,16 @@ def test_a_long_quote_is_enough_whatever_its_share(spark):
     assert {(r["doc_id"], r["matched"], r["n_windows"]) for r in found} == {(0, 25, 73), (1, 6, 73)}
 
 
+def test_a_conflicting_slot_costs_its_own_windows_only(spark):
+    filler = "and then the whole crowd walked slowly along the narrow river path until they"
+    later = "in some tall old trees beside a quiet lake where nobody ever had"
+    item = f"Tom saw 5 birds {filler} found the other 5 birds {later} went home"
+    edited = item.replace("other 5", "other 6")
+    variant = "Here Tom saw 7 birds" + item.replace("other 5", "other 9").removeprefix("Tom saw 5 birds")
+    found = op8_templates.contaminated(documents(spark, [(1, edited), (2, variant)]), items(spark, [(1, item)])).collect()
+    assert sorted((r["doc_id"], r["matched"], r["n_windows"], r["verbatim"]) for r in found) == [(1, 23, 31, True), (2, 20, 31, True)]
+
+
 def test_items_shorter_than_a_window(spark):
     found = op8_templates.contaminated(
         documents(spark, [(1, "we ask for the capital city of France again"), (2, "nothing here")]),

@@ -6,11 +6,11 @@ joined; the values behind the placeholders (slots) go along. A question that was
 numbers or names, but the same template. A capitalised word that opens a sentence may be a name or not: windows that
 hold one are hashed in both forms, and either form may match.
 
-A match between a document and an item is read along alignments (one difference of positions each). An alignment is
-consistent if the same item value always meets the same document value; windows with a name that opens a sentence only
-count where they are consistent with all others. Consistent alignments that cover at least COVERAGE of an item's windows
-make the document contaminated by that item, and so do RUN consecutive words of the item held verbatim, whatever share
-of the item they are.
+A match between a document and an item is read along alignments (one difference of positions each). In an alignment an
+item value that meets two document values is in conflict, and windows that hold it in a slot do not count unless they are
+verbatim. Windows matched by a name that opens a sentence never put others in conflict. Windows left that cover at least
+COVERAGE of an item's windows make the document contaminated by that item, and so do RUN consecutive words of the item
+held verbatim, whatever share of the item they are.
 
 Documents send only windows that pass a bit filter over the benchmark's window hashes (fixed size, no window is lost),
 so texts are read once and never shuffled; the exact join follows. Every window is also hashed with its slot values, so
@@ -287,7 +287,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         F.countDistinct("item_pos").alias("n_windows"),
         F.countDistinct(F.when(F.col("template"), F.col("item_pos"))).alias("n_templates"),
     )
-    # Windows that match as they are must agree among themselves; those with a name that opens a sentence, with all.
     form = F.greatest("item_form", "doc_form").alias("form")
     pairs = F.arrays_zip("item_slots", "doc_slots").alias("met")
     row = F.struct(form, F.col("item_pos").alias("place"), "template", pairs)
@@ -297,11 +296,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
         .agg(F.collect_set(row).alias("rows"))
     )
 
+    # Windows matched in their plain form are held against each other, opened ones against all.
     def met(most: int):
-        return F.array_distinct(F.flatten(F.transform(F.filter("rows", lambda r: r["form"] <= most), lambda r: r["met"])))
+        return F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter("rows", lambda r: r["form"] <= most), lambda r: r["met"]))))
 
-    def consistent(name: str):
-        return F.size(name) == F.size(F.array_distinct(F.transform(name, lambda m: m["item_slots"])))
+    def conflicts(name: str):
+        """Item values with two document values: equal neighbours in the sorted pairs."""
+        later = F.slice(name, 2, F.greatest(F.size(name) - 1, F.lit(0)))
+        beside = F.filter(F.arrays_zip(later.alias("b"), F.col(name).alias("a")), lambda p: p["b"]["item_slots"] == p["a"]["item_slots"])
+        return F.array_distinct(F.transform(beside, lambda p: p["a"]["item_slots"]))
+
+    def agrees(name: str):
+        return ~F.arrays_overlap(F.transform("row.met", lambda m: m["item_slots"]), F.col(name))
 
     # Windows in a row that make RUN words; an item below the window size has one window and is matched whole.
     row_of = max(RUN - window + 1, 1)
@@ -311,9 +317,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     matched = (
         aligned.withColumns({"met_plain": met(PLAIN), "met_any": met(OPENED), "exact": exact})
         .withColumn("run", F.coalesce(run_long, F.lit(False)))
-        .withColumns({"plain": consistent("met_plain"), "any": consistent("met_any")})
+        .withColumns({"plain": conflicts("met_plain"), "any": conflicts("met_any")})
         .select("doc_id", "item_id", "run", "plain", "any", F.explode("rows").alias("row"))
-        .filter(F.when(F.col("row.form") <= PLAIN, F.col("plain") | F.col("run")).otherwise(F.col("any")))
+        .filter((F.col("row.form") == EXACT) | F.when(F.col("row.form") == PLAIN, agrees("plain")).otherwise(agrees("any")))
         .select(
             "doc_id",
             "item_id",
