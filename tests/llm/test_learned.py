@@ -167,6 +167,19 @@ def test_toxic_documents_are_found_and_clean_ones_left(spark):
     assert scum["p_degrading"] > 0.5 > scum["p_insult"]
 
 
+def test_many_toxic_words_are_all_learned(spark):
+    rng = random.Random(12)
+    bad = ["".join(rng.choice("bcdfgklmnprstvz") for _ in range(8)) for _ in range(300)]
+    learned = [*((f"{prose(rng, EN, 40)} {w}", 1) for w in bad * 3), *((prose(rng, EN, 42), 0) for _ in range(900))]
+    asked = [*((f"{prose(rng, EN, 40)} {w}", 1) for w in bad), *((prose(rng, EN, 42), 0) for _ in range(300))]
+    frame = spark.createDataFrame([(i, t, m) for i, (t, m) in enumerate(learned + asked)], "doc_id long, text string, toxic int")
+    first = F.col("doc_id") < len(learned)
+    chain = op6_classifier_chain.train(frame.select("doc_id", "text"), frame.filter(first).select("doc_id", "toxic"))
+    assert set(bad) <= chain.vocabulary.keys()
+    found = op6_classifier_chain.score(frame.filter(~first).select("doc_id", "text"), chain).collect()
+    assert [r["predicted"] for r in sorted(found, key=lambda r: r["doc_id"])] == [m for _, m in asked]
+
+
 def test_later_links_use_earlier_probabilities():
     rng = np.random.default_rng(1)
     present = (rng.random((400, 3)) < 0.3).astype(float)

@@ -5,10 +5,10 @@ probabilities of the categories before it. In training those are out-of-fold: a
 models that did not see the row, as at prediction time. The last link is ``toxic`` itself, as ``labels`` marks it; the
 categories before it are weakly labelled: a toxic document that holds one of a category's seed words.
 
-Words are chosen by data: among words of toxic training documents the VOCABULARY ones with the largest chi-square
-against the label. Training uses a bounded sample of labelled rows (``PER_LABEL`` of each label); word
-counts are added up in Spark, and what reaches the driver is the chosen words and the sample's rows over them. Every
-document is scored over its whole text without a shuffle.
+Words are chosen by data: all that at least LEAST_DOCS toxic training documents hold and that speak for the label with
+a chi-square of SIGNIFICANT, however many they are. Training uses a bounded sample of labelled rows (``PER_LABEL`` of each
+label); word counts are added up in Spark, and what reaches the driver is the chosen words and the sample's rows over
+them, as places of what is not zero. Every document is scored over its whole text without a shuffle.
 
 Defined cases: a null or empty text has no words and gets the chain's prior; labels that are null or not 0/1 and
 rows without an id train nothing; without labels of both kinds every probability is the share of toxic rows (0 without
@@ -39,11 +39,14 @@ CATEGORIES: dict[str, tuple[str, ...]] = {
 }
 LAST = "toxic"
 PER_LABEL = 6000
-VOCABULARY = 160
 LEAST_DOCS = 3
+#: Chi-square with one degree of freedom, one-sided, at 5 %.
+SIGNIFICANT = 2.706
 FOLDS = 5
 PENALTY = 0.02
 STEPS = 25
+#: Rounds of conjugate gradients in one Newton step.
+ROUNDS = 200
 #: Lengths of word beginnings that count as words of their own.
 STEMS = (4, 5)
 
@@ -56,6 +59,49 @@ def words(text: str | None) -> set[str]:
     return own | {f"{w[:n]}*" for n in STEMS for w in own if len(w) > n}
 
 
+@dataclass(frozen=True)
+class Rows:
+    """A table by the places and values of what is not zero."""
+
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    shape: tuple[int, int]
+
+    @staticmethod
+    def of(x: np.ndarray | Rows) -> Rows:
+        if isinstance(x, Rows):
+            return x
+        row, column = np.nonzero(x)
+        return Rows(row, column, x[row, column].astype(float), x.shape)
+
+    @staticmethod
+    def at(places: list[list[int]], columns: int) -> Rows:
+        """Ones at the places of each row."""
+        row = np.repeat(np.arange(len(places)), [len(p) for p in places])
+        column = np.array([c for p in places for c in p], dtype=np.int64)
+        return Rows(row, column, np.ones(len(column)), (len(places), columns))
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.column], minlength=self.shape[0])
+
+    def sums(self, r: np.ndarray) -> np.ndarray:
+        """Per column, the values weighted by row."""
+        return np.bincount(self.column, self.value * r[self.row], minlength=self.shape[1])
+
+    def beside(self, other: Rows) -> Rows:
+        return Rows(
+            np.concatenate([self.row, other.row]),
+            np.concatenate([self.column, other.column + self.shape[1]]),
+            np.concatenate([self.value, other.value]),
+            (self.shape[0], self.shape[1] + other.shape[1]),
+        )
+
+    def only(self, own: np.ndarray) -> Rows:
+        held, place = own[self.row], np.cumsum(own) - 1
+        return Rows(place[self.row[held]], self.column[held], self.value[held], (int(own.sum()), self.shape[1]))
+
+
 @dataclass(frozen=True)
 class Chain:
     """Weights per link over [1, words, earlier links]."""
@@ -65,64 +111,89 @@ class Chain:
     weights: list[np.ndarray]
     share: float = 0.0
 
-    def probabilities(self, present: np.ndarray) -> np.ndarray:
+    def probabilities(self, present: np.ndarray | Rows) -> np.ndarray:
         if not self.weights:
-            return np.full((len(present), len(self.names)), self.share)
-        x = np.column_stack([np.ones(len(present)), present])
+            return np.full((present.shape[0], len(self.names)), self.share)
+        x = Rows.of(np.ones((present.shape[0], 1))).beside(Rows.of(present))
         out = []
         for w in self.weights:
-            p = _sigmoid(x @ w)
+            p = _sigmoid(x.times(w))
             out.append(p)
-            x = np.column_stack([x, p])
+            x = x.beside(Rows.of(p[:, None]))
         return np.column_stack(out)
 
-    def presence(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros((len(texts), len(self.vocabulary)))
-        known = self.vocabulary.keys()
-        for i, text in enumerate(texts):
-            for w in known & words(text):
-                out[i, self.vocabulary[w]] = 1.0
-        return out
+    def places(self, text: str | None) -> list[int]:
+        return sorted(self.vocabulary[w] for w in words(text) if w in self.vocabulary)
+
+    def presence(self, texts: list[str | None]) -> Rows:
+        return Rows.at([self.places(text) for text in texts], len(self.vocabulary))
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-penalised logistic regression by Newton steps; equal rows are counted, not repeated."""
-    rows, place = np.unique(np.column_stack([x, y]), axis=0, return_inverse=True)
-    n = np.bincount(place.ravel(), minlength=len(rows)).astype(float)
-    x, y = rows[:, :-1], rows[:, -1]
+def _solve(bend, diagonal: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """``bend(step) = slope`` by conjugate gradients, as exactly as the slope is small."""
+    step, rest = np.zeros(len(slope)), slope.copy()
+    ahead = rest / diagonal
+    way, size = ahead.copy(), rest @ ahead
+    enough = size * min(0.01, np.sqrt(size))
+    for _ in range(ROUNDS):
+        if size <= enough:
+            break
+        bent = bend(way)
+        pace = size / (way @ bent)
+        step += pace * way
+        rest -= pace * bent
+        ahead = rest / diagonal
+        size, before = rest @ ahead, size
+        way = ahead + size / before * way
+    return step
+
+
+def logistic(x: np.ndarray | Rows, y: np.ndarray) -> np.ndarray:
+    """Ridge-penalised logistic regression by Newton steps, which are halved while they lead uphill."""
+    x = Rows.of(x)
+    squares = Rows(x.row, x.column, x.value**2, x.shape)
     penalty = np.full(x.shape[1], PENALTY)
     penalty[0] = 1e-3
+
+    def loss(w: np.ndarray, z: np.ndarray) -> float:
+        return (np.logaddexp(0, z) - y * z).sum() + (penalty * w * w).sum() / 2
+
     w = np.zeros(x.shape[1])
+    z = x.times(w)
     for _ in range(STEPS):
-        p = _sigmoid(x @ w)
-        slope = x.T @ (n * (p - y)) + penalty * w
-        bend = (x * (n * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(bend, slope)
-        w = w - step
+        p = _sigmoid(z)
+        slope = x.sums(p - y) + penalty * w
+        if np.abs(slope).max() < 1e-6:
+            break
+        n = p * (1 - p)
+        step = _solve(lambda v, n=n: x.sums(n * x.times(v)) + penalty * v, squares.sums(n) + penalty, slope)
+        now, along = loss(w, z), x.times(step)
+        while loss(w - step, z - along) > now and np.abs(step).max() > 1e-9:
+            step, along = step / 2, along / 2
+        w, z = w - step, z - along
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def fit_chain(present: np.ndarray, marks: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
+def fit_chain(present: np.ndarray | Rows, marks: np.ndarray, folds: np.ndarray) -> list[np.ndarray]:
     """One model per column of ``marks``; earlier probabilities enter out of fold."""
-    x = np.column_stack([np.ones(len(present)), present])
+    x = Rows.of(np.ones((present.shape[0], 1))).beside(Rows.of(present))
     weights = []
     for y in marks.T:
         weights.append(logistic(x, y))
-        ahead = np.zeros(len(x))
+        ahead = np.zeros(len(y))
         for fold in range(FOLDS):
             own = folds == fold
             if own.any() and not own.all():
-                ahead[own] = _sigmoid(x[own] @ logistic(x[~own], y[~own]))
+                ahead[own] = _sigmoid(x.only(own).times(logistic(x.only(~own), y[~own])))
             elif own.any():
-                ahead[own] = _sigmoid(x[own] @ weights[-1])
-        # Rounded, so that rows over the same words stay equal and few.
-        x = np.column_stack([x, np.round(ahead, 3)])
+                ahead[own] = _sigmoid(x.only(own).times(weights[-1]))
+        x = x.beside(Rows.of(np.round(ahead, 3)[:, None]))
     return weights
 
 
@@ -170,9 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Cha
         sample.mapInPandas(count, "word string, n long, n_toxic long")
         .groupBy("word")
         .agg(F.sum("n").cast("double").alias("n"), F.sum("n_toxic").cast("double").alias("n_toxic"))
-        .filter((F.col("n_toxic") >= LEAST_DOCS) & (F.col("n_toxic") * n0 > c * n1))
-        .orderBy(chi.desc(), "word")
-        .limit(VOCABULARY)
+        .filter((F.col("n_toxic") >= LEAST_DOCS) & (F.col("n_toxic") * n0 > c * n1) & (chi >= SIGNIFICANT))
     )
     seeds = {w for ws in CATEGORIES.values() for w in ws}
     vocabulary = {w: i for i, w in enumerate(sorted({r["word"] for r in counted.select("word").collect()} | seeds))}
@@ -180,22 +249,14 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Cha
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            present = frozen.presence(batch["text"].tolist())
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "mark": batch["mark"],
-                    "places": [np.flatnonzero(r).tolist() for r in present],
-                }
-            )
+            places = [frozen.places(text) for text in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "mark": batch["mark"], "places": places})
 
-    # Bounded: the sample's rows over a bounded vocabulary.
+    # Bounded: the sample's rows over the words chosen from it.
     got = sample.mapInPandas(rows, "doc_id long, mark int, places array<int>").toPandas()
-    present = np.zeros((len(got), len(vocabulary)))
-    for i, places in enumerate(got["places"]):
-        present[i, places] = 1.0
+    present = Rows.at(got["places"].tolist(), len(vocabulary))
     toxic = got["mark"].to_numpy().astype(float)
-    weak = [toxic * present[:, [vocabulary[w] for w in ws]].max(axis=1) for ws in CATEGORIES.values()]
+    weak = [toxic * (present.times(np.isin(np.arange(len(vocabulary)), [vocabulary[w] for w in ws])) > 0) for ws in CATEGORIES.values()]
     folds = (got["doc_id"].to_numpy() * 2654435761 >> 7) % FOLDS
     weights = fit_chain(present, np.column_stack([*weak, toxic]), folds)
     # The sample evens out the labels; the last link gets the true odds back.
