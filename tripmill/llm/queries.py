@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from tripmill.llm import op10_signature_trees, op1_token_counts, op2_context_trees, op3_surrogates, op4_discriminant, op5_training_order, op6_classifier_chain, op7_term_at_a_time, op8_templates, op9_merge_replay
+from tripmill.llm import (
+    op1_token_counts,
+    op2_context_trees,
+    op3_surrogates,
+    op4_discriminant,
+    op5_training_order,
+    op6_classifier_chain,
+    op7_term_at_a_time,
+    op8_templates,
+    op9_merge_replay,
+    op10_signature_trees,
+    op11_importance,
+    op12_spelling,
+    op13_chat_layouts,
+)
 
 QUERIES = {
     "op1_length_histogram": op1_token_counts.query,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_templates": op8_templates.query,
     "op9_merge_replay": op9_merge_replay.query,
     "op10_signature_trees": op10_signature_trees.query,
+    "op11_importance": op11_importance.query,
+    "op12_spelling": op12_spelling.query,
+    "op13_chat_layouts": op13_chat_layouts.query,
 }
 
-ORACLES = {"op7_term_at_a_time": op7_term_at_a_time.SQL}
+ORACLES = {"op7_term_at_a_time": op7_term_at_a_time.SQL, "op13_chat_layouts": op13_chat_layouts.SQL}
