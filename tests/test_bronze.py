@@ -41,6 +41,54 @@ def test_contract_is_reported_per_landed_month(spark, tmp_path):
     assert not found["2024-03"].accepted and found["2024-03"].row_count == 0
 
 
+@pytest.mark.parametrize("names", [("part-a", "part-b"), ("part-b", "part-a")])
+def test_every_file_of_a_month_has_to_meet_the_contract(spark, tmp_path, names):
+    path, whole = str(tmp_path / "trips"), trips(spark, *({"VendorID": n} for n in range(5))).toPandas()
+    month = tmp_path / "trips/year=2024/month=02"
+    month.mkdir(parents=True)
+    whole.to_parquet(month / f"{names[0]}.parquet")
+    whole.drop(columns=["tip_amount", "payment_type"]).to_parquet(month / f"{names[1]}.parquet")
+    found = bronze.contract_report(spark, path).first()
+    assert (found.row_count, found.refused_files, found.accepted) == (10, 1, False)
+    assert found.missing_columns == "payment_type,tip_amount"
+    verdicts = bronze.file_contracts(bronze.trip_footers(spark, path)).collect()
+    assert {(Path(r.path).stem, r.accepted) for r in verdicts} == {(names[0], True), (names[1], False)}
+
+
+def test_footers_of_the_months_asked_for_alone_are_opened(spark, tmp_path):
+    path = str(tmp_path / "trips")
+    bronze.write_bronze(trips(spark, {}, {"file_month": "2024-02"}), path)
+    (tmp_path / "trips/year=2024/month=02/broken.parquet").write_bytes(b"not a footer")
+    january = bronze.contract_report(spark, path, ["2024-01"]).collect()
+    assert [(r.dataset_month, r.accepted) for r in january] == [("2024-01", True)]
+    both = {r.dataset_month: r for r in bronze.contract_report(spark, path).collect()}
+    assert not both["2024-02"].accepted and both["2024-02"].unreadable and both["2024-02"].row_count == 1
+    assert bronze.contract_report(spark, path, []).count() == 0
+
+
+def test_files_of_several_layouts_in_one_month(spark, tmp_path):
+    path = str(tmp_path / "trips")
+    bronze.write_bronze(trips(spark, {}, {"file_month": "2024-02"}), path)
+    more = trips(spark, {"VendorID": 2, "file_month": "2024-02"}).withColumnRenamed("congestion_surcharge", "fee")
+    more.drop("file_month").write.mode("append").parquet(f"{path}/year=2024/month=02")
+    rows = {(r.dataset_month, r.VendorID): r for r in bronze.read_bronze(spark, path).collect()}
+    assert set(rows) == {("2024-01", 1), ("2024-02", 1), ("2024-02", 2)}
+    assert rows["2024-02", 2].congestion_surcharge is None and rows["2024-02", 2].fee == 0.0
+    assert rows["2024-02", 1].congestion_surcharge == 0.0 and rows["2024-01", 1].fee is None
+
+
+def test_profile_comes_from_footers(spark, tmp_path):
+    path = str(tmp_path / "trips")
+    bronze.write_bronze(
+        trips(spark, {"total_amount": -4.5}, {"tpep_dropoff_datetime": None, "PULocationID": None}, {"total_amount": 99.0}), path
+    )
+    trips(spark, {}).where("false").write.mode("append").parquet(f"{path}/year=2024/month=01")
+    found = bronze.footer_profile(spark, path).first()
+    assert (found.row_count, found.missing_dropoffs, found.missing_pickup_zones) == (3, 1, 1)
+    assert (found.least_amount, found.greatest_amount) == (-4.5, 99.0)
+    assert found.first_pickup == found.last_pickup == BASE["tpep_pickup_datetime"]
+
+
 def test_layout_and_pruned_month_scan(spark, tmp_path):
     path = str(tmp_path / "trips")
     bronze.write_bronze(trips(spark, {}, {"file_month": "2024-02"}), path)

@@ -6,7 +6,7 @@ from helpers import trips
 
 from tripmill.operators import checks, dashboards, maintenance
 from tripmill.plans import monthly, publish
-from tripmill.sources import bronze
+from tripmill.sources import bronze, snapshots
 
 # January holds three trips; February has one of them again, a late one and its own.
 JANUARY = [
@@ -88,7 +88,8 @@ def test_month_that_loses_its_last_trip_is_removed(spark, tmp_path):
     monthly.load_months(spark, root, ["2024-02"], "two")
     fact = monthly.models(spark, root)["fact_trips"].collect()
     assert [r.dataset_month for r in fact] == ["2024-02"]
-    assert not (Path(monthly.fact_path(root)) / "dataset_month=2024-01").exists()
+    held = snapshots.table_sizes(spark, root).where("table_name = 'fact_trips'").collect()
+    assert [(r.partition, r.rows) for r in held] == [("2024-02", 1)]
 
 
 def test_failed_gate_records_and_raises(spark, lake):
@@ -162,8 +163,77 @@ def test_boundary_cleanup_drops_stray_partitions(spark, lake):
     monthly.backfill(spark, lake, "2024-01", "2024-02", "fill")
     models = monthly.models(spark, lake)
     stray = models["mart_daily_demand"].selectExpr("DATE '2024-03-01' AS trip_date", "* EXCEPT (trip_date)").limit(1)
-    publish.publish_gold("mart_daily_demand", stray, lake)
+    with snapshots.Commit(spark, lake) as commit:
+        placed = publish.with_month("mart_daily_demand", stray)
+        commit.write("mart_daily_demand", placed, "dataset_month", ["2024-03"])
+        commit.publish()
     report = {r.model: r.deleted_rows for r in monthly.clean_boundaries(spark, lake).collect()}
     assert report == {"mart_daily_demand": 1, "mart_zone_performance": 0}
     dates = [str(r.trip_date) for r in monthly.models(spark, lake)["mart_daily_demand"].collect()]
     assert "2024-03-01" not in dates and len(dates) == 2
+
+
+STEPS = ("stage", "put", "publish")
+
+
+def test_a_load_lost_at_any_write_leaves_the_old_state(spark, lake, monkeypatch):
+    """The n-th write of a load (data, manifest entry, version) never happens; the last of them is the version."""
+    monthly.load_months(spark, lake, ["2024-01"], "one")
+    before, done = state(spark, lake), []
+
+    class Lost(RuntimeError):
+        pass
+
+    for at in (0, 3, 5, 10, 13, 14):
+        with monkeypatch.context() as patch:
+            done.clear()
+            for name in STEPS:
+
+                def step(self, *args, _name=name, _real=getattr(snapshots.Commit, name), **kwargs):
+                    done.append(_name)
+                    if len(done) > at:
+                        raise Lost
+                    return _real(self, *args, **kwargs)
+
+                patch.setattr(snapshots.Commit, name, step)
+            with pytest.raises(Lost):
+                monthly.load_months(spark, lake, ["2024-02"], "two")
+        assert snapshots.current(spark, lake) == 1
+    assert done[-1] == "publish"
+    assert state(spark, lake) == before
+    assert {r.run_id for r in monthly.read_audit(spark, lake).collect()} == {"one-2024-01"}
+
+
+def test_versions_stay_readable_and_a_lost_load_can_be_repeated(spark, lake, monkeypatch):
+    monthly.load_months(spark, lake, ["2024-01"], "one")
+    first = state(spark, lake)
+    with monkeypatch.context() as patch:
+        patch.setattr(snapshots.lake, "rename_new", lambda *_: False)
+        with pytest.raises(snapshots.ConflictError):
+            monthly.load_months(spark, lake, ["2024-02"], "two")
+    assert state(spark, lake) == first
+    monthly.load_months(spark, lake, ["2024-02"], "two")
+    second = state(spark, lake)
+    assert second != first and snapshots.versions(spark, lake) == [1, 2]
+    old = monthly.models(spark, lake, version=1)
+    assert sorted((r.dataset_month, r.trip_id, r.trip_distance_miles) for r in old["fact_trips"].collect()) == first[0]
+    assert snapshots.damaged(spark, lake).count() == 0
+    assert snapshots.expire(spark, lake, keep=1) == [1]
+    assert state(spark, lake) == second
+
+
+def test_an_export_opens_the_files_of_its_month_alone(spark, lake):
+    monthly.backfill(spark, lake, "2024-01", "2024-02", "fill")
+    for model, df in monthly.models(spark, lake, ["2024-02"]).items():
+        files = df.inputFiles()
+        assert files and all("dataset_month=2024-02" in f for f in files if model != "dim_zone")
+
+
+def test_a_column_dropped_by_a_load_stays_dropped(spark, lake):
+    monthly.load_months(spark, lake, ["2024-01"], "one")
+    with snapshots.Commit(spark, lake) as commit:
+        narrow = commit.read(monthly.FACT).drop("rate_code_id")
+        commit.write(monthly.FACT, narrow.where("false"), "dataset_month", [])
+        commit.publish()
+    fact = monthly.models(spark, lake)["fact_trips"]
+    assert "rate_code_id" not in fact.columns and fact.count() == 3

@@ -9,10 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.operators import maintenance, marts
-from tripmill.plans import monthly, publish
+from tripmill.plans import monthly
 from tripmill.session import build_session
-from tripmill.sources import bronze, replay
-from tripmill.sources.lake import read_table
+from tripmill.sources import bronze, replay, snapshots
 from tripmill.streaming import minute_zone as stream
 
 
@@ -47,8 +46,8 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def validate(spark: SparkSession, args: argparse.Namespace) -> None:
-    fact = read_table(spark, monthly.fact_path(args.root))
-    daily = publish.read_gold(spark, args.root, "mart_daily_demand")
+    fact = monthly.stored(spark, args.root, monthly.FACT)
+    daily = monthly.stored_gold(spark, args.root, "mart_daily_demand")
     row = maintenance.year_validation(fact, daily, args.year).first()
     print(row.asDict())
     if not row.valid:
@@ -56,10 +55,25 @@ def validate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def inspect(spark: SparkSession, args: argparse.Namespace) -> None:
-    fact = read_table(spark, monthly.fact_path(args.root), merge_schema=True)
+    fact = monthly.stored(spark, args.root, monthly.FACT, version=args.version)
     maintenance.warehouse_inspect(fact).orderBy("dataset_month").show(1000, truncate=False)
-    marts_of = {model: publish.read_gold(spark, args.root, model) for model in monthly.MARTS}
-    maintenance.table_counts({**marts_of, "audit": read_table(spark, monthly.audit_path(args.root))}).show()
+    sizes = snapshots.table_sizes(spark, args.root, args.version)
+    sizes.groupBy("table_name").agg(*(F.sum(c).alias(c) for c in ("rows", "files", "bytes"))).show(truncate=False)
+
+
+def versions(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(snapshots.versions(spark, args.root))
+
+
+def expire(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(snapshots.expire(spark, args.root, args.keep))
+
+
+def verify(spark: SparkSession, args: argparse.Namespace) -> None:
+    faults = snapshots.damaged(spark, args.root, args.version)
+    faults.show(1000, truncate=False)
+    if not faults.isEmpty():
+        raise SystemExit("files of this version are not as they were written")
 
 
 def summary(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -101,7 +115,10 @@ COMMANDS = {
     "export": (export, {"--root": {}, "--month": {}, "--output": {}}),
     "clean": (clean, {"--root": {}}),
     "validate": (validate, {"--root": {}, "--year": {"type": int}}),
-    "inspect": (inspect, {"--root": {}}),
+    "inspect": (inspect, {"--root": {}, "--version": {"type": int, "required": False}}),
+    "versions": (versions, {"--root": {}}),
+    "expire": (expire, {"--root": {}, "--keep": {"type": int}}),
+    "verify": (verify, {"--root": {}, "--version": {"type": int, "required": False}}),
     "summary": (summary, {"--source": {}, "--output": {}}),
     "replay": (
         replay_trips,

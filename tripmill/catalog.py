@@ -7,6 +7,7 @@ dates and instants as text, decimals as doubles, whole numbers as bigint.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,10 @@ from tripmill.functions import (
     weekday_number,
 )
 from tripmill.operators import checks, dashboards, facts, maintenance, marts, runs, silver, staging
-from tripmill.plans import publish
+from tripmill.plans import monthly, publish
 from tripmill.plans.warehouse import Warehouse
 from tripmill.session import prepare
-from tripmill.sources import adapters, bronze, replay
+from tripmill.sources import adapters, bronze, replay, snapshots
 from tripmill.sources.lake import fresh_dir, materialize
 from tripmill.streaming import minute_zone as stream
 
@@ -138,7 +139,25 @@ def stg_zones(spark, sf_dir):
 @query
 def bronze_contract(spark, sf_dir):
     """Per landed month, from the month's own files."""
-    return bronze.contract_report(spark, _landed_bronze(spark, sf_dir))
+    return bronze.contract_report(spark, _landed_bronze(spark, sf_dir)).drop("unreadable")
+
+
+@query
+def bronze_contract_per_file(spark, sf_dir):
+    """Months land in a file per vendor; one vendor's file of one month lacks two columns."""
+    landed, raw = fresh_dir(spark, "bronze"), adapters.trips_raw(spark, sf_dir)
+    second = F.col("VendorID") == 2
+    broken = second & (F.col("file_month") == RELOADED_MONTH)
+    bronze.write_bronze(raw.where(~second), landed)
+    bronze.add_bronze(raw.where(second & ~broken), landed)
+    bronze.add_bronze(raw.where(broken).drop("tip_amount", "payment_type"), landed)
+    return bronze.contract_report(spark, landed).select("dataset_month", "row_count", "missing_columns", "accepted")
+
+
+@query
+def footer_profile(spark, sf_dir):
+    """Counts and bounds per month from footers alone."""
+    return bronze.footer_profile(spark, _landed_bronze(spark, sf_dir))
 
 
 def _landed_bronze(spark, sf_dir):
@@ -363,6 +382,43 @@ def gold_month_replace(spark, sf_dir):
     return publish.read_gold(spark, root, "mart_daily_demand")
 
 
+def _versioned_lake(spark, sf_dir):
+    """Facts and a mart of all months as one version, then one month loaded again as the next."""
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
+    root, mart, month = fresh_dir(spark, "lake"), "mart_daily_demand", "dataset_month"
+    with snapshots.Commit(spark, root) as commit:
+        commit.write("fact_trips", built.fact_trips, month)
+        final = marts.mart_daily_demand(marts.guarded(commit.staged("fact_trips")))
+        commit.write(mart, publish.with_month(mart, final), month)
+        commit.publish()
+    with snapshots.Commit(spark, root) as commit:
+        new = built.facts_by_load.where(F.col(month) == RELOADED_MONTH)
+        monthly.merge_into_fact(commit, new, [RELOADED_MONTH])
+        own = marts.mart_daily_demand(marts.guarded(new, RELOADED_MONTH))
+        commit.write(mart, publish.with_month(mart, own), month, [RELOADED_MONTH])
+        commit.publish()
+    return root
+
+
+@query
+def snapshot_versions(spark, sf_dir):
+    """Rows and amounts of two tables as each of two versions has them."""
+    root = _versioned_lake(spark, sf_dir)
+    found = []
+    for version in snapshots.versions(spark, root):
+        for table, amount in (("fact_trips", "total_amount"), ("mart_daily_demand", "revenue_amount")):
+            rows = snapshots.read(spark, root, table, version).groupBy("dataset_month")
+            added = rows.agg(F.count("*").alias("rows"), F.sum(F.col(amount).cast("decimal(18,2)")).alias("amount"))
+            found.append(added.withColumns({"version": F.lit(version), "table_name": F.lit(table)}))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def snapshot_sizes(spark, sf_dir):
+    """Rows per table and month of the current version, from the manifest alone."""
+    return snapshots.table_sizes(spark, _versioned_lake(spark, sf_dir)).select("table_name", "partition", "rows")
+
+
 def _exported(spark, sf_dir):
     built = written_warehouse(spark, sf_dir, *MEASURES)
     models = dict(built.models(*(name for name in publish.EXPORTS if name != "fact_trips")))

@@ -74,10 +74,10 @@ RELATIONS = {
         FROM zones_raw WHERE LocationID IS NOT NULL""",
     "timed": "SELECT *, epoch(dropoff_at - pickup_at)::BIGINT AS seconds FROM stg_trips",
     "identified": """
-        SELECT sha256(array_to_string(list_transform(
-                 [vendor_id::VARCHAR, pickup_at::VARCHAR || '+00', dropoff_at::VARCHAR || '+00',
-                  pickup_zone_id::VARCHAR, dropoff_zone_id::VARCHAR, total_amount::VARCHAR],
-                 lambda part: ifnull(part, '')), '|')) AS trip_id,
+        -- Fixed values: the order of the identity's parts and their separator.
+        SELECT sha256(concat_ws('|', coalesce(vendor_id::VARCHAR, ''), coalesce(pickup_at::VARCHAR || '+00', ''),
+                                coalesce(dropoff_at::VARCHAR || '+00', ''), coalesce(pickup_zone_id::VARCHAR, ''),
+                                coalesce(dropoff_zone_id::VARCHAR, ''), coalesce(total_amount::VARCHAR, ''))) AS trip_id,
                *,
                seconds / 60.0::DOUBLE AS duration_minutes,
                CASE WHEN seconds > 0 THEN trip_distance_miles / (seconds / 3600.0::DOUBLE) END AS average_speed_mph
@@ -259,8 +259,43 @@ BODIES = {
         FROM zones_raw""",
     "bronze_contract": """
         SELECT file_month AS dataset_month, count(*) AS row_count, CAST(19 AS BIGINT) AS column_count,
-               '' AS missing_columns, true AS accepted
+               '' AS missing_columns, CAST(0 AS BIGINT) AS refused_files, true AS accepted
         FROM trips_raw GROUP BY 1""",
+    "bronze_contract_per_file": f"""
+        SELECT file_month AS dataset_month, count(*) AS row_count,
+               if(file_month = '{RELOADED_MONTH}' AND bool_or(VendorID = 2), 'payment_type,tip_amount', '')
+                 AS missing_columns,
+               NOT (file_month = '{RELOADED_MONTH}' AND bool_or(VendorID = 2)) AS accepted
+        FROM trips_raw GROUP BY 1""",
+    "footer_profile": """
+        SELECT file_month AS dataset_month, count(*) AS row_count,
+               CAST(min(tpep_pickup_datetime) AS VARCHAR) AS first_pickup,
+               CAST(max(tpep_pickup_datetime) AS VARCHAR) AS last_pickup,
+               count(*) FILTER (WHERE tpep_dropoff_datetime IS NULL) AS missing_dropoffs,
+               count(*) FILTER (WHERE PULocationID IS NULL) AS missing_pickup_zones,
+               min(total_amount) AS least_amount, max(total_amount) AS greatest_amount
+        FROM trips_raw GROUP BY 1""",
+    "snapshot_versions": f"""
+        , versions AS (
+            SELECT 1 AS version, 'fact_trips' AS table_name, dataset_month, total_amount FROM fact_trips
+            UNION ALL SELECT 2, 'fact_trips', dataset_month, total_amount FROM merged
+            UNION ALL SELECT 1, 'mart_daily_demand', strftime(trip_date, '%Y-%m'), CAST(revenue_amount AS DECIMAL(18, 2))
+                      FROM ({_daily("final_guarded")})
+            UNION ALL SELECT 2, 'mart_daily_demand', strftime(trip_date, '%Y-%m'), CAST(revenue_amount AS DECIMAL(18, 2))
+                      FROM ({_daily("final_guarded")}) WHERE strftime(trip_date, '%Y-%m') <> '{RELOADED_MONTH}'
+            UNION ALL SELECT 2, 'mart_daily_demand', '{RELOADED_MONTH}', CAST(revenue_amount AS DECIMAL(18, 2))
+                      FROM mart_daily_demand WHERE strftime(trip_date, '%Y-%m') = '{RELOADED_MONTH}')
+        SELECT CAST(version AS BIGINT) AS version, table_name, dataset_month, count(*) AS rows,
+               CAST(sum(total_amount) AS DOUBLE) AS amount
+        FROM versions GROUP BY ALL""",
+    "snapshot_sizes": f"""
+        SELECT 'fact_trips' AS table_name, dataset_month AS partition, count(*) AS rows FROM merged GROUP BY 2
+        UNION ALL
+        SELECT 'mart_daily_demand', strftime(trip_date, '%Y-%m'), count(*) FROM ({_daily("final_guarded")})
+        WHERE strftime(trip_date, '%Y-%m') <> '{RELOADED_MONTH}' GROUP BY 2
+        UNION ALL
+        SELECT 'mart_daily_demand', '{RELOADED_MONTH}', count(*) FROM mart_daily_demand
+        WHERE strftime(trip_date, '%Y-%m') = '{RELOADED_MONTH}'""",
     "file_checksums": "SELECT borough, bytes, sha256 FROM zone_files",
     "changed_files": "SELECT borough, bytes, sha256 FROM zone_files WHERE borough IN ('ASIA', 'EUROPE')",
     "bronze_manifest": """

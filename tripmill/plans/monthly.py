@@ -7,12 +7,16 @@ Tables below the lake root:
 
     bronze/trips/year=/month=          landed trips
     bronze/zones                       landed zone lookup (CSV)
-    silver/silver_trip_events          scored events, by dataset_month
-    silver/fact_trips                  the trip fact, by dataset_month
-    silver/dim_zone                    zones
-    gold/<mart>                        marts, by dataset_month
-    audit/pipeline_runs                one row per run, by dataset_month
-    quality/, manifests/               gate results and run documents (JSON)
+    tables/silver_trip_events          scored events, by dataset_month
+    tables/fact_trips                  the trip fact, by dataset_month
+    tables/dim_zone                    zones
+    tables/<mart>                      marts, by dataset_month
+    tables/pipeline_runs               one row per run, by dataset_month
+    snapshots/                         versions of all these tables together
+    quality/                           gate results (JSON)
+
+A load changes its tables in one commit: readers see all of it or nothing, and
+older versions stay readable until they are removed.
 """
 
 from __future__ import annotations
@@ -27,18 +31,12 @@ from pyspark.sql import functions as F
 from tripmill.operators import facts, maintenance, marts, runs, silver, staging
 from tripmill.plans import publish
 from tripmill.session import prepare
-from tripmill.sources import bronze
-from tripmill.sources.lake import (
-    delete,
-    drop_partitions,
-    exists,
-    materialize,
-    partition_names,
-    read_table,
-    replace_partitions,
-)
-
-MONTH = ["dataset_month"]
+from tripmill.sources import bronze, snapshots
+from tripmill.sources.lake import delete, materialize, read_table, replace_partitions
+from tripmill.sources.snapshots import Commit
+
+MONTH = "dataset_month"
+EVENTS, FACT, ZONES, AUDIT = "silver_trip_events", "fact_trips", "dim_zone", "pipeline_runs"
 MARTS = ("mart_daily_demand", "mart_zone_performance", "mart_hourly_pattern")
 
 
@@ -54,20 +52,22 @@ def zones_path(root: str) -> str:
     return f"{root}/bronze/zones"
 
 
-def events_path(root: str) -> str:
-    return f"{root}/silver/silver_trip_events"
-
-
-def fact_path(root: str) -> str:
-    return f"{root}/silver/fact_trips"
-
-
-def zone_dim_path(root: str) -> str:
-    return f"{root}/silver/dim_zone"
+def stored(
+    spark: SparkSession, root: str, table: str, months: Sequence[str] | None = None, version: int | None = None
+) -> DataFrame:
+    """A stored table of the current or a given version; with months, only their files are opened."""
+    found = snapshots.read(spark, root, table, version, months)
+    if found is None:
+        raise LookupError(f"{root} holds no {table}")
+    return found
 
 
-def audit_path(root: str) -> str:
-    return f"{root}/audit/pipeline_runs"
+def stored_gold(
+    spark: SparkSession, root: str, model: str, months: Sequence[str] | None = None, version: int | None = None
+) -> DataFrame:
+    """A mart in its own columns."""
+    table = stored(spark, root, model, months, version)
+    return table if publish.EXPORTS[model][1] == MONTH else table.drop(MONTH)
 
 
 def _of_months(df: DataFrame, months: Sequence[str]) -> DataFrame:
@@ -87,55 +87,40 @@ def checked_months(spark: SparkSession, root: str, months: Sequence[str]) -> tup
     for row in report.collect():  # one row per month
         if row.missing_columns:
             refused[row.dataset_month] = f"missing required columns: {row.missing_columns}"
+        elif row.unreadable:
+            refused[row.dataset_month] = f"a file cannot be read: {row.unreadable}"
         elif not row.accepted:
-            refused[row.dataset_month] = "the file holds no rows"
+            refused[row.dataset_month] = "the files hold no rows"
     return [m for m in months if m not in refused], refused
 
 
-def build_events(spark: SparkSession, landed: DataFrame, work: str) -> DataFrame:
-    """Stage, deduplicate and score landed months; stored in the load's work folder."""
+def build_events(commit: Commit, landed: DataFrame) -> DataFrame:
+    """Stage, deduplicate and score landed months; written once, shown only for months that pass the gate."""
     events = silver.silver_trip_events(staging.stg_trips(landed, F.col("dataset_month")))
-    replace_partitions(events, f"{work}/events", MONTH)
-    return read_table(spark, f"{work}/events", events.schema)
+    return commit.stage(EVENTS, events, MONTH)
 
 
-def write_zones(spark: SparkSession, root: str) -> DataFrame:
+def build_zones(spark: SparkSession, root: str) -> DataFrame:
     """Zones are a full snapshot of the lookup file each time."""
-    zones = staging.dim_zone(staging.stg_zones(bronze.read_zones(spark, zones_path(root))))
-    zones.write.mode("overwrite").parquet(zone_dim_path(root))
-    return spark.read.parquet(zone_dim_path(root))
-
+    return staging.dim_zone(staging.stg_zones(bronze.read_zones(spark, zones_path(root))))
 
-def _stored_months(spark: SparkSession, path: str) -> set[str]:
-    """Months with a partition, from the folder listing."""
-    return {name.removeprefix("dataset_month=") for name in partition_names(spark, path, 1)}
 
-
-def merge_into_fact(
-    spark: SparkSession, path: str, new: DataFrame, months: Sequence[str], work: str
-) -> None:
+def merge_into_fact(commit: Commit, new: DataFrame, months: Sequence[str]) -> None:
     """Put a load into the fact table, rewriting only the months it touches.
 
     Those are the loaded months and the ones that held a trip the load now owns.
-    The merged months are complete in the work folder before the table changes.
     A touched month without a merged row has lost its last trip and is removed.
     """
-    if not exists(spark, path):
-        replace_partitions(new, path, MONTH)
+    fact = commit.read(FACT)
+    if fact is None:
+        commit.write(FACT, new, MONTH)
         return
-    fact = read_table(spark, path, merge_schema=True)
     contested = _values(facts.contested_months(fact, new, months))
-    merged = facts.merge_loads(_of_months(fact, contested), new, months)
-    replace_partitions(merged, f"{work}/fact", MONTH)
-    written = _stored_months(spark, f"{work}/fact")
-    if written:
-        replace_partitions(read_table(spark, f"{work}/fact", merged.schema), path, MONTH)
-    drop_partitions(spark, path, "dataset_month", sorted({*months, *contested} - written))
+    merged = facts.merge_loads(commit.read(FACT, contested), new, months)
+    commit.write(FACT, merged, MONTH, [*months, *contested])
 
 
-def write_gold(
-    spark: SparkSession, root: str, accepted: DataFrame, zones: DataFrame, months: Sequence[str]
-) -> None:
+def write_gold(commit: Commit, accepted: DataFrame, zones: DataFrame, months: Sequence[str]) -> None:
     """Rebuild the marts of the given months from their own accepted events."""
     inside = marts.guarded(accepted, *months)
     built = {
@@ -143,29 +128,24 @@ def write_gold(
         "mart_zone_performance": marts.mart_zone_performance(inside, zones),
         "mart_hourly_pattern": marts.mart_hourly_pattern(inside),
     }
-    seen = set(_values(inside.select("dataset_month").distinct()))
     for model, mart in built.items():
-        publish.publish_gold(model, mart, root)
-        drop_partitions(
-            spark, publish.export_path(root, model), "dataset_month", sorted(set(months) - seen)
-        )
+        commit.write(model, publish.with_month(model, mart), MONTH, months)
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_table(spark, audit_path(root)) if exists(spark, audit_path(root)) else None
+    return snapshots.read(spark, root, AUDIT)
 
 
-def record_runs(spark: SparkSession, root: str, incoming: DataFrame) -> None:
+def record_runs(commit: Commit, incoming: DataFrame) -> None:
     """Upsert runs; the audit table is small, one row per run."""
     incoming = incoming.select(*runs.AUDIT_COLUMNS)
-    audit = read_audit(spark, root)
+    audit = commit.read(AUDIT)
     merged = incoming if audit is None else runs.audit_upsert(audit, incoming)
-    replace_partitions(merged, audit_path(root), MONTH)
+    commit.write(AUDIT, merged, MONTH)
 
 
 def _metrics(
-    spark: SparkSession,
-    root: str,
+    commit: Commit,
     landed: DataFrame,
     events: DataFrame,
     run_id: str,
@@ -180,13 +160,13 @@ def _metrics(
         }
     )
     measured = runs.with_freshness(measured)
-    audit = read_audit(spark, root)
+    audit = commit.read(AUDIT)
     if audit is None:
         audit = measured.limit(0).withColumn("status", F.lit("none"))
     # A few rows, one per month; stored so that later steps do not count again.
     checked = runs.with_volume_check(measured, audit)
     checked.write.parquet(f"{work}/metrics")
-    return spark.read.schema(checked.schema).parquet(f"{work}/metrics")
+    return commit.spark.read.schema(checked.schema).parquet(f"{work}/metrics")
 
 
 def load_months(
@@ -201,7 +181,9 @@ def load_months(
     A month whose own files break the contract is refused, and one that fails
     the gate is recorded as failed. Either keeps everything that was loaded for it
     before, quarantine included, and makes the call raise once the other months
-    are in. Intermediate tables live in a work folder below the lake root that
+    are in. Facts, marts, zones and audit become visible together; a load that is
+    lost on the way has changed nothing, and one that another load has overtaken
+    raises ``ConflictError`` and can be run again. Intermediate tables live in a work folder below the lake root that
     is removed at the end, whatever happens.
     """
     prepare(spark)
@@ -219,9 +201,25 @@ def _load(
     if not months:
         raise bronze.ContractError(f"refused months: {refused}")
     landed = bronze.read_bronze(spark, trips_path(root), months)
-    events = build_events(spark, landed, work)
-    zones = write_zones(spark, root)
-    metrics = _metrics(spark, root, landed, events, run_id, started_at, work)
+    with Commit(spark, root) as commit:
+        metrics, failed = _change(commit, landed, months, run_id, started_at, work)
+        commit.publish()
+    # The stored metrics go with the work folder; what is returned is a row per month.
+    kept = spark.createDataFrame(metrics.collect(), metrics.schema)
+    if refused:
+        raise bronze.ContractError(f"refused months: {refused}")
+    if failed:
+        raise GateError(f"months that failed the quality gate: {failed}")
+    return kept
+
+
+def _change(
+    commit: Commit, landed: DataFrame, months: Sequence[str], run_id: str, started_at: datetime, work: str
+) -> tuple[DataFrame, list[str]]:
+    """All that a load writes; returns the metrics and the months that failed the gate."""
+    spark, root = commit.spark, commit.root
+    events = build_events(commit, landed)
+    metrics = _metrics(commit, landed, events, run_id, started_at, work)
 
     results = runs.expectations(metrics)
     results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
@@ -232,26 +230,21 @@ def _load(
     failed = sorted(set(months) - set(passed))
 
     if passed:
-        replace_partitions(_of_months(events, passed), events_path(root), MONTH)
+        commit.put(EVENTS, events.schema, MONTH, passed)
+        zones = commit.write(ZONES, build_zones(spark, root))
         accepted = silver.accepted(_of_months(events, passed))
         new = accepted
         if len(passed) > 1:  # within one month every trip is unique already
-            replace_partitions(facts.latest_load_wins(accepted), f"{work}/new", MONTH)
+            replace_partitions(facts.latest_load_wins(accepted), f"{work}/new", [MONTH])
             new = read_table(spark, f"{work}/new", accepted.schema)
-        merge_into_fact(spark, fact_path(root), new, passed, work)
-        write_gold(spark, root, accepted, zones, passed)
+        merge_into_fact(commit, new, passed)
+        write_gold(commit, accepted, zones, passed)
     finished = metrics.withColumn(
         "status",
         F.when(F.col("dataset_month").isin(*passed), "success").otherwise("failed"),
     ).withColumn("details", F.to_json(F.struct(*metrics.columns)))
-    record_runs(spark, root, finished)
-    # The stored metrics go with the work folder; what is returned is a row per month.
-    kept = spark.createDataFrame(metrics.collect(), metrics.schema)
-    if refused:
-        raise bronze.ContractError(f"refused months: {refused}")
-    if failed:
-        raise GateError(f"months that failed the quality gate: {failed}")
-    return kept
+    record_runs(commit, finished)
+    return metrics, failed
 
 
 def backfill(
@@ -277,42 +270,48 @@ def backfill(
     return coverage
 
 
-def models(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Stored models by name, ready for the checks, dashboards and exports."""
-    events = read_table(spark, events_path(root), merge_schema=True)
-    fact = read_table(spark, fact_path(root), merge_schema=True)
-    if months:
-        events, fact = _of_months(events, months), _of_months(fact, months)
+def models(
+    spark: SparkSession, root: str, months: Sequence[str] | None = None, version: int | None = None
+) -> dict[str, DataFrame]:
+    """Stored models by name, ready for the checks, dashboards and exports; all of one version."""
+    version = snapshots.current(spark, root) if version is None else version
+    events = stored(spark, root, EVENTS, months, version)
+    fact = stored(spark, root, FACT, months, version)
     return {
         "silver_trip_events": events,
         "silver_quarantine": silver.silver_quarantine(events),
         "fact_trips": fact,
         "silver_trips": fact,
-        "dim_zone": spark.read.parquet(zone_dim_path(root)),
-        **{model: publish.read_gold(spark, root, model) for model in MARTS},
+        "dim_zone": stored(spark, root, ZONES, version=version),
+        **{model: stored_gold(spark, root, model, months, version) for model in MARTS},
     }
 
 
 def export_month(spark: SparkSession, root: str, destination: str, dataset_month: str) -> DataFrame:
     """Export a month's slices and write its manifest; returns the export records."""
-    publish.export_models(models(spark, root), destination, dataset_month)
+    version = snapshots.current(spark, root)
+    publish.export_models(models(spark, root, [dataset_month], version), destination, dataset_month)
     records = publish.export_records(spark, destination, dataset_month)
-    run = read_table(spark, audit_path(root)).where(
-        (F.col("dataset_month") == dataset_month) & (F.col("status") == "success")
-    )
+    run = stored(spark, root, AUDIT, [dataset_month], version).where(F.col("status") == "success")
     publish.write_manifest(publish.publish_manifest(run, records), f"{destination}/manifests")
     return records
 
 
 def clean_boundaries(spark: SparkSession, root: str) -> DataFrame:
-    """Remove gold partitions of months without facts; returns what was removed."""
-    months = maintenance.fact_months(read_table(spark, fact_path(root)))
-    maintenance.require_fact_months(months)
-    gold = {model: publish.read_gold(spark, root, model) for model in MARTS[:2]}
-    report = materialize(maintenance.boundary_cleanup(gold, months), "boundary_cleanup")
-    known = set(_values(months))
-    for model in gold:
-        stored = read_table(spark, publish.export_path(root, model)).select("dataset_month").distinct()
-        stray = sorted(set(_values(stored)) - known)
-        drop_partitions(spark, publish.export_path(root, model), "dataset_month", stray)
+    """Remove gold partitions of months without facts; returns what was removed.
+
+    Which months have facts or gold is read from the manifest, and the removal is a commit of its own.
+    """
+    with Commit(spark, root) as commit:
+        held = snapshots.table_sizes(spark, root, commit.base).where("rows > 0")
+        months = held.where(F.col("table_name") == FACT).select(F.col("partition").alias("dataset_month"))
+        maintenance.require_fact_months(months)
+        gold = {model: stored_gold(spark, root, model, version=commit.base) for model in MARTS[:2]}
+        report = materialize(maintenance.boundary_cleanup(gold, months), "boundary_cleanup")
+        known = set(_values(months))
+        for model in gold:
+            stray = set(_values(held.where(F.col("table_name") == model).select("partition"))) - known
+            if stray:
+                commit.put(model, stored(spark, root, model, version=commit.base).schema, MONTH, sorted(stray))
+        commit.publish()
     return report

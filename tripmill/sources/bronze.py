@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tripmill.sources.lake import partition_names, qualified, read_table, replace_partitions
+from tripmill.sources.footers import column_stat, footer_catalogue
+from tripmill.sources.lake import partition_names, qualified, replace_partitions
 
 # The columns a trip file must have.
 REQUIRED_TRIP_COLUMNS = (
@@ -52,10 +53,16 @@ def require_contract(raw: DataFrame) -> tuple[int, list[str]]:
 
 def write_bronze(raw: DataFrame, path: str) -> None:
     """Lay raw trips out as ``year=YYYY/month=MM`` by the month of the file."""
-    months = raw.withColumns(
-        {"year": F.substring("file_month", 1, 4), "month": F.substring("file_month", 6, 2)}
-    )
-    replace_partitions(months, path, ["year", "month"])
+    replace_partitions(_placed(raw), path, ["year", "month"])
+
+
+def add_bronze(raw: DataFrame, path: str) -> None:
+    """Lay further files beside those their months already have."""
+    _placed(raw).write.mode("append").partitionBy("year", "month").parquet(path)
+
+
+def _placed(raw: DataFrame) -> DataFrame:
+    return raw.withColumns({"year": F.substring("file_month", 1, 4), "month": F.substring("file_month", 6, 2)})
 
 
 def _partition(dataset_month: str) -> str:
@@ -69,53 +76,99 @@ def landed_months(spark: SparkSession, path: str) -> list[str]:
     return [f"{year.removeprefix('year=')}-{month.removeprefix('month=')}" for year, month in pairs]
 
 
-def month_schemas(spark: SparkSession, path: str, months: Sequence[str]) -> dict[str, StructType]:
-    """The schema of each month's own files (one footer each)."""
-    return {m: spark.read.parquet(f"{path}/{_partition(m)}").schema for m in months}
+def trip_footers(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """The footer of every landed file with its ``dataset_month``; only the folders of the given months are listed."""
+    months = landed_months(spark, path) if months is None else months
+    files = footer_catalogue(spark, [f"{path}/{_partition(m)}" for m in months])
+    year, month = (F.regexp_extract("path", f"/{name}=([^/]+)/", 1) for name in ("year", "month"))
+    return files.withColumn("dataset_month", F.concat_ws("-", year, month))
+
+
+def file_contracts(footers: DataFrame) -> DataFrame:
+    """``footers`` with the required columns each file lacks, and whether it meets the contract."""
+    required = F.array(*[F.lit(name) for name in REQUIRED_TRIP_COLUMNS])
+    missing = F.array_join(F.array_sort(F.array_except(required, F.coalesce("columns", F.array()))), ",")
+    return footers.withColumns(
+        {"missing_columns": F.when(F.col("error").isNull(), missing).otherwise("")}
+    ).withColumn("accepted", F.col("error").isNull() & (F.col("missing_columns") == ""))
 
 
 def contract_report(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
-    """Per landed month: rows, columns, missing columns, verdict. Rows come from footers."""
-    months = landed_months(spark, path) if months is None else months
-    facts = [
-        (m, len(schema), ",".join(missing_columns(schema.names)))
-        for m, schema in month_schemas(spark, path, months).items()
-    ]
-    declared = spark.createDataFrame(facts, "dataset_month string, column_count long, missing_columns string")
-    # No column but the partitions is asked for, so no month's schema is in the way.
-    rows = (
-        read_table(spark, path, StructType.fromDDL("year string, month string"))
-        .groupBy(F.concat_ws("-", "year", "month").alias("dataset_month"))
-        .agg(F.count("*").alias("row_count"))
+    """Per landed month: rows, columns, what its files lack, files refused, verdict.
+
+    Every file of a month has to meet the contract by itself, whatever the others hold; together they need a row. All
+    comes from the footers of the months asked for, in one job.
+    """
+    months = landed_months(spark, path) if months is None else list(months)
+    asked = spark.createDataFrame([(m,) for m in months], "dataset_month string")
+    lacking = F.array_distinct(F.flatten(F.collect_set(F.split(F.nullif("missing_columns", F.lit("")), ","))))
+    files = file_contracts(trip_footers(spark, path, months))
+    known = files.groupBy("dataset_month").agg(
+        F.sum("rows").alias("row_count"),
+        F.max(F.size("columns")).cast("long").alias("column_count"),
+        F.array_join(F.array_sort(lacking), ",").alias("missing_columns"),
+        F.sum(F.when(F.col("accepted"), 0).otherwise(1)).alias("refused_files"),
+        F.max("error").alias("unreadable"),
     )
-    row_count = F.coalesce("row_count", F.lit(0))
-    return declared.join(rows, "dataset_month", "left").select(
+    row_count, refused = F.coalesce("row_count", F.lit(0)), F.coalesce("refused_files", F.lit(0))
+    return asked.join(known, "dataset_month", "left").select(
         "dataset_month",
         row_count.alias("row_count"),
-        "column_count",
-        "missing_columns",
-        ((row_count > 0) & (F.col("missing_columns") == "")).alias("accepted"),
+        F.coalesce("column_count", F.lit(0)).alias("column_count"),
+        F.coalesce("missing_columns", F.lit("")).alias("missing_columns"),
+        refused.alias("refused_files"),
+        "unreadable",
+        ((row_count > 0) & (refused == 0)).alias("accepted"),
+    )
+
+
+def footer_profile(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Rows, pickup span, missing drop-offs and the amount's bounds per month, without reading a row."""
+    return (
+        trip_footers(spark, path, months)
+        .groupBy("dataset_month")
+        .agg(
+            F.sum("rows").alias("row_count"),
+            F.min(column_stat("tpep_pickup_datetime", "first")).alias("first_pickup"),
+            F.max(column_stat("tpep_pickup_datetime", "last")).alias("last_pickup"),
+            F.sum(column_stat("tpep_dropoff_datetime", "nulls")).alias("missing_dropoffs"),
+            F.sum(column_stat("PULocationID", "nulls")).alias("missing_pickup_zones"),
+            F.min(column_stat("total_amount", "low")).alias("least_amount"),
+            F.max(column_stat("total_amount", "high")).alias("greatest_amount"),
+        )
     )
 
 
 def read_bronze(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
     """Bronze trips of the given or all landed months with their ``dataset_month``.
 
-    Months of one schema are one scan with that schema, so a column that a
-    month's files lack is not made up for it within its scan; scans of different
-    schemas are put together by name.
+    Files of one layout are one scan, so a column that some files lack is not
+    made up for the others; scans of different layouts are put together by name.
+    A month of one layout is named by its folder, one of several by its files.
     """
     months = landed_months(spark, path) if months is None else list(months)
-    scans: dict[str, tuple[StructType, list[str]]] = {}
-    for month, schema in month_schemas(spark, path, months).items():
-        scans.setdefault(schema.json(), (schema, []))[1].append(month)
-    if not scans:
+    if not months:
         raise ContractError("no month has landed")
+    footers = trip_footers(spark, path, months).where("error IS NULL")
+    per_month = Window.partitionBy("dataset_month")
+    groups = (
+        footers.groupBy("dataset_month", "layout")
+        .agg(F.min("path").alias("example"), F.collect_list("path").alias("files"))
+        .withColumn("mixed", F.count("*").over(per_month) > 1)
+        .select("dataset_month", "layout", "example", F.when(F.col("mixed"), F.col("files")).alias("files"))
+        .collect()  # a row per month and layout; file names of mixed months only
+    )
+    scans: dict[str, list[Row]] = {}
+    for row in sorted(groups, key=lambda r: (r.dataset_month, r.layout)):
+        scans.setdefault(row.layout, []).append(row)
+    if not scans:
+        raise ContractError("no file of these months can be read")
     parts = []
-    for schema, own in scans.values():
+    for rows in scans.values():
+        schema = spark.read.parquet(rows[0].example).schema
         with_place = StructType([*schema.fields, StructField("year", StringType()), StructField("month", StringType())])
-        trips = spark.read.schema(with_place).option("basePath", path)
-        parts.append(trips.parquet(*(f"{path}/{_partition(m)}" for m in own)))
+        places = [p for r in rows for p in (r.files or [f"{path}/{_partition(r.dataset_month)}"])]
+        parts.append(spark.read.schema(with_place).option("basePath", path).parquet(*places))
     trips = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return trips.withColumn("dataset_month", F.concat_ws("-", "year", "month"))
 

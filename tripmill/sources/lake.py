@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -86,6 +88,56 @@ def partition_names(spark: SparkSession, path: str, levels: int) -> list[str]:
     return sorted("/".join(name.split("/")[-levels:]) for name in found)
 
 
+def names_in(spark: SparkSession, path: str, younger_than_hours: float | None = None) -> list[str]:
+    """Names of what a folder holds; none if it is not there. Marker and checksum files do not count."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    found = [(s.getPath().getName(), s.getModificationTime()) for s in files.listStatus(target)]
+    if younger_than_hours is not None:
+        least = (time.time() - younger_than_hours * 3600) * 1000
+        found = [(name, at) for name, at in found if at >= least]
+    return sorted(name for name, _ in found if name[0] not in "._")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one go."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file to a name that must not be taken; says whether it did. Atomic where the file system's rename is."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    conf = spark._jsc.hadoopConfiguration()
+    files = new.getFileSystem(conf)
+    files.mkdirs(new.getParent())
+    context = hadoop.FileContext.getFileContext(files.getUri(), conf)
+    no_options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(old), files.makeQualified(new), no_options)
+    except Py4JJavaError as fault:
+        if "FileAlreadyExistsException" in fault.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
