@@ -12,15 +12,19 @@ candidates x dimensions by definition of an exhaustive search.
 Defined cases: vectors that are null, or hold null or non-finite components, and rows without an id take no part; identical
 rows count once; several different vectors under one id give that id's best score; vectors of different lengths share
 their common dimensions; ties go to the smaller id; a query with fewer than k other ids returns all; an empty table
-gives no rows. A component is clipped to 31 bits, so that scores fit a long.
+gives no rows. Products are added up in 64 bits where a cell's largest components prove that they fit, and in whole
+numbers of any size elsewhere; a returned score beyond a long ends the query with an error that names both ids.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tripmill.llm.common import prepare_workers, table
 
@@ -31,40 +35,66 @@ CANDIDATE_ROWS = 8192
 QUERY_ROWS = 4096
 #: Scores kept at a time: queries x candidates of one tile.
 TILE_QUERIES = 32
-LIMIT = (1 << 31) - 1
+LONG = 1 << 63
 
 
-def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v): distinct usable rows with components floor(scale * x)."""
+def usable(vectors: DataFrame) -> DataFrame:
+    """(vec_id, v): distinct usable rows with their components as they are (floats) or as doubles."""
     x = F.transform("embedding", lambda c: c.cast("double"))
-    usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    whole = F.transform(
-        x, lambda c: F.least(F.greatest(F.floor(c * F.lit(float(scale))), F.lit(-LIMIT)), F.lit(LIMIT)).cast("int")
-    )
+    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
+    kind = vectors.schema["embedding"].dataType
+    kept = F.col("embedding") if kind == ArrayType(FloatType(), kind.containsNull) else x
     return (
-        vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(usable, F.lit(False)))
-        .select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+        vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)))
+        .select(F.col("vec_id").cast("long").alias("vec_id"), kept.alias("v"))
         .distinct()
     )
 
 
-def _matrix(rows: pd.Series) -> np.ndarray:
+def quantised(rows: pd.Series, scale: int = SCALE) -> np.ndarray:
+    """floor(scale * x) of all components, a row each: 64-bit integers, or Python's where a double holds no fraction."""
     width = max((len(r) for r in rows), default=0)
-    out = np.zeros((len(rows), width), dtype=np.int64)
+    values = np.zeros((len(rows), width))
     for i, r in enumerate(rows):
-        out[i, : len(r)] = r
-    return out
+        values[i, : len(r)] = r
+    if (np.abs(values) < 2.0**53 / scale).all():
+        return np.floor(values * scale).astype(np.int64)
+    exact = [[math.floor(x * scale) if abs(x) < 2.0**53 / scale else int(x) * scale for x in row] for row in values.tolist()]
+    return np.array(exact, dtype=object).reshape(values.shape)
+
+
+def in_64_bits(queries: np.ndarray, candidates: np.ndarray) -> bool:
+    """Whether no sum of products of a query and a candidate can leave 64 bits."""
+    if queries.dtype == object or candidates.dtype == object:
+        return False
+    most = (np.abs(m).max(axis=0, initial=0).tolist() for m in (queries, candidates))
+    return sum(a * b for a, b in zip(*most)) < LONG
+
+
+def _chosen(row: np.ndarray, ids: np.ndarray, other: np.ndarray, k: int) -> list[int]:
+    """Places of the k best others, of scores of any size; every id once."""
+    kept, seen = [], set()
+    for i in sorted(other.tolist(), key=lambda i: (-row[i], ids[i])):
+        if ids[i] not in seen:
+            seen.add(ids[i])
+            kept.append(i)
+    return kept[:k]
 
 
 def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, k: int):
-    """(query id, id, score) of the k best other ids of each query within one cell; every id once."""
+    """(query id, id, score, beyond) of the k best other ids of each query within one cell; every id once.
+
+    A score that a long cannot hold is given as the nearest one and marked as beyond.
+    """
+    if not in_64_bits(queries, candidates):
+        queries, candidates = queries.astype(object), candidates.astype(object)
     places = [np.flatnonzero(candidates[:, d]) for d in range(candidates.shape[1])]
     weights = [candidates[p, d] for d, p in enumerate(places)]
     repeated = len(np.unique(ids)) < len(ids)
     found = []
     for first in range(0, len(queries), TILE_QUERIES):
         tile = queries[first : first + TILE_QUERIES]
-        scores = np.zeros((len(tile), len(ids)), dtype=np.int64)
+        scores = np.zeros((len(tile), len(ids)), dtype=candidates.dtype)
         for d in range(min(tile.shape[1], len(places))):
             terms = np.flatnonzero(tile[:, d])  # rows of the tile that have this term
             if not len(terms) or not len(places[d]):
@@ -76,6 +106,11 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates
                 scores[np.ix_(terms, places[d])] += add
         for row, own in zip(scores, query_ids[first : first + TILE_QUERIES].tolist()):
             other = np.flatnonzero(ids != own)
+            if row.dtype == object:
+                for i in _chosen(row, ids, other, k):
+                    score = min(max(row[i], -LONG), LONG - 1)
+                    found.append((own, int(ids[i]), score, score != row[i]))
+                continue
             if repeated:  # one entry for each id, with its best score
                 by = other[np.lexsort((-row[other], ids[other]))]
                 other = by[np.concatenate(([True], ids[by[1:]] != ids[by[:-1]]))] if len(by) else by
@@ -83,18 +118,20 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates
                 edge = np.partition(row[other], len(other) - k)[len(other) - k]
                 other = other[row[other] >= edge]  # with all ties at the edge
                 other = other[np.lexsort((ids[other], -row[other]))][:k]
-            found += [(own, int(ids[i]), int(row[i])) for i in other]
+            found += [(own, int(ids[i]), int(row[i]), False) for i in other]
     return found
 
 
 def search(vectors: DataFrame, every: int = 50, k: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``."""
     prepare_workers(vectors.sparkSession)
-    rows = quantised(vectors)
+    rows = usable(vectors)
     n = vectors.count()
     groups, query_groups = max(1, -(-n // CANDIDATE_ROWS)), max(1, -(-n // (every * QUERY_ROWS)))
     place = F.xxhash64("vec_id", "v")
-    candidates = rows.select("vec_id", "v", F.pmod(place, F.lit(groups)).alias("g")).withColumn(
+    # Columns of their own names: both sides of a cogroup may otherwise be taken for the same columns.
+    named = (F.col("vec_id").alias("other_id"), F.col("v").alias("weights"))
+    candidates = rows.select(*named, F.pmod(place, F.lit(groups)).alias("g")).withColumn(
         "h", F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1)).cast("array<long>"))
     )
     queries = (
@@ -106,19 +143,21 @@ def search(vectors: DataFrame, every: int = 50, k: int = TOP) -> DataFrame:
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            found = best(left["vec_id"].to_numpy(), _matrix(left["v"]), right["vec_id"].to_numpy(), _matrix(right["v"]), k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+            found = best(left["vec_id"].to_numpy(), quantised(left["v"]), right["other_id"].to_numpy(), quantised(right["weights"]), k)
+        out = pd.DataFrame(found, columns=["query_id", "vec_id", "score", "beyond"])
+        return out.astype({"query_id": "int64", "vec_id": "int64", "score": "int64", "beyond": "bool"})
 
     partial = (
         queries.groupBy("g", "h")
         .cogroup(candidates.groupBy("g", "h"))
-        .applyInPandas(cell, "query_id long, vec_id long, score long")
+        .applyInPandas(cell, "query_id long, vec_id long, score long, beyond boolean")
     )
-    merged = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    merged = partial.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"), F.bool_or("beyond").alias("beyond"))
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return (
-        merged.withColumn("rank", ranked.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-    )
+    kept = merged.withColumn("rank", ranked.cast("int")).filter(F.col("rank") <= k)
+    fault = F.concat(F.lit("the score of vectors "), "query_id", F.lit(" and "), "vec_id", F.lit(" does not fit a long"))
+    score = F.when(F.col("beyond"), F.raise_error(fault).cast("long")).otherwise(F.col("score"))
+    return kept.select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
