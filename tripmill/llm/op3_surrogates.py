@@ -7,17 +7,25 @@ octets) keep different entities of a format apart. Given names are rotated withi
 names are built from syllables of their script.
 
 Collisions are checked over the whole corpus: distinct entities (not texts) are shuffled, a surrogate that two entities
-share or that is itself an entity of the corpus moves to the next attempt, until none is left. Moved entities are few;
-they are sent along while below MOVED_BOUND, and joined to the documents that hold them otherwise.
+share or that is itself an entity of the corpus moves to the next attempt, until none is left; after LENGTHEN attempts
+the surrogates of addresses, secrets, keys and families grow, so a crowded format does not end the job. Families of both
+genders move together. Moved entities are few; they are sent along while below MOVED_BOUND, and joined to the documents
+that hold them otherwise.
+
+Digits of any script are read as digits and written back in theirs. Letters outside of a-z are replaced by letters of their
+own block and case. A secret without a letter or digit is a mask and stays, like placeholders (``<...>``, ``${...}``,
+``[...]``) and calls (``...()``).
 
 Defined cases: null texts stay null, texts without entities stay as they are; repeated rows are treated alike; an
-empty table gives no rows; all other columns are kept (a column ``surrogate_kinds`` is replaced).
+empty table gives no rows; all other columns are kept (one of the name ``kinds`` is replaced).
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,7 +39,9 @@ from tripmill.llm.common import free_name, prepare_workers, spool, table
 KEY = b"surrogates-1"
 #: Entities that may be sent to every task; beyond, they are joined.
 MOVED_BOUND = 100_000
-MOST_ATTEMPTS = 20
+MOST_ATTEMPTS = 40
+#: From this attempt on, surrogates without a fixed length grow by a letter every time.
+LENGTHEN = 8
 
 # Name lists by script and gender, titles by gender, syllables of family names.
 GIVEN = {
@@ -77,6 +87,10 @@ _NUMBERS = re.compile(
     r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
 )
 _DIGIT = re.compile(r"\d")
+_PLACEHOLDER = re.compile(r"<.*>|\$\{.*\}|\[.*\]|[\w.]+\(\)[;,]?")
+#: Digits outside of ASCII, by their value.
+_FOLD = {cp: str(unicodedata.digit(chr(cp))) for cp in range(128, sys.maxunicode + 1) if unicodedata.category(chr(cp)) == "Nd"}
+_ODD_DIGIT = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
 
 Entity = tuple[int, int, str, str]
 
@@ -107,14 +121,17 @@ def entities(text: str | None) -> list[Entity]:
     if not text:
         return []
     found: list[Entity] = []
+    plain_text = text if text.isascii() or not _ODD_DIGIT.search(text) else text.translate(_FOLD)
     if "@" in text:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
     for m in _SECRET.finditer(text):
+        if not any(map(str.isalnum, m["value"])) or _PLACEHOLDER.fullmatch(m["value"]):
+            continue
         found.append((m.start("value"), m.end("value"), "secret", m["value"]))
     for m in _TOKEN.finditer(text):
         found.append((m.start(), m.end(), f"key:{m['head']}", m[0]))
     if _DIGIT.search(text):
-        for m in _NUMBERS.finditer(text):
+        for m in _NUMBERS.finditer(plain_text):
             kind = m.lastgroup
             plain = re.sub(r"[^0-9A-Z]", "", m[0])
             if kind == "ip":
@@ -173,11 +190,34 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
             return value
 
 
+@lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """Digits, small or capital letters; outside of ASCII the letters and digits of the same kind among 32 neighbours."""
+    kind, first = unicodedata.category(c), ord(c) & ~31
+    if c.isascii() or kind[0] not in "LN":
+        return next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), c)
+    return "".join(x for x in map(chr, range(max(first, 128), first + 32)) if unicodedata.category(x) == kind)
+
+
 def _alphabets(text: str) -> list[str]:
     """The characters each place may hold; a single one where a place stays as it is."""
     if re.fullmatch(r"[0-9a-f]{8,}", text) and re.search(r"[a-f]", text):
         return [_HEX] * len(text)
-    return [next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), c) for c in text]
+    return [_alphabet(c) for c in text]
+
+
+def settled_as(kind: str) -> str:
+    """The type under which an entity's attempts are counted: one for the families of both genders of a script."""
+    return ":".join(kind.split(":")[:2]) if kind.startswith("family:") else kind
+
+
+def _longer(made: str, key: bytes, tweak: str, canon: str, attempt: int) -> str:
+    """Letters that follow the surrogate from attempt LENGTHEN on."""
+    h, out = _hash(key, "longer", tweak, canon), made
+    for _ in range(attempt - LENGTHEN + 1):
+        h, place = divmod(h, len(_LOWER))
+        out += _LOWER[place]
+    return out
 
 
 def scramble(text: str, key: bytes, tweak: str, alphabets: list[str] | None = None, fits=None) -> str:
@@ -204,7 +244,7 @@ def surrogate(kind: str, canon: str, key: bytes = KEY, attempt: int = 0) -> str:
     tweak = f"{kind}|{attempt}"
     if kind == "email":
         head, _, top = canon.rpartition(".")
-        return f"{scramble(head, key, tweak)}.{top}"
+        return f"{_longer(scramble(head, key, tweak), key, tweak, canon, attempt)}.{top}"
     if kind == "ip":
         value = int.from_bytes(bytes(map(int, canon.split("."))), "big")
         while True:
@@ -226,29 +266,38 @@ def surrogate(kind: str, canon: str, key: bytes = KEY, attempt: int = 0) -> str:
     if kind.startswith("key:"):
         head, body = kind[4:], canon[len(kind) - 4 :]
         whole = _UPPER + _DIGITS if body == body.upper() else _UPPER + _LOWER + _DIGITS
-        return head + scramble(body, key, tweak, [whole if c in whole else c for c in body])
+        made = scramble(body, key, tweak, [whole if c in whole else c for c in body])
+        return head + _longer(made, key, tweak, canon, attempt)
     if kind.startswith("given:"):
         _, script, gender = kind.split(":")
         order = sorted(GIVEN[script, gender], key=lambda n: _hash(key, kind, n))
         return order[(order.index(canon) + 1) % len(order)]
     if kind.startswith("family:"):
-        _, script, gender = kind.split(":")
+        _, script, *rest = kind.split(":")
+        gender = rest[0] if rest else ""
         syllables, h = SYLLABLES[script], _hash(key, f"family:{script}|{attempt}", canon)
         made = ""
         for _ in range(3 + attempt // 2):
             h, place = divmod(h, len(syllables))
             made += syllables[place]
         return (made + FAMILY_END.get((script, gender), FAMILY_END[script, ""])).title()
-    return scramble(canon, key, tweak)  # secrets
+    return _longer(scramble(canon, key, tweak), key, tweak, canon, attempt)  # secrets
+
+
+def _as_digit(digit: str, place: str) -> str:
+    """The digit in the script of the one whose place it takes."""
+    return chr(ord(place) - int(_FOLD[ord(place)]) + int(digit)) if ord(place) in _FOLD else digit
 
 
 def fit_format(kind: str, original: str, made: str) -> str:
     """The canonical surrogate in the layout and case of the place it goes to."""
     if kind in ("card", "ssn", "phone", "iban"):
         flat = iter(re.sub(r"[^0-9A-Z]", "", made))
-        return "".join(next(flat) if c.isascii() and c.isalnum() else c for c in original)
+        return "".join(_as_digit(next(flat), c) if c.isascii() and c.isalnum() or ord(c) in _FOLD else c for c in original)
+    if kind == "ip":
+        return "".join(_as_digit(c, original[0]) if c.isdigit() else c for c in made)
     if kind == "email" and len(made) == len(original):
-        return "".join(m.upper() if o.isupper() else m for o, m in zip(original, made))
+        return "".join(m.upper() if o.isupper() and len(m.upper()) == 1 else m for o, m in zip(original, made))
     if kind.startswith("family:") and original.isupper() and len(original) > 1:
         return made.upper()
     return made
@@ -258,7 +307,7 @@ def replace(text: str | None, key: bytes = KEY, moved: dict[tuple[str, str], int
     """The text with surrogates, and the types of what was replaced."""
     out, last, kinds = [], 0, []
     for start, end, kind, canon in entities(text):
-        made = surrogate(kind, canon, key, (moved or {}).get((kind, canon), 0))
+        made = surrogate(kind, canon, key, (moved or {}).get((settled_as(kind), canon), 0))
         out += [text[last:start], fit_format(kind, text[start:end], made)]
         last = end
         kinds.append(kind.partition(":")[0])
@@ -270,7 +319,7 @@ def corpus_entities(docs: DataFrame, key: bytes = KEY, text: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = {(e[2], e[3]) for t in batch.column(0).to_pylist() for e in entities(t)}
+            own = {(settled_as(e[2]), e[3]) for t in batch.column(0).to_pylist() for e in entities(t)}
             if own:
                 kinds, canons = zip(*own)
                 made = [surrogate(k, c, key) for k, c in own]
@@ -312,8 +361,10 @@ def settle(found: DataFrame, key: bytes = KEY) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {MOST_ATTEMPTS} attempts")
 
 
-def with_surrogates(docs: DataFrame, key: bytes = KEY, moved_bound: int = MOVED_BOUND, text: str = "text") -> DataFrame:
-    """``docs`` with the text column replaced, and ``surrogate_kinds`` (the types replaced, in order) added."""
+def with_surrogates(
+    docs: DataFrame, key: bytes = KEY, moved_bound: int = MOVED_BOUND, text: str = "text", kinds: str = "surrogate_kinds"
+) -> DataFrame:
+    """``docs`` with the text column replaced, and a column ``kinds`` (the types replaced, in order) added."""
     spark = docs.sparkSession
     found = spool(corpus_entities(docs, key, text), "entities")
     moved = spool(settle(found, key), "moved")
@@ -349,13 +400,13 @@ def with_surrogates(docs: DataFrame, key: bytes = KEY, moved_bound: int = MOVED_
 
         placed = docs.withColumn(place, F.xxhash64(text)).join(held, place, "left")
         made = placed.withColumn(slot, apply_own(F.col(text), F.col(own))).drop(place, own)
-    parts = {text: F.col(slot)["text"], "surrogate_kinds": F.col(slot)["kinds"]}
+    parts = {text: F.col(slot)["text"], kinds: F.col(slot)["kinds"]}
     return made.withColumns(parts).drop(slot)
 
 
 def _mentions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = [(p, e[2], e[3]) for p, t in zip(batch["place"], batch["text"]) for e in entities(t)]
+        rows = [(p, settled_as(e[2]), e[3]) for p, t in zip(batch["place"], batch["text"]) for e in entities(t)]
         yield pd.DataFrame(rows, columns=["place", "kind", "canon"])
 
 
