@@ -251,8 +251,27 @@ def short_sizes(benchmark: DataFrame, window: int = WINDOW) -> dict[int, bool]:
     return {window: False} | {r["n"]: False for r in got}
 
 
+def item_sizes(benchmark: DataFrame) -> DataFrame:
+    """(item_id, item_tokens): the tokens of each item, the most of its rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes = batch.column(0), []
+            for _, block in blocks(batch.column(1).to_pylist(), BLOCK):
+                sizes += np.bincount(sequences(block)[3], minlength=len(block)).tolist()
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64())], names=["item_id", "item_tokens"])
+
+    prepare_workers(benchmark.sparkSession)
+    rows = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+    return rows.mapInArrow(run, "item_id long, item_tokens long").groupBy("item_id").agg(F.max("item_tokens").alias("item_tokens"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
-    """(doc_id, item_id, matched, n_windows, coverage, verbatim) of documents that hold an item or a variant of it."""
+    """(doc_id, item_id, matched, n_windows, coverage, verbatim, item_tokens) of documents with an item or its variant.
+
+    ``item_tokens`` tells how much text stands behind a row: an item shorter than a window is found wherever its few
+    tokens occur, which by itself may say little.
+    """
     spark = docs.sparkSession
     prepare_workers(spark)
     items = spool(item_windows(benchmark, window), "item-windows")
@@ -343,7 +362,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     return (
         matched.join(per_item, "item_id")
         .filter((share >= coverage) | F.col("run"))
-        .select("doc_id", "item_id", "matched", "n_windows", share.alias("coverage"), "verbatim")
+        .join(item_sizes(benchmark), "item_id")
+        .select("doc_id", "item_id", "matched", "n_windows", share.alias("coverage"), "verbatim", "item_tokens")
     )
 
 
