@@ -19,6 +19,8 @@ from tripmill.llm import (
 )
 from tripmill.llm.common import crc_mod, free_name, hash_filter, spool, table
 
+#: Tokens an item must have for a match to cost a document its place; fewer are common phrases.
+LEAST_ITEM_TOKENS = 5
 #: Near duplicates of the corpus: five-word shingles, four fifths.
 WORDS, NUMERATOR, DENOMINATOR = 5, 4, 5
 
@@ -61,14 +63,14 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item or a re-parameterised variant of one."""
-    leaks = op8_templates.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Drops documents that hold a benchmark item of LEAST_ITEM_TOKENS tokens or more, or a variant of one."""
+    leaks = op8_templates.contaminated(docs, table(spark, sf_dir, "benchmark")).filter(F.col("item_tokens") >= LEAST_ITEM_TOKENS)
     return docs.join(spool(leaks.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(docs.columns)
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by surrogates; n_chars follows the new text."""
-    made = op3_surrogates.with_surrogates(docs)
+    made = op3_surrogates.with_surrogates(docs, kinds=free_name(docs, "surrogate_kinds"))
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.length("text").cast("long"))
     return made.select(docs.columns)
