@@ -90,7 +90,8 @@ _DIGIT = re.compile(r"\d")
 _PLACEHOLDER = re.compile(r"<.*>|\$\{.*\}|\[.*\]|[\w.]+\(\)[;,]?")
 #: Digits outside of ASCII, by their value.
 _FOLD = {cp: str(unicodedata.digit(chr(cp))) for cp in range(128, sys.maxunicode + 1) if unicodedata.category(chr(cp)) == "Nd"}
-_ODD_DIGIT = re.compile("[" + "".join(map(chr, _FOLD)) + "]")
+#: Texts that may hold one; beyond the first plane any character counts, which keeps the search a table look-up.
+_ODD_DIGIT = re.compile("[" + "".join(chr(cp) for cp in _FOLD if cp < 0x10000) + "\U00010000-\U0010ffff]")
 
 Entity = tuple[int, int, str, str]
 
