@@ -38,6 +38,8 @@ RATIO = 5
 MODULUS = 199
 #: Words compared with each other in one list; larger blocks are split by what they share.
 BLOCK_WORDS = 2048
+#: Filed words compared by one task: the work is in comparing, so tasks are dealt by rows, not by bytes.
+TASK_WORDS = 40_000
 #: Characters of a text counted at a time, and words counted before they are passed on.
 PIECE_CHARS = 1 << 20
 MOST_COUNTED = 500_000
@@ -225,9 +227,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
     filed_as = "word string, n long, m long, a long, b long, head string, tail string"
     waiting, found = words.select("word", "n"), None
     while True:
+        tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * waiting.count() // TASK_WORDS)
         filed = waiting.mapInPandas(_files, filed_as).withColumn("key", F.xxhash64("m", "a", "b", "head", "tail"))
         met = (
-            filed.repartition("key")
+            filed.repartition(tasks, "key")
             .sortWithinPartitions("key", "m", "a", "b")
             .select("key", "word", "n", "m", "a", "b")
             .mapInPandas(_compare, "word string, n long, m long, a long, b long, other string, other_n long")
