@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 from helpers_llm import AWKWARD, classes, documents, no_documents
+from pyspark.sql import functions as F
 
 from tripmill.llm import op3_surrogates, op7_term_at_a_time, op8_templates, op10_signature_trees
 from tripmill.llm.common import hash_filter, word_hashes
@@ -102,6 +103,36 @@ def test_blocks_of_a_large_group_lose_no_link(spark, monkeypatch):
     assert found == {i: c for (i, _), c in zip(rows, wanted)}
 
 
+def test_groups_cut_by_bytes_and_read_by_many_tasks(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = near_rows(rng, bases=2, copies=12)
+    long = [f"w{rng.randrange(5000)}" for _ in range(20000)]
+    for i in range(6):
+        changed = list(long)
+        for k in rng.sample(range(len(long)), 40 * i):
+            changed[k] = "other"
+        rows.append((9000 + i, " ".join(changed)))
+    monkeypatch.setattr(op10_signature_trees, "GROUP_BYTES", 4096)
+    monkeypatch.setattr(op10_signature_trees, "TASK_BYTES", 1 << 16)
+    monkeypatch.setattr(op10_signature_trees, "PART_BYTES", 1 << 14)
+    monkeypatch.setattr(op10_signature_trees, "FEW", 4)
+    wanted, _ = classes(rows, 3, 9, 10)
+    found = {r["doc_id"]: r["component_id"] for r in op10_signature_trees.near_duplicates(documents(spark, rows)).collect()}
+    assert [found[i] for i, _ in rows] == wanted
+
+
+def test_blocks_follow_bytes_and_members(spark, monkeypatch):
+    monkeypatch.setattr(op10_signature_trees, "GROUP_BYTES", 1000)
+    monkeypatch.setattr(op10_signature_trees, "TASK_BYTES", 1000)
+    members = spark.createDataFrame([(1, i, 300) for i in range(10)] + [(2, 100, 90_000), (3, 200, 1)], "g long, id long, n long")
+    blocked, tasks = op10_signature_trees._blocked(members, "g", "id", F.col("n"))
+    rows = blocked.collect()
+    assert {r["g"]: max(r["hi"] for r in rows if r["g"] == g) + 1 for g in (1, 2, 3) for r in rows if r["g"] == g} == {1: 3, 2: 1, 3: 1}
+    for pair in {(r["lo"], r["hi"]) for r in rows if r["g"] == 1}:
+        assert {r["own"] for r in rows if r["g"] == 1 and (r["lo"], r["hi"]) == pair} <= set(pair)
+    assert tasks >= (3 * 3000 + 90_000) // 1000
+
+
 def test_no_documents_have_no_groups(spark):
     assert op10_signature_trees.near_duplicates(no_documents(spark)).count() == 0
 

@@ -11,7 +11,8 @@
    too small, and at the leaves compares signatures. What is connected by the pairs left forms narrower groups.
 4. Only now the shingles of the sets in such groups are read again from their texts; the same traversal verifies
    pairs exactly and skips pairs that are connected already, so a group of n copies yields n - 1 links, never all pairs.
-Groups of more than GROUP members are cut into blocks, and every pair of blocks is a task of its own.
+Groups of more than GROUP members or GROUP_BYTES bytes are cut into blocks, and every pair of blocks is a group of
+its own for the task that reads it; the number of tasks follows the bytes that are read, not a setting.
 
 Nothing but a bit filter of fixed size (which documents to read again) is broadcast; no list of documents, links
 or components reaches the driver.
@@ -32,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.common import (
@@ -52,8 +53,12 @@ WORDS = 3
 #: Link at NUMERATOR / DENOMINATOR or more.
 NUMERATOR, DENOMINATOR = 9, 10
 SIGNATURE_BITS = 1024
-#: Members of a group, or of one block of a larger group.
-GROUP = 4096
+#: Members and bytes (signatures or shingles) of a group, or of one block of a larger group.
+GROUP, GROUP_BYTES = 4096, 16 << 20
+#: Groups of signatures are cut at FEW members already, into at most SPLIT blocks.
+FEW, SPLIT = 512, 8
+#: Bytes of blocks that one task reads, and bytes of texts whose keys meet in one task.
+TASK_BYTES, PART_BYTES = 32 << 20, 32 << 20
 LEAF, FAN = 32, 8
 #: Shingles that COMMON_LEAST of about SAMPLE sampled documents hold are left out of keys where that can be.
 SAMPLE, COMMON_LEAST = 16_384, 3
@@ -353,21 +358,32 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b})
 
 
-def _blocked(members: DataFrame, group: str, spread: str) -> DataFrame:
-    """Members with (group, lo, hi): one task per group, or per pair of blocks of a large group."""
-    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_members"))
-    n_blocks = F.ceil(F.col("_members") / F.lit(GROUP)).cast("long")
-    own = F.pmod(F.xxhash64(spread), n_blocks)
+def _blocked(members: DataFrame, group: str, spread: str, weight: Column, split: int = 1) -> tuple[DataFrame, int]:
+    """Members with (group, lo, hi), a group each or a pair of blocks of a large group, and how many tasks are to read them.
+
+    ``weight`` is a member's bytes. A group of b blocks holds every member b times; the number of tasks is told by the
+    bytes of all copies, so what one task reads does not grow with the corpus.
+    """
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_members"), F.sum(weight).alias("_bytes"))
+    few = F.least(F.ceil(F.col("_members") / F.lit(FEW)), F.lit(split))
+    many = F.greatest(F.ceil(F.col("_members") / F.lit(GROUP)), F.ceil(F.col("_bytes") / F.lit(GROUP_BYTES)))
+    sizes = sizes.select(
+        group, F.col("_bytes"), F.least(F.greatest(few, many), F.col("_members")).cast("long").alias("_blocks")
+    )
+    read = sizes.agg(F.sum(F.col("_bytes") * F.col("_blocks"))).first()[0] or 0
+    tasks = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(read) // TASK_BYTES))
+    own = F.pmod(F.xxhash64(spread), F.col("_blocks"))
     pairs = F.transform(
-        F.sequence(F.lit(0).cast("long"), n_blocks - 1),
+        F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1),
         lambda other: F.struct(F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi")),
     )
-    return (
+    blocked = (
         members.join(sizes, group)
         .withColumns({"own": own, "_pair": F.explode(pairs)})
         .withColumns({"lo": F.col("_pair.lo"), "hi": F.col("_pair.hi")})
-        .drop("_pair", "_members")
+        .drop("_pair", "_blocks", "_bytes")
     )
+    return blocked, tasks
 
 
 def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) -> pd.DataFrame:
@@ -436,8 +452,8 @@ def near_duplicates(
     spark = docs.sparkSession
     prepare_workers(spark)
     p, q = numerator, denominator
-    n_rows, tasks = docs.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(32, n_rows // 65536)
+    n_rows, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    parts = max(32, n_rows // 65536, (n_bytes or 0) // PART_BYTES)
     common = spark.sparkContext.broadcast(common_shingles(docs, n_rows, words))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -492,16 +508,17 @@ def near_duplicates(
         .groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.first("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     )
-    members = sets.join(wide.select(F.col("node").alias("id"), F.col("root").alias("grp")), "id")
+    in_groups = wide.select(F.col("node").alias("id"), F.col("root").alias("grp"))
+    members = spool(sets.join(in_groups, "id").select("grp", "id", "n", "sig"), "members")
+    blocked, tasks = _blocked(members, "grp", "id", F.lit(SIGNATURE_BITS // 8 + 24), SPLIT)
     by_signature = (
-        _blocked(members.select("grp", "id", "n", "sig"), "grp", "id")
-        .repartition(tasks, "grp", "lo", "hi")  # few bytes, much work: not to be put together again
+        blocked.repartition(tasks, "grp", "lo", "hi")  # few bytes, much work: not to be put together again
         .groupBy("grp", "lo", "hi")
         .applyInPandas(lambda f: _forest(f, "id", p, q, False), "a long, b long")
     )
     narrow = components(by_signature, "narrow")
     chosen = spool(
-        sets.select("digest", "id", "rep").join(
+        sets.select("digest", "id", "rep", "n").join(
             narrow.select(F.col("node").alias("id"), F.col("root").alias("grp")), "id"
         ),
         "chosen",
@@ -526,9 +543,9 @@ def near_duplicates(
     again = source.filter(F.col("doc_id").isNotNull()).mapInArrow(
         read_again, "rep long, digest binary, shingles binary"
     )
+    blocked, tasks = _blocked(chosen.select("grp", "rep", "digest", "n"), "grp", "digest", 8 * F.col("n") + 40)
     verified = (
-        _blocked(chosen.select("grp", "rep", "digest"), "grp", "digest")
-        .join(again, ["rep", "digest"])
+        blocked.join(again, ["rep", "digest"])
         .select("grp", "lo", "hi", "own", "rep", F.col("digest").alias("key"), "shingles")
         .repartition(tasks, "grp", "lo", "hi")
         .groupBy("grp", "lo", "hi")
