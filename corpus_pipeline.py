@@ -7,7 +7,7 @@ Rows without a doc_id cannot be named by the decisions of stages two and three a
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import (
@@ -32,12 +32,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(op4_discriminant.quality_score(F.col("text"), model) >= op4_discriminant.THRESHOLD)
 
 
-def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group of near duplicates; of repeated rows, one.
+def told_apart(docs: DataFrame, key: Column, named: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is surely not in the column ``name`` of ``named``, and rows to look at.
 
-    Rows to look at are told by a bit filter of fixed size over their text keys, and only those are joined with the
-    decisions: the texts that stay are not shuffled, however many go.
+    Told by a bit filter of fixed size, so only the second part need be joined: the texts that stay are not
+    shuffled, however many go. Rows without a key belong to the first part.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(hash_filter(named, name, named.count()))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.holds(keys.to_numpy(dtype="int64").view("uint64")))
+
+    key = key.cast("long")
+    doubtful = key.isNotNull() & maybe(F.coalesce(key, F.lit(0).cast("long")))
+    return docs.filter(~doubtful), docs.filter(doubtful)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of every group of near duplicates; of repeated rows, one."""
     found = spool(op10_signature_trees.near_duplicates(docs, WORDS, NUMERATOR, DENOMINATOR), "classes")
     key = free_name(docs, "text_key")
     pair = ["doc_id", key]
@@ -48,24 +61,19 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         .filter("goes OR n > 1"),
         "decided",
     )
-    sent = spark.sparkContext.broadcast(hash_filter(decided, key, decided.count()))
-
-    @F.pandas_udf("boolean")
-    def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.holds(keys.to_numpy(dtype="int64").view("uint64")))
-
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    doubtful = F.col("doc_id").isNotNull() & maybe(F.col(key))
-    kept = keyed.filter(~doubtful)
+    kept, doubtful = told_apart(keyed, F.when(F.col("doc_id").isNotNull(), F.col(key)), decided, key)
     gone = decided.filter("goes").select(pair)
-    looked_at = keyed.filter(doubtful).join(gone, pair, "left_anti").dropDuplicates(pair)
+    looked_at = doubtful.join(gone, pair, "left_anti").dropDuplicates(pair)
     return kept.unionByName(looked_at).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item of LEAST_ITEM_TOKENS tokens or more, or a variant of one."""
     leaks = op8_templates.contaminated(docs, table(spark, sf_dir, "benchmark")).filter(F.col("item_tokens") >= LEAST_ITEM_TOKENS)
-    return docs.join(spool(leaks.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(docs.columns)
+    gone = spool(leaks.select("doc_id").distinct(), "leaks")
+    kept, doubtful = told_apart(docs, F.col("doc_id"), gone, "doc_id")
+    return kept.unionByName(doubtful.join(gone, "doc_id", "left_anti").select(docs.columns))
 
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
