@@ -186,6 +186,8 @@ def fit_chain(present: np.ndarray | Rows, marks: np.ndarray, folds: np.ndarray)
     weights = []
     for y in marks.T:
         weights.append(logistic(x, y))
+        if len(weights) == marks.shape[1]:
+            break  # no later link reads this one's probabilities
         ahead = np.zeros(len(y))
         for fold in range(FOLDS):
             own = folds == fold
@@ -259,10 +261,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Cha
     weak = [toxic * (present.times(np.isin(np.arange(len(vocabulary)), [vocabulary[w] for w in ws])) > 0) for ws in CATEGORIES.values()]
     folds = (got["doc_id"].to_numpy() * 2654435761 >> 7) % FOLDS
     weights = fit_chain(present, np.column_stack([*weak, toxic]), folds)
-    # The sample evens out the labels; the last link gets the true odds back.
-    odds = (sizes[1] / sizes[0]) / (n1 / n0)
-    for w in weights:
-        w[0] += np.log(odds)
+    # The sample evens out the labels; the last link gets the true odds back. Those before it keep the sample's odds:
+    # the links after them were trained on such probabilities.
+    weights[-1][0] += np.log((sizes[1] / sizes[0]) / (n1 / n0))
     return Chain(names, vocabulary, weights)
 
 
