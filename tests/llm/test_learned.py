@@ -66,6 +66,17 @@ def test_code_lengths_equal_a_plain_tree():
     assert tree.code_lengths(op2_context_trees.grams([probe])[0]).sum() == pytest.approx(bits)
 
 
+def test_a_long_text_is_scored_in_blocks(spark, labelled, monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdé ß") for _ in range(n)) for n in (3000, 1, 257, 64, 0, 5)]
+    whole = [np.sort(op2_context_trees.grams([t.encode()])[0]) for t in texts]
+    monkeypatch.setattr(op2_context_trees, "BLOCK", 64)
+    for text, wanted in zip(texts, whole):
+        runs = list(op2_context_trees.gram_runs([text.encode()]))
+        assert all(len(keys) <= 64 for keys, _ in runs)
+        assert (np.sort(np.concatenate([k for k, _ in runs] or [np.zeros(0, dtype=np.uint64)])) == wanted).all()
+
+
 def test_languages_of_held_out_texts(spark, labelled):
     rng = random.Random(6)
     model = op2_context_trees.train(labelled)
@@ -188,6 +199,18 @@ def test_later_links_use_earlier_probabilities():
     assert [len(w) for w in weights] == [4, 5] and weights[1][4] > 0.5
 
 
+def test_true_odds_reach_the_last_link_only(spark, monkeypatch):
+    rows = toxic_rows(random.Random(4), 400)
+    docs = documents(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, int(m)) for i, _, m in rows], "doc_id long, toxic int")
+    fit, made = op6_classifier_chain.fit_chain, []
+    monkeypatch.setattr(op6_classifier_chain, "fit_chain", lambda *a: made.append([w.copy() for w in fit(*a)]) or [w.copy() for w in made[0]])
+    chain = op6_classifier_chain.train(docs, labels, per_label=30)
+    assert all((a == b).all() for a, b in zip(chain.weights[:-1], made[0][:-1]))
+    assert (chain.weights[-1][1:] == made[0][-1][1:]).all()
+    assert chain.weights[-1][0] != made[0][-1][0]
+
+
 def test_logistic_is_at_its_optimum():
     rng = np.random.default_rng(2)
     x = np.column_stack([np.ones(300), (rng.random((300, 4)) < 0.5).astype(float)])

@@ -61,6 +61,18 @@ def grams(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[real], text[real]
 
 
+def gram_runs(run: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``grams`` of a run; a text alone is cut into blocks, each read with the ORDER bytes before it."""
+    if len(run) > 1:
+        yield grams(run)
+        return
+    data = run[0]
+    for first in range(0, len(data), BLOCK):
+        before = min(first, ORDER)
+        keys, text = grams([data[first - before : first + BLOCK]])
+        yield keys[before:], text[before:]
+
+
 class Tree:
     """Frozen statistics of one language, by order: symbols after contexts, and totals of contexts."""
 
@@ -123,15 +135,11 @@ class Languages:
         """Bits of each whole text in each language."""
         out = np.zeros((len(texts), len(self.trees)))
         for first, run in blocks([plain(t) for t in texts], BLOCK):
-            # A longer text than a block comes alone; its distinct grams are found piece by piece all the same.
-            keys, text = grams(run)
-            for a in range(0, len(keys), 2 * BLOCK):
-                own, place = np.unique(keys[a : a + 2 * BLOCK], return_inverse=True)
+            for keys, text in gram_runs(run):
+                own, place = np.unique(keys, return_inverse=True)
                 for language, tree in enumerate(self.trees):
                     bits = tree.code_lengths(own)[place]
-                    out[first : first + len(run), language] += np.bincount(
-                        text[a : a + 2 * BLOCK], weights=bits, minlength=len(run)
-                    )
+                    out[first : first + len(run), language] += np.bincount(text, weights=bits, minlength=len(run))
         return out
 
 
