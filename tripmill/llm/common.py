@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from tripmill.sources.lake import materialize
 
 #: Rows of one Arrow batch; texts are long, so batches of the default 10,000 rows can be too large.
 BATCH_ROWS = 512
+#: Bytes of one Arrow batch: some texts are very long.
+BATCH_BYTES = 4 << 20
 #: Text bytes an operator works on at a time inside a batch.
 BLOCK_BYTES = 4 << 20
 
@@ -28,10 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare_workers(spark: SparkSession) -> None:
-    """Ship this package to the Python workers once per application, and bound the rows of an Arrow batch."""
+    """Ship this package to the Python workers once per application, and bound the rows and bytes of an Arrow batch."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
@@ -43,6 +48,17 @@ def prepare_workers(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def frees(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A map over batches that hands Arrow's unused memory back at its end: Python workers outlive their tasks."""
+
+    @wraps(run)
+    def freed(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return freed
+
+
 def spool(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder once and read again: cuts the lineage, so a lost executor costs a re-read."""
     return materialize(df, f"llm-{name}")
@@ -114,7 +130,7 @@ _powers: list[np.ndarray] = []
 
 def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, PIECE_BYTES * 2)
+        size = max(n, PIECE_BYTES + (1 << 16))
         steps = np.repeat(np.array([[_MULTIPLIER], [_INVERSE]], dtype=_U), size, axis=1)
         steps[:, 0] = 1
         with np.errstate(over="ignore"):

@@ -40,6 +40,7 @@ from tripmill.llm.common import (
     LOWER,
     PIECE_BYTES,
     blocks,
+    frees,
     hash_filter,
     mix,
     prepare_workers,
@@ -54,7 +55,7 @@ WORDS = 3
 NUMERATOR, DENOMINATOR = 9, 10
 SIGNATURE_BITS = 1024
 #: Members and bytes (signatures or shingles) of a group, or of one block of a larger group.
-GROUP, GROUP_BYTES = 4096, 16 << 20
+GROUP, GROUP_BYTES = 4096, 32 << 20
 #: Groups of signatures are cut at FEW members already, into at most SPLIT blocks.
 FEW, SPLIT = 512, 8
 #: Bytes of blocks that one task reads, and bytes of texts whose keys meet in one task.
@@ -456,6 +457,7 @@ def near_duplicates(
     parts = max(32, n_rows // 65536, (n_bytes or 0) // PART_BYTES)
     common = spark.sparkContext.broadcast(common_shingles(docs, n_rows, words))
 
+    @frees
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(p, q)
         keys, owners, ids, n_keys = [], [], {}, 0
@@ -525,6 +527,7 @@ def near_duplicates(
     )
     wanted = spark.sparkContext.broadcast(hash_filter(chosen, "rep", chosen.count()))
 
+    @frees
     def read_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column(0).to_numpy()

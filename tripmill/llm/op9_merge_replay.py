@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm import bpe_files
-from tripmill.llm.common import BLOCK_BYTES, blocks, prepare_workers, table
+from tripmill.llm.common import BLOCK_BYTES, blocks, frees, prepare_workers, table
 
 END = -1
 
@@ -228,6 +228,7 @@ def encode_documents(
     columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids
     types = [pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * keep_ids
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
