@@ -54,8 +54,9 @@ WORDS = 3
 #: Link at NUMERATOR / DENOMINATOR or more.
 NUMERATOR, DENOMINATOR = 9, 10
 SIGNATURE_BITS = 1024
-#: Members and bytes (signatures or shingles) of a group, or of one block of a larger group.
-GROUP, GROUP_BYTES = 4096, 32 << 20
+#: Members and bytes (signatures or shingles) of a group, or of one block of a larger group. Large groups are copied once
+#: per block, so blocks are as large as the memory of a task allows that holds two of them.
+GROUP, GROUP_BYTES = 4096, 64 << 20
 #: Groups of signatures are cut at FEW members already, into at most SPLIT blocks.
 FEW, SPLIT = 512, 8
 #: Bytes of blocks that one task reads, and bytes of texts whose keys meet in one task.
