@@ -21,7 +21,7 @@ from tripmill.functions import (
     weekday_name,
     weekday_number,
 )
-from tripmill.operators import checks, dashboards, facts, maintenance, marts, runs, silver, staging
+from tripmill.operators import checks, dashboards, facts, maintenance, marts, runs, silver, sketches, staging
 from tripmill.plans import monthly, publish
 from tripmill.plans.warehouse import Warehouse
 from tripmill.session import prepare
@@ -348,6 +348,30 @@ def backfill_range(spark, sf_dir):
     return _fact_columns(warehouse(spark, sf_dir).fact_trips)
 
 
+@query
+def backfill_shared_hours(spark, sf_dir):
+    """The facts of all months, ranking only the hours that several months hold."""
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
+    return _fact_columns(facts.latest_of_shared_hours(built.facts_by_load))
+
+
+@query
+def contested_by_sketch(spark, sf_dir):
+    """Trips that a month loaded again takes from others: sketches name the months, ids decide."""
+    built = written_warehouse(spark, sf_dir, *IDENTIFIED)
+    reloaded = built.facts_by_load.where(F.col("dataset_month") == RELOADED_MONTH)
+    root = fresh_dir(spark, "lake")
+    with snapshots.Commit(spark, root) as commit:
+        commit.write(monthly.FACT, built.fact_trips, monthly.MONTH)
+        monthly.write_sketch(commit)
+        commit.publish()
+    sketch = snapshots.read(spark, root, monthly.SKETCH)
+    suspects = [r[0] for r in sketches.answering_months(sketch, reloaded, [RELOADED_MONTH]).collect()]
+    held = snapshots.read(spark, root, monthly.FACT, partitions=suspects)
+    taken = held.join(reloaded.select("trip_id"), "trip_id", "left_semi")
+    return taken.groupBy("dataset_month").agg(F.count("*").alias("trips"))
+
+
 @query
 def fact_incremental_merge(spark, sf_dir):
     """All months loaded in order, then one of them loaded again."""

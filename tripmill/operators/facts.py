@@ -24,6 +24,27 @@ def latest_load_wins(accepted_events: DataFrame) -> DataFrame:
     )
 
 
+def latest_of_shared_hours(accepted_events: DataFrame) -> DataFrame:
+    """The same rows as ``latest_load_wins``, with a shuffle of the contested hours only.
+
+    The identity covers the pickup instant, so a trip can only occur twice in an
+    hour that several months hold. Those hours are found by a small aggregate
+    (calendar sized); rows of all other hours pass without a shuffle. The input is
+    read three times, so it should be a stored table.
+    """
+    hour = F.coalesce(F.date_trunc("hour", "pickup_at"), F.lit("0001-01-01").cast("timestamp"))
+    timed = accepted_events.withColumn("trip_hour", hour)
+    shared = (
+        timed.groupBy("trip_hour")
+        .agg(F.min("dataset_month").alias("first_month"), F.max("dataset_month").alias("last_month"))
+        .where("first_month < last_month")
+        .select("trip_hour")
+    )
+    alone = timed.join(shared, "trip_hour", "left_anti").drop("trip_hour")
+    meeting = timed.join(shared, "trip_hour", "left_semi").drop("trip_hour")
+    return alone.unionByName(latest_load_wins(meeting))
+
+
 def merge_loads(fact: DataFrame, new: DataFrame, months: Sequence[str]) -> DataFrame:
     """Delete-and-insert by trip id.
 

@@ -352,6 +352,12 @@ BODIES = {
                  AS average_distance_miles
         FROM trips_raw GROUP BY 1 ORDER BY 1""",
     "backfill_range": f"SELECT {FACT} FROM fact_trips",
+    "backfill_shared_hours": f"SELECT {FACT} FROM fact_trips",
+    "contested_by_sketch": f"""
+        SELECT dataset_month, count(*) AS trips FROM fact_trips
+        WHERE dataset_month <> '{RELOADED_MONTH}'
+          AND trip_id IN (SELECT trip_id FROM facts_by_load WHERE dataset_month = '{RELOADED_MONTH}')
+        GROUP BY dataset_month""",
     "fact_incremental_merge": f"SELECT {FACT} FROM merged",
     "schema_sync_merge": """
         SELECT trip_id, dataset_month,

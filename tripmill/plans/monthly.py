@@ -9,6 +9,7 @@ Tables below the lake root:
     bronze/zones                       landed zone lookup (CSV)
     tables/silver_trip_events          scored events, by dataset_month
     tables/fact_trips                  the trip fact, by dataset_month
+    tables/fact_key_sketch             which trips a fact month may hold, by dataset_month
     tables/dim_zone                    zones
     tables/<mart>                      marts, by dataset_month
     tables/pipeline_runs               one row per run, by dataset_month
@@ -28,7 +29,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.operators import facts, maintenance, marts, runs, silver, staging
+from tripmill.operators import facts, maintenance, marts, runs, silver, sketches, staging
 from tripmill.plans import publish
 from tripmill.session import prepare
 from tripmill.sources import bronze, snapshots
@@ -37,6 +38,7 @@ from tripmill.sources.snapshots import Commit
 
 MONTH = "dataset_month"
 EVENTS, FACT, ZONES, AUDIT = "silver_trip_events", "fact_trips", "dim_zone", "pipeline_runs"
+SKETCH = "fact_key_sketch"
 MARTS = ("mart_daily_demand", "mart_zone_performance", "mart_hourly_pattern")
 
 
@@ -105,19 +107,38 @@ def build_zones(spark: SparkSession, root: str) -> DataFrame:
     return staging.dim_zone(staging.stg_zones(bronze.read_zones(spark, zones_path(root))))
 
 
-def merge_into_fact(commit: Commit, new: DataFrame, months: Sequence[str]) -> None:
+def contested_months(commit: Commit, new: DataFrame, months: Sequence[str]) -> list[str]:
+    """Months outside the load that hold a trip it now owns.
+
+    Only months whose sketch answers are read, and months without a sketch.
+    """
+    sketch = commit.read(SKETCH)
+    answers = [] if sketch is None else _values(sketches.answering_months(sketch, new, months))
+    others = commit.held(FACT) - set(months)
+    suspects = sorted((others - commit.held(SKETCH)) | (others & set(answers)))
+    return _values(facts.contested_months(commit.read(FACT, suspects), new, months)) if suspects else []
+
+
+def write_sketch(commit: Commit, touched: Sequence[str] | None = None) -> None:
+    """Sketch the fact months this commit has written; the sketches of all others stay as they are."""
+    commit.write(SKETCH, sketches.key_sketch(commit.staged(FACT)), MONTH, touched, sketches.ORDER)
+
+
+def merge_into_fact(commit: Commit, new: DataFrame, months: Sequence[str]) -> list[str]:
     """Put a load into the fact table, rewriting only the months it touches.
 
     Those are the loaded months and the ones that held a trip the load now owns.
     A touched month without a merged row has lost its last trip and is removed.
+    Returns the touched months.
     """
-    fact = commit.read(FACT)
-    if fact is None:
+    if commit.read(FACT) is None:
         commit.write(FACT, new, MONTH)
-        return
-    contested = _values(facts.contested_months(fact, new, months))
+        return list(months)
+    contested = contested_months(commit, new, months)
     merged = facts.merge_loads(commit.read(FACT, contested), new, months)
-    commit.write(FACT, merged, MONTH, [*months, *contested])
+    touched = [*months, *contested]
+    commit.write(FACT, merged, MONTH, touched)
+    return touched
 
 
 def write_gold(commit: Commit, accepted: DataFrame, zones: DataFrame, months: Sequence[str]) -> None:
@@ -235,9 +256,9 @@ def _change(
         accepted = silver.accepted(_of_months(events, passed))
         new = accepted
         if len(passed) > 1:  # within one month every trip is unique already
-            replace_partitions(facts.latest_load_wins(accepted), f"{work}/new", [MONTH])
+            replace_partitions(facts.latest_of_shared_hours(accepted), f"{work}/new", [MONTH])
             new = read_table(spark, f"{work}/new", accepted.schema)
-        merge_into_fact(commit, new, passed)
+        write_sketch(commit, merge_into_fact(commit, new, passed))
         write_gold(commit, accepted, zones, passed)
     finished = metrics.withColumn(
         "status",

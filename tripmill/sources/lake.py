@@ -49,15 +49,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str], order: Sequence[str] = ()) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
     The rebalance hint sizes the files: small partitions are gathered into one
     file, and a partition holding most of the rows is split over many tasks.
+    ``order`` sorts the rows within files, so that row groups cover narrow ranges.
     """
+    sized = df.hint("rebalance", *by)
+    if order:
+        sized = sized.sortWithinPartitions(*by, *order)
     (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
+        sized.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .options(**PLAIN_DIGEST)

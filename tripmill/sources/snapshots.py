@@ -145,11 +145,15 @@ class Commit:
         """The table as this commit found it."""
         return _read(self.spark, self.root, table, [r for r in self._found if r.table_name == table], partitions)
 
-    def stage(self, table: str, df: DataFrame, by: str | None = None) -> DataFrame:
+    def held(self, table: str) -> set[str]:
+        """Partitions of the table as this commit found it."""
+        return {r.partition for r in self._found if r.table_name == table and r.folder is not None}
+
+    def stage(self, table: str, df: DataFrame, by: str | None = None, order: Sequence[str] = ()) -> DataFrame:
         """Write data into this commit's folder of the table and read it again; nothing refers to it yet."""
         path = f"{self.root}/tables/{table}/commit={self.id}"
         if by:
-            lake.replace_partitions(df, path, [by])
+            lake.replace_partitions(df, path, [by], order)
             self._staged[table] = lake.read_table(self.spark, path, df.schema)
         else:
             df.write.mode("overwrite").options(**lake.PLAIN_DIGEST).parquet(path)
@@ -206,10 +210,15 @@ class Commit:
             self._rows[key] = (*self._rows[key][:5], r.rows, r.bytes, r.n)
 
     def write(
-        self, table: str, df: DataFrame, by: str | None = None, replaces: Sequence[str] | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        by: str | None = None,
+        replaces: Sequence[str] | None = None,
+        order: Sequence[str] = (),
     ) -> DataFrame:
         """Stage and put in one; returns what was staged."""
-        staged = self.stage(table, df, by)
+        staged = self.stage(table, df, by, order)
         self.put(table, df.schema, by, replaces)
         return staged
 
