@@ -126,6 +126,27 @@ def test_a_bounded_stream_takes_the_first_events(spark, tmp_path):
     assert [row[1] for row in current(spark, str(tmp_path / "out"))] == [1, 2]
 
 
+def test_numbered_events_are_bounded_by_position_however_they_arrive(spark, tmp_path):
+    trips = spark.range(400, numPartitions=4).select(
+        (F.lit(1000) - 2 * F.col("id")).alias("event_id"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+        F.col("id").cast("int").alias("PULocationID"),
+        *(F.lit(1.0).alias(name) for name in ("passenger_count", "trip_distance", "total_amount")),
+    )
+    numbered = replay.numbered(trips, "event_id")
+    placed = sorted((r.position, r.event_id) for r in numbered.select("position", "event_id").collect())
+    assert placed == [(n, 202 + 2 * n) for n in range(400)]
+    # The last events arrive first, in many files.
+    source = str(tmp_path / "in")
+    replay.to_events(numbered.orderBy(F.desc("position"))).write.option("maxRecordsPerFile", 30).text(source)
+    land(tmp_path / "in", "rest.txt", event(zone=1), "not json", '{"position": "x"}')
+    stream.start_minute_zone(
+        stream.file_messages(spark, source, 2), str(tmp_path / "out"), str(tmp_path / "cp"), state_partitions=2,
+        max_events=37, position=replay.position(),
+    ).awaitTermination()
+    assert [row[1] for row in current(spark, str(tmp_path / "out"))] == list(range(399 - 36, 400))
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = spark.range(500).select(
         F.timestamp_add("SECOND", (F.col("id") * 37) % 600, F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")).alias("tpep_pickup_datetime"),
