@@ -64,6 +64,33 @@ def test_dedup_drops_columns_the_mart_does_not_need(spark):
     assert "sha2" not in text and text.count("WindowGroupLimit") == 2
 
 
+@pytest.fixture
+def no_small_tables(spark):
+    """As on large tables: no side is small enough to be broadcast by its size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_digest_does_not_travel(spark, stored):
+    text = plan(facts.latest_load_wins(read_table(spark, stored)))
+    above, below = text.split("Exchange", 1)
+    assert "sha2" in above and "sha2" not in below and "trip_id" not in below
+
+
+def test_a_derived_column_is_computed_where_it_is_written(spark, tmp_path):
+    rows = spark.createDataFrame([("stale", "a", 1), ("stale", "b", 2)], "name string, k string, v int")
+    replace_partitions(rows, str(tmp_path / "t"), ["k"], derived={"name": F.concat("k", F.col("v").cast("string"))})
+    written = read_table(spark, str(tmp_path / "t"))
+    assert written.columns == ["name", "v", "k"]
+    assert sorted(r.name for r in written.collect()) == ["a1", "b2"]
+
+
+def test_hours_of_one_month_pass_without_a_shuffle(spark, stored, no_small_tables):
+    text = plan(facts.latest_of_shared_hours(read_table(spark, stored)))
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+
+
 @pytest.mark.parametrize("name", ["silver_trip_events", "mart_zone_performance", "backfill_range", "test_relationships", "run_metrics", "top_zones"])
 def test_no_cross_joins_and_no_python_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))

@@ -6,7 +6,7 @@ from tripmill.functions.clock import (
     weekday_name,
     weekday_number,
 )
-from tripmill.functions.identity import IDENTITY_COLUMNS, instant_text, trip_id
+from tripmill.functions.identity import IDENTITY_COLUMNS, derived_id, instant_text, trip_id
 from tripmill.functions.numbers import (
     half_away,
     mean_decimal,
@@ -22,6 +22,7 @@ from tripmill.functions.numbers import (
 
 __all__ = [
     "IDENTITY_COLUMNS",
+    "derived_id",
     "half_away",
     "in_own_month",
     "instant_text",

@@ -29,6 +29,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.functions import derived_id
 from tripmill.operators import facts, maintenance, marts, runs, silver, sketches, staging
 from tripmill.plans import publish
 from tripmill.session import prepare
@@ -99,7 +100,7 @@ def checked_months(spark: SparkSession, root: str, months: Sequence[str]) -> tup
 def build_events(commit: Commit, landed: DataFrame) -> DataFrame:
     """Stage, deduplicate and score landed months; written once, shown only for months that pass the gate."""
     events = silver.silver_trip_events(staging.stg_trips(landed, F.col("dataset_month")))
-    return commit.stage(EVENTS, events, MONTH)
+    return commit.stage(EVENTS, events, MONTH, derived=derived_id(events.columns))
 
 
 def build_zones(spark: SparkSession, root: str) -> DataFrame:
@@ -132,7 +133,7 @@ def merge_into_fact(commit: Commit, new: DataFrame, months: Sequence[str]) -> li
     Returns the touched months.
     """
     if commit.read(FACT) is None:
-        commit.write(FACT, new, MONTH)
+        commit.write(FACT, new, MONTH, derived=derived_id(new.columns))
         return list(months)
     contested = contested_months(commit, new, months)
     merged = facts.merge_loads(commit.read(FACT, contested), new, months)
@@ -256,7 +257,8 @@ def _change(
         accepted = silver.accepted(_of_months(events, passed))
         new = accepted
         if len(passed) > 1:  # within one month every trip is unique already
-            replace_partitions(facts.latest_of_shared_hours(accepted), f"{work}/new", [MONTH])
+            last = facts.latest_of_shared_hours(accepted)
+            replace_partitions(last, f"{work}/new", [MONTH], derived=derived_id(last.columns))
             new = read_table(spark, f"{work}/new", accepted.schema)
         write_sketch(commit, merge_into_fact(commit, new, passed))
         write_gold(commit, accepted, zones, passed)

@@ -22,10 +22,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -149,11 +149,18 @@ class Commit:
         """Partitions of the table as this commit found it."""
         return {r.partition for r in self._found if r.table_name == table and r.folder is not None}
 
-    def stage(self, table: str, df: DataFrame, by: str | None = None, order: Sequence[str] = ()) -> DataFrame:
+    def stage(
+        self,
+        table: str,
+        df: DataFrame,
+        by: str | None = None,
+        order: Sequence[str] = (),
+        derived: Mapping[str, Column] | None = None,
+    ) -> DataFrame:
         """Write data into this commit's folder of the table and read it again; nothing refers to it yet."""
         path = f"{self.root}/tables/{table}/commit={self.id}"
         if by:
-            lake.replace_partitions(df, path, [by], order)
+            lake.replace_partitions(df, path, [by], order, derived)
             self._staged[table] = lake.read_table(self.spark, path, df.schema)
         else:
             df.write.mode("overwrite").options(**lake.PLAIN_DIGEST).parquet(path)
@@ -216,9 +223,10 @@ class Commit:
         by: str | None = None,
         replaces: Sequence[str] | None = None,
         order: Sequence[str] = (),
+        derived: Mapping[str, Column] | None = None,
     ) -> DataFrame:
         """Stage and put in one; returns what was staged."""
-        staged = self.stage(table, df, by, order)
+        staged = self.stage(table, df, by, order, derived)
         self.put(table, df.schema, by, replaces)
         return staged
 
