@@ -91,6 +91,13 @@ def test_hours_of_one_month_pass_without_a_shuffle(spark, stored, no_small_table
     assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
 
 
+def test_merged_rows_of_other_days_pass_without_a_shuffle(spark, stored, no_small_tables):
+    fact = read_table(spark, stored)
+    text = plan(facts.merge_loads(fact, fact.where("dataset_month = '2024-02'"), ["2024-02"]))
+    assert text.count("SortMergeJoin") == 1
+    assert text.index("BroadcastHashJoin [trip_day") < text.index("SortMergeJoin")
+
+
 @pytest.mark.parametrize("name", ["silver_trip_events", "mart_zone_performance", "backfill_range", "test_relationships", "run_metrics", "top_zones"])
 def test_no_cross_joins_and_no_python_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
