@@ -5,7 +5,7 @@ from helpers import trips
 from pyspark.sql import functions as F
 
 from tripmill import __main__ as cli
-from tripmill.catalog import QUERIES, warehouse
+from tripmill.catalog import QUERIES, audit_table, warehouse, written_warehouse
 from tripmill.operators import facts, maintenance, marts, silver, staging
 from tripmill.plans import monthly
 from tripmill.sources.lake import read_table, replace_partitions
@@ -98,6 +98,12 @@ def test_merged_rows_of_other_days_pass_without_a_shuffle(spark, stored, no_smal
     assert text.index("BroadcastHashJoin [trip_day") < text.index("SortMergeJoin")
 
 
+def test_an_audit_over_stored_events_does_not_build_them_again(spark):
+    built = written_warehouse(spark, SF_DIR)
+    text = plan(audit_table(spark, SF_DIR, built.silver_trip_events))
+    assert "Window" not in text and "Window" in plan(audit_table(spark, SF_DIR))
+
+
 @pytest.mark.parametrize("name", ["silver_trip_events", "mart_zone_performance", "backfill_range", "test_relationships", "run_metrics", "top_zones"])
 def test_no_cross_joins_and_no_python_in_the_plan(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
