@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers_llm import AWKWARD, classes, documents, no_documents
 from pyspark.sql import functions as F
@@ -366,3 +367,25 @@ def test_items_of_few_tokens_are_told_apart(spark):
     bench = spark.createDataFrame([(1, "Paris"), (2, "seven long words make a short item"), (3, None), (4, "")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]): r["item_tokens"] for r in op8_templates.contaminated(docs, bench).collect()}
     assert found == {(1, 1): 1, (2, 2): 7}
+
+
+def test_one_wide_set_does_not_widen_the_signatures_of_its_group():
+    assert op10_signature_trees.signature_bits(20_000, 2) == 1 << 16 and op10_signature_trees.signature_bits(10, 5) == 64
+    for largest, members in ((1, 1), (300, 4096), (20_000, 8192), (10**6, 10**5), (10**6, 10**9)):
+        bits = op10_signature_trees.signature_bits(largest, members)
+        assert bits >= 64 and bits & (bits - 1) == 0
+        assert bits == 64 or members * bits // 8 <= op10_signature_trees.SIGNATURE_BYTES
+
+
+def test_links_do_not_depend_on_the_signature_bits(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in range(120):
+        base = rng.choice(1 << 40, int(rng.integers(20, 400)), replace=False).astype("<u8")
+        for sets in (base, np.concatenate((base[1:], [np.uint64(n)])).astype("<u8")):
+            rows.append((len(rows), bytes([len(rows)]), np.sort(sets).tobytes(), 0, 0, 0))
+    frame = pd.DataFrame(rows, columns=["rep", "key", "shingles", "lo", "hi", "own"])
+    wide = op10_signature_trees._forest(frame, "rep", 9, 10, True)
+    assert len(wide) > 60
+    monkeypatch.setattr(op10_signature_trees, "SIGNATURE_BYTES", 1)
+    assert op10_signature_trees._forest(frame, "rep", 9, 10, True).values.tolist() == wide.values.tolist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -48,13 +49,21 @@ def prepare_workers(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def hand_back() -> None:
+    """Gives memory that Arrow and the C library hold unused back to the system: Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def frees(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A map over batches that hands Arrow's unused memory back at its end: Python workers outlive their tasks."""
+    """A map over batches that hands unused memory back at its end."""
 
     @wraps(run)
     def freed(batches: Iterator) -> Iterator:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        hand_back()
 
     return freed
 

@@ -41,6 +41,7 @@ from tripmill.llm.common import (
     PIECE_BYTES,
     blocks,
     frees,
+    hand_back,
     hash_filter,
     mix,
     prepare_workers,
@@ -57,6 +58,8 @@ SIGNATURE_BITS = 1024
 #: Members and bytes (signatures or shingles) of a group, or of one block of a larger group. Large groups are copied once
 #: per block, so blocks are as large as the memory of a task allows that holds two of them.
 GROUP, GROUP_BYTES = 4096, 64 << 20
+#: Bytes of the signatures made of the shingles of a group: one wide member does not widen those of all others beyond it.
+SIGNATURE_BYTES = 16 << 20
 #: Groups of signatures are cut at FEW members already, into at most SPLIT blocks.
 FEW, SPLIT = 512, 8
 #: Bytes of blocks that one task reads, and bytes of texts whose keys meet in one task.
@@ -105,6 +108,12 @@ def signature(shingles: np.ndarray, bits: int = SIGNATURE_BITS) -> np.ndarray:
     return np.packbits(flags, bitorder="little").view(_U)
 
 
+def signature_bits(largest: int, members: int) -> int:
+    """Bits per signature: twice the largest set, but no more than fit SIGNATURE_BYTES (collisions only cost pruning)."""
+    fit = max(64, 8 * SIGNATURE_BYTES // members)
+    return min(1 << 16, max(64, 1 << (2 * largest - 1).bit_length()), 1 << (fit.bit_length() - 1))
+
+
 class Classes:
     """Size classes, and per class how many parts the hash space has and how many thin ones need no posting."""
 
@@ -396,8 +405,10 @@ def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) ->
     shingles = [np.frombuffer(s, dtype="<u8") for s in frame["shingles"]] if with_sets else None
     if with_sets:
         sizes = np.array([len(s) for s in shingles], dtype=np.int64)
-        bits = min(1 << 16, max(64, 1 << int(2 * sizes.max() - 1).bit_length()))
-        signatures = np.array([signature(s, bits) for s in shingles])
+        bits = signature_bits(int(sizes.max()), len(sizes))
+        signatures = np.empty((len(sizes), bits // 64), dtype=_U)
+        for i, s in enumerate(shingles):
+            signatures[i] = signature(s, bits)
 
         def verify(u: int, v: int) -> bool:
             both = len(np.intersect1d(shingles[u], shingles[v], assume_unique=True))
@@ -411,6 +422,10 @@ def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) ->
     if all(len(s) for s in sides):
         trees = [Tree(sizes[s], signatures[s]) for s in sides]
         join_trees(trees[0], trees[-1], sets, sides[0], sides[-1], p, q, verify)
+        del trees
+    del signatures
+    if len(frame) > FEW:
+        hand_back()
     roots = sets.roots()
     member = np.flatnonzero(roots != np.arange(len(frame)))
     return pd.DataFrame({"a": names[roots[member]], "b": names[member]})

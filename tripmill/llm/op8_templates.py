@@ -37,6 +37,7 @@ from tripmill.llm.common import (
     _BYTE_CODES,
     _powers_up_to,
     blocks,
+    frees,
     hash_filter,
     mix,
     pieces,
@@ -278,6 +279,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, co
     sizes = short_sizes(benchmark, window)
     seen = spark.sparkContext.broadcast(hash_filter(items, "h", items.count()))
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from _match_rows(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sizes, seen.value)
