@@ -389,3 +389,59 @@ def test_links_do_not_depend_on_the_signature_bits(monkeypatch):
     assert len(wide) > 60
     monkeypatch.setattr(op10_signature_trees, "SIGNATURE_BYTES", 1)
     assert op10_signature_trees._forest(frame, "rep", 9, 10, True).values.tolist() == wide.values.tolist()
+
+
+def test_narrower_signatures_are_folds_of_wider_ones():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (5, 900, 3000)]
+    made = [op10_signature_trees.signature(s, bits).tobytes() for s, bits in zip(sets, (1024, 2048, 8192))]
+    assert (op10_signature_trees.folded(made) == [op10_signature_trees.signature(s, 1024) for s in sets]).all()
+    for largest in (1, 1024, 1025, 70_000):
+        assert max(1024, largest) <= op10_signature_trees.class_bits(largest) < 2 * max(1024, largest)
+
+
+def test_wide_signatures_are_compared_in_runs(monkeypatch):
+    """The same links however few words are compared at a time."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[: 2000 - 20 * (i % 7)], rng.integers(0, 1 << 63, 200 * (i % 5), dtype=np.uint64)))) for i in range(90)]
+    frame = pd.DataFrame({"id": range(90), "n": [len(s) for s in sets], "own": 0, "lo": 0, "hi": 0})
+    frame["sig"] = [op10_signature_trees.signature(s, 4096).tobytes() for s in sets]
+    whole = op10_signature_trees._forest(frame, "id", 4, 5, False)
+    monkeypatch.setattr(op10_signature_trees, "WORDS_AT_A_TIME", 1)
+    assert len(whole) and op10_signature_trees._forest(frame, "id", 4, 5, False).values.tolist() == whole.values.tolist()
+
+
+def test_long_texts_that_share_a_passage_are_not_read_again(spark, monkeypatch):
+    """Signatures of 1,024 bits are full for texts of 2,500 words: every pair that shares a key passed them."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(6):
+        passage = [f"p{i}x{rng.randrange(10**6)}" for _ in range(750)]
+        rows += [(2 * i + k, " ".join([f"w{rng.randrange(10**6)}" for _ in range(1750)] + passage)) for k in (0, 1)]
+    rows += [(50, rows[0][1].replace(" ", " new ", 3))]
+    seen, spool = {}, op10_signature_trees.spool
+    monkeypatch.setattr(op10_signature_trees, "spool", lambda df, name: seen.setdefault(name, spool(df, name)))
+    found = {r["doc_id"]: r["component_id"] for r in op10_signature_trees.near_duplicates(documents(spark, rows), 5, 4, 5).collect()}
+    assert found == {i: 0 if i == 50 else i for i, _ in rows}
+    assert seen["members"].select("id").distinct().count() == 13
+    assert {r["rep"] for r in seen["chosen"].collect()} == {0, 50}
+
+
+def test_keys_of_different_classes_do_not_meet():
+    posting = lambda i, c: {"keys": b"\x01\x02\x03\x04\x05", "places": b"\0\0", "ids": np.array([i], dtype="<i8").tobytes(), "classes": bytes([c])}
+    met = op10_signature_trees._meet(pd.DataFrame([posting(7, 3), posting(8, 4), posting(9, 3)]))
+    assert met.values.tolist() == [[7, 9]]
+
+
+def test_common_shingles_are_told_from_a_share_of_the_corpus(spark, monkeypatch):
+    """A sample of a fixed number of documents misses phrases that many documents of a larger corpus share."""
+    rng = random.Random(13)
+    phrase = "one phrase of the trade"
+    rows = [(i, " ".join([phrase, *(f"w{rng.randrange(10**6)}" for _ in range(20))])) for i in range(1600)]
+    monkeypatch.setattr(op10_signature_trees, "SAMPLE", 2)
+    found = op10_signature_trees.common_shingles(documents(spark, rows), len(rows), 1 << 18, 5)
+    shared = op10_signature_trees.shingle_sets([phrase.encode()], 5)[0]
+    assert found.holds(shared).all()
+    others = np.concatenate(op10_signature_trees.shingle_sets([t.partition("trade ")[2].encode() for _, t in rows], 5))
+    assert found.holds(others).mean() < 0.1

@@ -3,19 +3,22 @@
 1. Every text becomes its set of shingle hashes and an OR-combined bitmap of them (signature). Equal sets share one id.
 2. Candidates, without loss: two linked sets of sizes in one class differ in at most T shingles, so of T + 1 + E parts of
    the hash space E + 1 hold the same shingles on both sides. A set is posted under a key per part; parts with fewer than
-   a few shingles ("thin") need no posting unless a set has more than E of them. Shingles that a bounded sample shows to be
-   common are left out first, which keeps the bound. Keys are packed per task and pre-aggregated there: sets of one task that share a key become a chain of edges, and one of them is posted on. So a
+   a few shingles ("thin") need no posting unless a set has more than E of them. Shingles that a sample shows to be
+   common are left out first, which keeps the bound; the sample is a share of the corpus, so texts of a larger corpus are
+   not chained together by phrases that they share by chance. Keys are packed per task and pre-aggregated there: sets of one task that share a key become a chain of edges, and one of them is posted on. So a
    key held by any share of the corpus costs one posting per task.
-3. Sets connected by keys form candidate groups. In each group a signature tree is built (nodes: OR of bitmaps, range of
+3. Sets connected by keys of one size class form candidate groups; a set is a member in every class it has keys in, so sets
+   of unlike sizes are not chained together. In each group a signature tree is built (nodes: OR of bitmaps, range of
    sizes, most shingles lost to bit collisions); a dual traversal drops node pairs whose largest possible overlap is
-   too small, and at the leaves compares signatures. What is connected by the pairs left forms narrower groups.
+   too small, and at the leaves compares signatures. Signatures are as wide as the sets of a class are large: full ones
+   would let every pair through. What is connected by the pairs left forms narrower groups.
 4. Only now the shingles of the sets in such groups are read again from their texts; the same traversal verifies
    pairs exactly and skips pairs that are connected already, so a group of n copies yields n - 1 links, never all pairs.
 Groups of more than GROUP members or GROUP_BYTES bytes are cut into blocks, and every pair of blocks is a group of
 its own for the task that reads it; the number of tasks follows the bytes that are read, not a setting.
 
-Nothing but a bit filter of fixed size (which documents to read again) is broadcast; no list of documents, links
-or components reaches the driver.
+Nothing but bit filters of bounded size (common shingles, which documents to read again) is broadcast; no list of documents,
+links, shingles or components reaches the driver.
 
 Defined cases: null and empty texts and texts without words have no shingles, link with nothing and are their own
 component; a text with fewer words than a shingle is one shingle; rows that repeat an id stay rows, each linked by its own
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import (
     LOWER,
     PIECE_BYTES,
+    HashFilter,
     blocks,
     frees,
     hand_back,
@@ -54,22 +58,28 @@ from tripmill.llm.components import UnionFind, components, star_edges
 WORDS = 3
 #: Link at NUMERATOR / DENOMINATOR or more.
 NUMERATOR, DENOMINATOR = 9, 10
-SIGNATURE_BITS = 1024
+#: Least and most bits of a signature.
+SIGNATURE_BITS, MOST_SIGNATURE_BITS = 1024, 1 << 20
 #: Members and bytes (signatures or shingles) of a group, or of one block of a larger group. Large groups are copied once
 #: per block, so blocks are as large as the memory of a task allows that holds two of them.
 GROUP, GROUP_BYTES = 4096, 64 << 20
-#: Bytes of the signatures made of the shingles of a group: one wide member does not widen those of all others beyond it.
+#: Bytes of the signatures of a group or block: one wide member does not widen those of all others beyond it.
 SIGNATURE_BYTES = 16 << 20
 #: Groups of signatures are cut at FEW members already, into at most SPLIT blocks.
 FEW, SPLIT = 512, 8
 #: Bytes of blocks that one task reads, and bytes of texts whose keys meet in one task.
 TASK_BYTES, PART_BYTES = 32 << 20, 32 << 20
 LEAF, FAN = 32, 8
-#: Shingles that COMMON_LEAST of about SAMPLE sampled documents hold are left out of keys where that can be.
-SAMPLE, COMMON_LEAST = 16_384, 3
+#: Words of signatures that are compared at a time.
+WORDS_AT_A_TIME = 1 << 20
+#: Shingles that COMMON_LEAST sampled documents hold are left out of keys where that can be; sampled are about SAMPLE documents
+#: or one in SAMPLE_ONE_IN, whichever are more.
+SAMPLE, SAMPLE_ONE_IN, COMMON_LEAST = 16_384, 16, 3
 #: A task posts its keys when it has so many of them or so many sets.
 POST_KEYS, POST_SETS = 1 << 20, 60_000
 CLASS_RATIO = 1.5
+#: A set's id in a class has the class in its highest bits.
+CLASS_SHIFT = 56
 
 _U = np.uint64
 
@@ -108,6 +118,18 @@ def signature(shingles: np.ndarray, bits: int = SIGNATURE_BITS) -> np.ndarray:
     return np.packbits(flags, bitorder="little").view(_U)
 
 
+def class_bits(largest: int) -> int:
+    """Bits per signature in a class of sets of up to ``largest`` shingles: with fewer bits than shingles, unlike sets pass."""
+    return min(MOST_SIGNATURE_BITS, max(SIGNATURE_BITS, 1 << (largest - 1).bit_length()))
+
+
+def folded(signatures: list[bytes]) -> np.ndarray:
+    """Signatures as if all were made with as few bits as the narrowest (widths are powers of two)."""
+    found = [np.frombuffer(s, dtype="<u8") for s in signatures]
+    words = min(len(s) for s in found)
+    return np.array([np.bitwise_or.reduce(s.reshape(-1, words), axis=0) for s in found])
+
+
 def signature_bits(largest: int, members: int) -> int:
     """Bits per signature: twice the largest set, but no more than fit SIGNATURE_BYTES (collisions only cost pruning)."""
     fit = max(64, 8 * SIGNATURE_BYTES // members)
@@ -159,24 +181,34 @@ class Classes:
         """Classes in which the larger set of a linked pair with one of this size can be."""
         return tuple(range(self.of(size), self.of(size * self.q // self.p) + 1))
 
-    def keys(self, shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
-        """Keys of a set. ``common`` are shingles that many documents share, sorted; any fixed list will do.
+    def keys(self, shingles: np.ndarray, common: np.ndarray | HashFilter) -> np.ndarray:
+        """Keys of a set in all classes."""
+        found = [k for _, k in self.keys_by_class(shingles, common)]
+        return np.concatenate(found) if found else np.zeros(0, dtype=_U)
+
+    def keys_by_class(
+        self, shingles: np.ndarray, common: np.ndarray | HashFilter
+    ) -> Iterator[tuple[int, np.ndarray]]:
+        """Keys of a set, class by class. ``common`` are shingles that many documents share, sorted or as a filter.
+
+        Any fixed list will do.
 
         Linked sets differ in at most as many shingles without the common ones as with them, so parts of what is left
         do as well, and do not bring together all documents that quote one passage. Only sets for which
         too many parts become thin that way are posted under parts of the whole set too: of two such sets
         both are, and otherwise the one with enough parts meets the other.
         """
-        at = np.searchsorted(common, shingles)
-        own = shingles[common[np.minimum(at, len(common) - 1)] != shingles] if len(common) else shingles
-        found = []
+        if isinstance(common, HashFilter):
+            own = shingles[~common.holds(shingles)]
+        else:
+            own = np.setdiff1d(shingles, common, assume_unique=True)
         for c in self.posted_in(len(shingles)):
             m, least, spare = self.parts(c)
             if m == 1:
                 continue  # linked sets of this class are equal
             key, which, counts = self._parts(own, m)
             enough = counts >= least
-            found.append(mix(key[enough] ^ mix(which[enough].astype(_U), 13 + c), 17))
+            yield c, mix(key[enough] ^ mix(which[enough].astype(_U), 13 + c), 17)
             if m - enough.sum() <= spare:
                 continue
             key, which, counts = self._parts(shingles, m)
@@ -186,8 +218,7 @@ class Classes:
                 key, which = np.concatenate((key, np.zeros(len(empty), dtype=_U))), np.concatenate((which, empty))
             else:
                 key, which = key[enough], which[enough]
-            found.append(mix(key ^ mix(which.astype(_U), 13 + c), 19))
-        return np.concatenate(found) if found else np.zeros(0, dtype=_U)
+            yield c, mix(key ^ mix(which.astype(_U), 13 + c), 19)
 
     @staticmethod
     def _parts(shingles: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -254,8 +285,9 @@ def dual_traversal(left: Tree, right: Tree, p: int, q: int) -> Iterator[tuple[in
         if same:
             a, b = a[a <= b], b[a <= b]
         kept_a, kept_b = [], []
-        for i in range(0, len(a), 4096):
-            x, y = a[i : i + 4096], b[i : i + 4096]
+        step = min(4096, max(1, WORDS_AT_A_TIME // la[3].shape[1]))
+        for i in range(0, len(a), step):
+            x, y = a[i : i + step], b[i : i + step]
             common = np.bitwise_count(la[3][x] & lb[3][y]).sum(axis=1).astype(np.int64)
             overlap = common + np.minimum(la[2][x], lb[2][y])
             overlap = np.minimum(overlap, np.minimum(la[1][x], lb[1][y]))
@@ -268,6 +300,13 @@ def dual_traversal(left: Tree, right: Tree, p: int, q: int) -> Iterator[tuple[in
     yield from zip(a.tolist(), b.tolist())
 
 
+def _shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that each row of ``a`` shares with each of ``b``."""
+    step = max(1, WORDS_AT_A_TIME // b.size)
+    runs = (np.bitwise_count(a[i : i + step, None, :] & b[None, :, :]).sum(axis=2) for i in range(0, len(a), step))
+    return np.concatenate([r.astype(np.int64) for r in runs])
+
+
 def join_trees(left: Tree, right: Tree, sets: UnionFind, place_a, place_b, p: int, q: int, verify=None) -> None:
     """Unites linked members in ``sets``; without ``verify`` those whose signatures allow a link."""
     same = left is right
@@ -279,8 +318,8 @@ def join_trees(left: Tree, right: Tree, sets: UnionFind, place_a, place_b, p: in
         if ra.min() == ra.max() == rb.min() == rb.max():
             continue
         na, nb = left.sizes[sa], right.sizes[sb]
-        common = np.bitwise_count(left.signatures[sa][:, None, :] & right.signatures[sb][None, :, :]).sum(axis=2)
-        overlap = common.astype(np.int64) + np.minimum(left.lost[sa][:, None], right.lost[sb][None, :])
+        common = _shared_bits(left.signatures[sa], right.signatures[sb])
+        overlap = common + np.minimum(left.lost[sa][:, None], right.lost[sb][None, :])
         overlap = np.minimum(overlap, np.minimum(na[:, None], nb[None, :]))
         possible = overlap * (p + q) >= p * (na[:, None] + nb[None, :])
         possible &= ra[:, None] != rb[None, :]
@@ -300,12 +339,13 @@ _FACTS = pa.schema(
     [
         ("doc_id", pa.int64()), ("n", pa.int64()), ("id", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()),
         ("part", pa.int64()), ("keys", pa.binary()), ("places", pa.binary()), ("ids", pa.binary()),
-        ("a", pa.int64()), ("b", pa.int64()), ("text_key", pa.int64()),
+        ("a", pa.int64()), ("b", pa.int64()), ("text_key", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
+        ("classes", pa.binary()),
     ]
 )
 _FACTS_SQL = (
     "doc_id long, n long, id long, digest binary, sig binary, part long, keys binary, places binary, ids binary, "
-    "a long, b long, text_key long"
+    "a long, b long, text_key long, low long, high long, classes binary"
 )
 
 
@@ -322,7 +362,9 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(begins), np.cumsum(begins) - 1
 
 
-def _post(keys: np.ndarray, owner: np.ndarray, ids: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+def _post(
+    keys: np.ndarray, owner: np.ndarray, ids: np.ndarray, classes: np.ndarray, parts: int
+) -> Iterator[pa.RecordBatch]:
     """Edges between sets of this task that share a key, and one posting per key."""
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
@@ -335,28 +377,31 @@ def _post(keys: np.ndarray, owner: np.ndarray, ids: np.ndarray, parts: int) -> I
     keys, owner = keys[begins], owner[begins]
     part = (keys % _U(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    rows = {"part": [], "keys": [], "places": [], "ids": []}
+    rows = {"part": [], "keys": [], "places": [], "ids": [], "classes": []}
     for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
         if not len(own):
             continue
         used, place = np.unique(owner[own], return_inverse=True)
-        # 40 bits and the part tell keys apart well enough: a chance meeting is only a candidate.
+        # 40 bits, the part and the class tell keys apart well enough: a chance meeting is only a candidate of its class.
         rows["part"].append(int(part[own[0]]))
         rows["keys"].append((keys[own] >> _U(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())
         rows["places"].append(place.astype("<u2").tobytes())
         rows["ids"].append(ids[used].astype("<i8").tobytes())
+        rows["classes"].append(classes[used].tobytes())
     if rows["part"]:
         yield _batch(**rows)
 
 
 def _meet(group: pd.DataFrame) -> pd.DataFrame:
-    """Edges between the sets posted under the same key anywhere."""
+    """Edges between the sets posted under the same key of a class anywhere."""
     keys, owners = [], []
-    for packed, places, ids in zip(group["keys"], group["places"], group["ids"]):
-        wide = np.zeros((len(packed) // 5, 8), dtype=np.uint8)
+    for packed, places, ids, classes in zip(group["keys"], group["places"], group["ids"], group["classes"]):
+        place = np.frombuffer(places, dtype="<u2")
+        wide = np.zeros((len(place), 8), dtype=np.uint8)
         wide[:, :5] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 5)
+        wide[:, 5] = np.frombuffer(classes, dtype=np.uint8)[place]
         keys.append(wide.view("<u8").ravel())
-        owners.append(np.frombuffer(ids, dtype="<i8")[np.frombuffer(places, dtype="<u2")])
+        owners.append(np.frombuffer(ids, dtype="<i8")[place])
     keys, owners = np.concatenate(keys), np.concatenate(owners)
     order = np.argsort(keys, kind="stable")
     keys, owners = keys[order], owners[order]
@@ -369,15 +414,17 @@ def _meet(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b})
 
 
-def _blocked(members: DataFrame, group: str, spread: str, weight: Column, split: int = 1) -> tuple[DataFrame, int]:
+def _blocked(
+    members: DataFrame, group: str, spread: str, weight: Column, split: int = 1, most: int | None = None
+) -> tuple[DataFrame, int]:
     """Members with (group, lo, hi), a group each or a pair of blocks of a large group, and how many tasks are to read them.
 
-    ``weight`` is a member's bytes. A group of b blocks holds every member b times; the number of tasks is told by the
+    ``weight`` is a member's bytes, ``most`` those of a block (GROUP_BYTES if not given). A group of b blocks holds every member b times; the number of tasks is told by the
     bytes of all copies, so what one task reads does not grow with the corpus.
     """
     sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("_members"), F.sum(weight).alias("_bytes"))
     few = F.least(F.ceil(F.col("_members") / F.lit(FEW)), F.lit(split))
-    many = F.greatest(F.ceil(F.col("_members") / F.lit(GROUP)), F.ceil(F.col("_bytes") / F.lit(GROUP_BYTES)))
+    many = F.greatest(F.ceil(F.col("_members") / F.lit(GROUP)), F.ceil(F.col("_bytes") / F.lit(most or GROUP_BYTES)))
     sizes = sizes.select(
         group, F.col("_bytes"), F.least(F.greatest(few, many), F.col("_members")).cast("long").alias("_blocks")
     )
@@ -416,7 +463,7 @@ def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) ->
 
     else:
         sizes = frame["n"].to_numpy().astype(np.int64)
-        signatures, verify = np.array([np.frombuffer(s, dtype="<u8") for s in frame["sig"]]), None
+        signatures, verify = folded(list(frame["sig"])), None
     lo, hi = frame["lo"].iloc[0], frame["hi"].iloc[0]
     sides = [np.arange(len(frame))] if lo == hi else [np.flatnonzero(frame["own"] == x) for x in (lo, hi)]
     if all(len(s) for s in sides):
@@ -431,12 +478,15 @@ def _forest(frame: pd.DataFrame, name: str, p: int, q: int, with_sets: bool) ->
     return pd.DataFrame({"a": names[roots[member]], "b": names[member]})
 
 
-def common_shingles(docs: DataFrame, n: int, words: int) -> np.ndarray:
-    """Sorted shingles that several documents of a bounded sample share; equal texts of the sample count once a task.
+def common_shingles(docs: DataFrame, n: int, n_bytes: int, words: int) -> HashFilter:
+    """Shingles that several documents of a sample share; equal texts of the sample count once a task.
 
     Which ones are found changes the work, never the result.
     """
+    share = min(1.0, max(SAMPLE / max(n, 1), 1 / SAMPLE_ONE_IN))
+    bits = max(6, int(2 * share * n_bytes // PART_BYTES).bit_length())
 
+    @frees
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, np.ndarray] = {}
         for batch in batches:
@@ -444,22 +494,21 @@ def common_shingles(docs: DataFrame, n: int, words: int) -> np.ndarray:
                 seen.update((_digest(x), x) for x in shingle_sets(block, words))
         if seen:
             every = np.sort(np.concatenate(list(seen.values())))
-            cuts = np.searchsorted(every >> _U(58), np.arange(65, dtype=_U))
-            packed = [every[i:j].astype("<u8").tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(packed)], names=["part", "packed"])
+            cuts = np.searchsorted(every >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=_U))
+            own = np.flatnonzero(cuts[:-1] < cuts[1:])
+            packed = [every[cuts[i] : cuts[i + 1]].astype("<u8").tobytes() for i in own.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(packed, pa.binary())], names=["part", "packed"])
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         every = np.concatenate([np.frombuffer(x, dtype="<u8") for x in group["packed"]])
         own, n_docs = np.unique(every, return_counts=True)
-        return pd.DataFrame({"packed": [own[n_docs >= COMMON_LEAST].astype("<u8").tobytes()]})
+        return pd.DataFrame({"shingle": own[n_docs >= COMMON_LEAST].view("<i8")})
 
-    share = min(1.0, SAMPLE / max(n, 1))
     place = F.pmod(F.xxhash64("doc_id", F.lit("common")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = docs.filter(F.col("doc_id").isNotNull() & (place < share)).select("text")
-    parts = sample.mapInArrow(run, "part int, packed binary").groupBy("part").applyInPandas(count, "packed binary")
-    # Bounded: shingles of the sample, three documents each at least.
-    found = [np.frombuffer(bytes(r["packed"]), dtype="<u8") for r in parts.collect()]
-    return np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=_U)
+    parts = sample.mapInArrow(run, "part int, packed binary").groupBy("part").applyInPandas(count, "shingle long")
+    found = spool(parts, "common")
+    return hash_filter(found, "shingle", 4 * found.count())
 
 
 def near_duplicates(
@@ -471,23 +520,24 @@ def near_duplicates(
     p, q = numerator, denominator
     n_rows, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     parts = max(32, n_rows // 65536, (n_bytes or 0) // PART_BYTES)
-    common = spark.sparkContext.broadcast(common_shingles(docs, n_rows, words))
+    common = spark.sparkContext.broadcast(common_shingles(docs, n_rows, n_bytes or 0, words))
 
     @frees
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(p, q)
-        keys, owners, ids, n_keys = [], [], {}, 0
+        keys, owners, ids, kinds, seen, n_keys = [], [], [], [], set(), 0
 
         def post() -> Iterator[pa.RecordBatch]:
             if keys:
                 yield from _post(
-                    np.concatenate(keys), np.concatenate(owners), np.array(list(ids), dtype=np.int64), parts
-                )
+                    np.concatenate(keys), np.concatenate(owners),
+                    np.array(ids, dtype=np.int64), np.array(kinds, dtype=np.uint8), parts,
+                )
 
         for batch in batches:
             doc_ids, texts, text_keys = (c.to_pylist() for c in batch.columns)
             for first, run in blocks(texts, PIECE_BYTES):
-                rows = {"doc_id": [], "n": [], "id": [], "digest": [], "sig": [], "text_key": []}
+                rows = {k: [] for k in ("doc_id", "n", "id", "digest", "sig", "text_key", "low", "high")}
                 for i, shingles in enumerate(shingle_sets(run, words)):
                     doc_id, n = doc_ids[first + i], len(shingles)
                     digest = _digest(shingles) if n else None
@@ -497,26 +547,31 @@ def near_duplicates(
                     rows["text_key"].append(text_keys[first + i])
                     rows["id"].append(own)
                     rows["digest"].append(digest)
-                    rows["sig"].append(signature(shingles).tobytes() if n else None)
-                    if n and doc_id is not None and own not in ids:
-                        found = classes.keys(shingles, common.value)
-                        if len(found):
+                    in_classes = classes.posted_in(n) if n else (None,)
+                    rows["low"].append(in_classes[0])
+                    rows["high"].append(in_classes[-1])
+                    bits = class_bits(classes.bounds(in_classes[-1])[1]) if n else 0
+                    rows["sig"].append(signature(shingles, bits).tobytes() if n else None)
+                    if n and doc_id is not None and own not in seen:
+                        for c, found in classes.keys_by_class(shingles, common.value):
                             keys.append(found)
                             owners.append(np.full(len(found), len(ids), dtype=np.int64))
+                            ids.append(own ^ (c << CLASS_SHIFT))
+                            kinds.append(c)
                             n_keys += len(found)
-                        ids[own] = None
+                        seen.add(own)
                 yield _batch(**rows)
-                if n_keys >= POST_KEYS or len(ids) >= POST_SETS:
+                if n_keys >= POST_KEYS or len(ids) >= POST_SETS or len(seen) >= POST_SETS:
                     yield from post()
-                    keys, owners, ids, n_keys = [], [], {}, 0
+                    keys, owners, ids, kinds, seen, n_keys = [], [], [], [], set(), 0
         yield from post()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keyed = source.withColumn("text_key", F.xxhash64("text"))
     facts = spool(keyed.mapInArrow(gather, _FACTS_SQL), "shingle-facts")
-    rows = facts.filter(F.col("n").isNotNull()).select("doc_id", "n", "id", "digest", "sig", "text_key")
+    rows = facts.filter(F.col("n").isNotNull()).select("doc_id", "n", "id", "digest", "sig", "text_key", "low", "high")
     near = facts.filter(F.col("a").isNotNull()).select("a", "b")
-    posted = facts.filter(F.col("part").isNotNull()).select("part", "keys", "places", "ids")
+    posted = facts.filter(F.col("part").isNotNull()).select("part", "keys", "places", "ids", "classes")
     met = posted.groupBy("part").applyInPandas(_meet, "a long, b long")
     wide = components(near.unionByName(met), "wide")
 
@@ -524,11 +579,13 @@ def near_duplicates(
     sets = (
         rows.filter(F.col("doc_id").isNotNull() & F.col("id").isNotNull())
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+        .agg(F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("id", "n", "sig", "low", "high")))
     )
-    in_groups = wide.select(F.col("node").alias("id"), F.col("root").alias("grp"))
-    members = spool(sets.join(in_groups, "id").select("grp", "id", "n", "sig"), "members")
-    blocked, tasks = _blocked(members, "grp", "id", F.lit(SIGNATURE_BITS // 8 + 24), SPLIT)
+    in_groups = wide.select("node", F.col("root").alias("grp"))
+    in_classes = sets.withColumn("class", F.explode(F.sequence("low", "high")))
+    nodes = in_classes.withColumn("node", F.col("id").bitwiseXOR(F.shiftleft("class", CLASS_SHIFT)))
+    members = spool(nodes.join(in_groups, "node").select("grp", "id", "n", "sig"), "members")
+    blocked, tasks = _blocked(members, "grp", "id", F.length("sig") + 24, SPLIT, SIGNATURE_BYTES)
     by_signature = (
         blocked.repartition(tasks, "grp", "lo", "hi")  # few bytes, much work: not to be put together again
         .groupBy("grp", "lo", "hi")
